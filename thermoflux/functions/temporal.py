@@ -25,7 +25,8 @@ def floor_div(col: str | Column, n: int | Column) -> Column:
     """Exact floor division of a LONG by a positive LONG (rounds toward −∞)."""
     c = _c(col)
     n_col = n if isinstance(n, Column) else F.lit(int(n))
-    return ((c - F.pmod(c, n_col)) / n_col).cast("long")
+    # (c - pmod(c, n)) is an exact multiple of n, so integral division is exact.
+    return F.call_function("div", c - F.pmod(c, n_col), n_col)
 
 
 def window_start(ts_ms: str | Column, size_ms: int) -> Column:

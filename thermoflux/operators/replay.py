@@ -7,9 +7,12 @@ tick ``k`` is judged by ``wm(k) = max(timestamp of all rows in earlier ticks)
 watermark value (a window ``[s, e)`` is closed once ``e <= wm``).
 
 The tick table has one row per tick (bounded by time span / tick width, not by
-data volume).  Its prefix max is a chunked scan (no single-partition window
-over all ticks), and it reaches the rows through an equi-join on ``tick``
-that AQE turns into a broadcast hash join when the table is small at runtime.
+data volume).  It costs one pass over the rows (a partial/final aggregate on
+``tick``); it is then materialised (reliable checkpoint) so the prefix scans
+over it never re-read the source.  Its prefix max is a chunked scan (no
+single-partition window over all ticks), and it reaches the rows through an
+equi-join on ``tick`` that AQE plans as a broadcast hash join when the
+materialised table is small — its size is known before the join is planned.
 """
 
 from __future__ import annotations
@@ -19,30 +22,36 @@ from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div
 from thermoflux.operators.scan import Measure, running_scan
+from thermoflux.session import materialize
 
 TICKS_PER_SCAN_CHUNK = 4096
 
 
 def tick_watermarks(rows: DataFrame, delay_ms: int, tick_col: str = "tick",
                     ts_col: str = "timestamp") -> DataFrame:
-    """``tick, tmax, wm, wm_next, wm_prev, tmin_before``.
+    """``tick, tmax, wm, wm_next, tmin_before`` (materialised).
 
     * ``wm`` — watermark in force while the tick's rows arrive (NULL = −∞);
     * ``wm_next`` — the watermark after this tick's rows (= ``wm`` of the next tick);
-    * ``wm_prev`` — the previous tick's ``wm`` (NULL for the first two ticks);
     * ``tmin_before`` — least timestamp of all earlier ticks.
     """
-    per_tick = rows.groupBy(tick_col).agg(F.max(ts_col).alias("tmax"), F.min(ts_col).alias("tmin"))
-    chunk = floor_div(tick_col, TICKS_PER_SCAN_CHUNK)
-    s1 = running_scan(per_tick, [], [tick_col],
-                      [Measure("m_before", "max", F.col("tmax")), Measure("tmin_before", "min", F.col("tmin"))],
-                      chunk=chunk, exclusive=True)
-    s1 = s1.select(tick_col, "tmax", "tmin_before",
-                   (F.col("m_before") - F.lit(delay_ms)).alias("wm"),
-                   (F.greatest("m_before", "tmax") - F.lit(delay_ms)).alias("wm_next"))
-    # The watermark is monotone in tick, so the previous tick's wm is the exclusive prefix max of wm.
-    s2 = running_scan(s1, [], [tick_col], [Measure("wm_prev", "max", F.col("wm"))], chunk=chunk, exclusive=True)
-    return s2.select(tick_col, "tmax", "wm", "wm_next", "wm_prev", "tmin_before")
+    per_tick = materialize(rows.groupBy(tick_col).agg(F.max(ts_col).alias("tmax"), F.min(ts_col).alias("tmin")))
+    scanned = running_scan(per_tick, [], [tick_col],
+                           [Measure("m_before", "max", F.col("tmax")), Measure("tmin_before", "min", F.col("tmin"))],
+                           chunk=floor_div(tick_col, TICKS_PER_SCAN_CHUNK), exclusive=True)
+    return materialize(scanned.select(
+        tick_col, "tmax", "tmin_before",
+        (F.col("m_before") - F.lit(delay_ms)).alias("wm"),
+        (F.greatest("m_before", "tmax") - F.lit(delay_ms)).alias("wm_next")))
+
+
+def with_previous_watermark(ticks: DataFrame, tick_col: str = "tick") -> DataFrame:
+    """Add ``wm_prev``, the previous tick's ``wm`` (NULL for the first two ticks).
+
+    The watermark is monotone in tick, so it is the exclusive prefix max of ``wm``.
+    """
+    return running_scan(ticks, [], [tick_col], [Measure("wm_prev", "max", F.col("wm"))],
+                        chunk=floor_div(tick_col, TICKS_PER_SCAN_CHUNK), exclusive=True)
 
 
 def with_watermark(rows: DataFrame, ticks: DataFrame, tick_col: str = "tick") -> DataFrame:

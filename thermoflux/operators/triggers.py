@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div, window_end
+from thermoflux.operators.replay import with_previous_watermark
 
 
 def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms: int) -> DataFrame:
@@ -63,7 +64,7 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
 
     # --- final firing: first tick whose wm reaches e.
     lo = F.coalesce(F.col("wm_prev"), F.col("tmin_before"))
-    grid = (ticks.filter(F.col("wm").isNotNull() & lo.isNotNull()
+    grid = (with_previous_watermark(ticks).filter(F.col("wm").isNotNull() & lo.isNotNull()
                          & (floor_div(lo, size_ms) < floor_div("wm", size_ms)))
                  .select(F.col("wm").alias("final_wm"),
                          F.explode(F.sequence(floor_div(lo, size_ms) + F.lit(1), floor_div("wm", size_ms)))

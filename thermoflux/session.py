@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # RocksDB is the state store the stateful-processor API expects.
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -47,6 +47,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name a shared folder")
     scratch = tempfile.mkdtemp(prefix="thermoflux-ckpt-", dir=os.environ.get("THERMOFLUX_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return spark.sparkContext.getCheckpointDir() or scratch
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small derived table once and cut its lineage.
+
+    Uses a reliable ``checkpoint`` into the session's checkpoint folder (shared
+    storage on a cluster), so later plans read it back instead of recomputing it
+    and a lost executor does not force a recomputation from the source scan.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
