@@ -1,0 +1,76 @@
+"""Replay watermark, late side outputs, allowed lateness and early firing on hand goldens."""
+
+from pyspark.sql import functions as F
+
+from thermoflux.functions.temporal import floor_div
+from thermoflux.operators import lateness, replay, triggers
+
+
+def _replay_rows(spark, rows, tick_ms=1000):
+    """rows: (event_id, id, timestamp, arrival)."""
+    df = spark.createDataFrame([(e, i, ts, 1.0, a) for e, i, ts, a in rows],
+                               "event_id long, id string, timestamp long, temperature double, arrival long")
+    return df.withColumn("tick", floor_div("arrival", tick_ms))
+
+
+def test_tick_watermark(spark):
+    rows = _replay_rows(spark, [(1, "a", 1000, 100), (2, "a", 2500, 200), (3, "a", 20000, 1100),
+                                (4, "a", 1500, 2100), (5, "a", 12000, 2200)])
+    ticks = {r.tick: r.wm for r in replay.tick_watermarks(rows, 5000).collect()}
+    assert ticks == {0: None, 1: 2500 - 5000, 2: 20000 - 5000}
+
+
+def test_updating_count_update_and_drop(spark):
+    base = [(1, "a", 1000, 100), (2, "a", 2000, 200)]
+    # allowed-late: 10000 <= wm=12000 < 15000
+    rows = _replay_rows(spark, base + [(3, "a", 12000, 1100), (4, "a", 3000, 2100)])
+    r, _ = replay.replay(rows, 0)
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, 10000, 5000).collect())
+    assert got == [("a", 10000, 2, "first"), ("a", 10000, 3, "update"), ("a", 20000, 1, "first")]
+    # dropped: wm=16000 >= 15000
+    rows = _replay_rows(spark, base + [(3, "a", 16000, 1100), (4, "a", 3000, 2100)])
+    r, _ = replay.replay(rows, 0)
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, 10000, 5000).collect())
+    assert got == [("a", 10000, 2, "first"), ("a", 20000, 1, "first")]
+    late = lateness.late_side_output(r, 10000).collect()
+    assert [x.event_id for x in late] == [4]
+
+
+def test_updating_count_first_from_late_row(spark):
+    rows = _replay_rows(spark, [(1, "b", 30000, 100), (2, "a", 1000, 1100), (3, "a", 2000, 1200)])
+    r, _ = replay.replay(rows, 25000)   # wm at tick 1 = 5000: window [0,10000) still open
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, 10000, 5000).collect())
+    assert ("a", 10000, 2, "first") in got
+    rows = _replay_rows(spark, [(1, "b", 12000, 100), (2, "a", 1000, 1100), (3, "a", 2000, 1200)])
+    r, _ = replay.replay(rows, 0)       # wm = 12000: allowed-late, no on-time row
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, 10000, 5000).collect())
+    assert got == [("a", 10000, 1, "first"), ("a", 10000, 2, "update"), ("b", 20000, 1, "first")]
+
+
+def test_late_reading_split_offsets_by_one_ms(spark):
+    rows = _replay_rows(spark, [(1, "a", 10000, 100), (2, "a", 9998, 1100), (3, "a", 9999, 1200)])
+    r, _ = replay.replay(rows, 0)        # wm at tick 1 = 10000 → reference watermark 9999
+    main, late = lateness.late_reading_split(r)
+    assert sorted(x.event_id for x in late.collect()) == [2]
+    assert sorted(x.event_id for x in main.collect()) == [1, 3]
+
+
+def test_early_firing_golden(spark):
+    rows = _replay_rows(spark, [(1, "a", 500, 100), (2, "a", 1500, 1100), (3, "a", 2600, 2100),
+                                (4, "a", 4200, 3100), (5, "a", 4300, 4100)])
+    r, ticks = replay.replay(rows, 0)
+    got = sorted(tuple(x) for x in triggers.early_firing_counts(r, ticks, 4000, 1000).collect())
+    assert got == sorted([("a", 4000, 500, 1), ("a", 4000, 1500, 2), ("a", 4000, 2600, 3), ("a", 4000, 4200, 3),
+                          ("a", 8000, 4200, 1), ("a", 8000, 8000, 2)])
+
+
+def test_status_partition_invariant(spark):
+    from thermoflux.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    rows, _ = replay.replay(fx.arrival_readings(spark, SF_SMALL), fx.ReplayConfig().delay_ms)
+    e = F.col("timestamp") - F.pmod("timestamp", F.lit(10 * fx.K_MS)) + F.lit(10 * fx.K_MS)
+    st = rows.select(lateness.window_status(e, F.col("wm"), 5 * fx.K_MS).alias("s")).groupBy("s").count()
+    counts = {r.s: r["count"] for r in st.collect()}
+    assert sum(counts.values()) == rows.count() == 1000
+    main, late = lateness.late_reading_split(rows)
+    assert main.count() + late.count() == 1000
