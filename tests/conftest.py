@@ -13,8 +13,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from thermoflux.session import ROCKSDB_PROVIDER, ensure_checkpoint_dir
+    from thermoflux.session import ROCKSDB_PROVIDER, ensure_checkpoint_dir, export_package_path
 
+    export_package_path()
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")

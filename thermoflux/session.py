@@ -17,9 +17,19 @@ from pyspark.sql import DataFrame, SparkSession
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def export_package_path() -> None:
+    """Let local Python workers import this package (stateful processors are pickled
+    by reference).  On a cluster, ship it with ``--py-files`` instead."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    parts = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root] + parts)
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app_name: str = "thermoflux") -> SparkSession:
     master = master or os.environ.get("SPARK_MASTER", "local[8]")
+    export_package_path()
     spark = (
         SparkSession.builder.master(master)
         .appName(app_name)

@@ -1,0 +1,19 @@
+"""Structured Streaming forms: built-in watermarked windows and stateful processors."""
+
+from thermoflux.streaming.operators import (
+    stream_early_firing,
+    stream_fire_alerts,
+    stream_forward_switch,
+    stream_late_windows,
+    stream_rolling_max,
+    stream_rolling_sum,
+)
+from thermoflux.streaming.sources import read_stream, replay_stream, with_event_time, write_replay_files
+from thermoflux.streaming.windows import stream_avg_tumbling, stream_count_tumbling, stream_minmax_tumbling
+
+__all__ = [
+    "read_stream", "replay_stream", "with_event_time", "write_replay_files",
+    "stream_avg_tumbling", "stream_minmax_tumbling", "stream_count_tumbling",
+    "stream_rolling_sum", "stream_rolling_max", "stream_forward_switch", "stream_fire_alerts",
+    "stream_late_windows", "stream_early_firing",
+]
