@@ -77,7 +77,9 @@ def running_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     order = list(order)
     if chunk is None:
         chunk = F.lit(0)
-    order_struct = F.struct(*[F.col(c) for c in order])
+    # A single ordering column keeps min_by/max_by buffers fixed-width, so the
+    # partial aggregate stays a HashAggregate (a struct ordering forces a sort-based one).
+    order_struct = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     vals = [f"_tf_v{i}" for i in range(len(measures))]
     rows = df.select("*", chunk.alias(_CHUNK), *[m.expr.alias(v) for m, v in zip(measures, vals)])
 
