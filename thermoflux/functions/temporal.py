@@ -15,9 +15,23 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _session_zone_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    zone = spark.conf.get("spark.sql.session.timeZone", "") if spark is not None else ""
+    return zone.upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT")
+
+
 def epoch_ms_of_ntz(col: str | Column) -> Column:
-    """Epoch milliseconds of a TIMESTAMP_NTZ, truncated, independent of the session zone."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(col))
+    """Epoch milliseconds of a TIMESTAMP_NTZ, truncated, independent of the session zone.
+
+    Under a UTC session the NTZ → TIMESTAMP cast is the identity on micros, so the
+    cheap ``unix_micros`` form is exact; otherwise a zone-free ``timestampdiff``.
+    """
+    if _session_zone_is_utc():
+        micros = F.unix_micros(_c(col).cast("timestamp"))
+    else:
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(col))
     return floor_div(micros, 1000)
 
 

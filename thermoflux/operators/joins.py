@@ -1,0 +1,40 @@
+"""Size-checked broadcast of small derived tables.
+
+Tables read back from a checkpoint carry no size statistics, so the planner
+cannot tell they are small (and may broadcast the *other* side while it is
+small in a test).  ``broadcast_if_small`` counts the rows of such a table — one
+cheap job over an already materialised table, nothing collected — and adds a
+broadcast hint only when the estimated size is under the session's
+``spark.sql.autoBroadcastJoinThreshold``; beyond it the join stays a shuffle
+join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _estimated_row_bytes(df: DataFrame) -> int:
+    size = 16
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size += 48
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            size += 64
+        else:
+            size += 8
+    return size
+
+
+def broadcast_threshold(df: DataFrame) -> int:
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    limit = broadcast_threshold(df)
+    if limit <= 0:
+        return df
+    rows = df.count()
+    return F.broadcast(df) if rows * _estimated_row_bytes(df) <= limit else df

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div, window_end
 from thermoflux.operators.scan import Measure, running_scan
+from thermoflux.session import materialize
 
 ON_TIME, ALLOWED_LATE, DROPPED = "on_time", "allowed_late", "dropped"
 # Allowed-late rows of one (id, window) are numbered in arrival-time chunks of
@@ -65,16 +66,18 @@ def updating_window_counts(rows: DataFrame, size_ms: int, lateness_ms: int,
     ``'first'`` if it is the window's very first firing, else ``'update'``.
     """
     e = window_end("timestamp", size_ms)
-    tagged = rows.select("id", "event_id", "arrival", e.alias("window_end"),
-                         window_status(e, F.col("wm"), lateness_ms).alias("status"))
-    # n0 per window: pre-aggregated before the shuffle.
-    first = (tagged.filter(F.col("status") == ON_TIME)
-                   .groupBy("id", "window_end").agg(F.count(F.lit(1)).alias("n"))
-                   .select("id", "window_end", F.lit(None).cast("long").alias("arrival"),
-                           F.lit(None).cast("long").alias("event_id"), "n", F.lit(0).alias("rank")))
-    late = tagged.filter(F.col("status") == ALLOWED_LATE) \
-        .select("id", "window_end", "arrival", "event_id", F.lit(1).cast("long").alias("n"), F.lit(1).alias("rank"))
-    both = first.unionByName(late)
+    status = window_status(e, F.col("wm"), lateness_ms)
+    late = status == F.lit(ALLOWED_LATE)
+    # One pass, one hash aggregate: on-time rows collapse to one group per window
+    # (n0, partially aggregated before the shuffle); each allowed-late row is its own
+    # group; dropped rows are filtered out.  The result is small and materialised.
+    both = materialize(
+        rows.filter(status != F.lit(DROPPED))
+            .groupBy("id", e.alias("window_end"),
+                     F.when(late, F.col("arrival")).alias("arrival"),
+                     F.when(late, F.col("event_id")).alias("event_id"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("rank", F.when(F.col("event_id").isNull(), F.lit(0)).otherwise(F.lit(1))))
     # The on-time aggregate row is its own chunk in front of the late rows' chunks.
     chunk_ms = chunk_ms or max(1, lateness_ms // LATE_CHUNKS_PER_LATENESS)
     chunk = F.when(F.col("rank") == 0, F.lit(-1)).otherwise(floor_div("arrival", chunk_ms))

@@ -11,8 +11,8 @@ data volume).  It costs one pass over the rows (a partial/final aggregate on
 ``tick``); it is then materialised (reliable checkpoint) so the prefix scans
 over it never re-read the source.  Its prefix max is a chunked scan (no
 single-partition window over all ticks), and it reaches the rows through an
-equi-join on ``tick`` that AQE plans as a broadcast hash join when the
-materialised table is small — its size is known before the join is planned.
+equi-join on ``tick``: a broadcast hash join when its counted size is under the
+broadcast threshold, else a shuffle join.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div
+from thermoflux.operators.joins import broadcast_if_small
 from thermoflux.operators.scan import Measure, running_scan
 from thermoflux.session import materialize
 
@@ -56,7 +57,7 @@ def with_previous_watermark(ticks: DataFrame, tick_col: str = "tick") -> DataFra
 
 def with_watermark(rows: DataFrame, ticks: DataFrame, tick_col: str = "tick") -> DataFrame:
     """Attach the tick's watermark ``wm`` to every row."""
-    return rows.join(ticks.select(tick_col, "wm"), on=tick_col, how="inner")
+    return rows.join(broadcast_if_small(ticks.select(tick_col, "wm")), on=tick_col, how="inner")
 
 
 def replay(rows: DataFrame, delay_ms: int, tick_col: str = "tick") -> tuple[DataFrame, DataFrame]:

@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div, window_end
+from thermoflux.operators.joins import broadcast_if_small
 from thermoflux.operators.replay import with_previous_watermark
+from thermoflux.session import materialize
 
 
 def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms: int) -> DataFrame:
@@ -34,16 +36,19 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
     e = window_end("timestamp", size_ms)
     on_time = rows.select("id", "tick", "wm", e.alias("window_end")) \
         .filter(F.col("wm").isNull() | (F.col("window_end") > F.col("wm")))
-    per_tick = on_time.groupBy("id", "window_end", "tick").agg(F.count(F.lit(1)).alias("n"))
+    # Per (id, window, tick) counts: read twice below, so computed once and materialised.
+    per_tick = materialize(on_time.groupBy("id", "window_end", "tick").agg(F.count(F.lit(1)).alias("n")))
 
     windows = per_tick.groupBy("id", "window_end").agg(F.min("tick").alias("f"), F.sum("n").alias("total"))
-    opened = windows.join(ticks.select(F.col("tick").alias("f"), F.col("wm").alias("wm_f"),
-                                       F.col("wm_next").alias("wm_next_f")), on="f")
+    tick_side = broadcast_if_small(ticks.select(F.col("tick").alias("f"), F.col("wm").alias("wm_f"),
+                                                F.col("wm_next").alias("wm_next_f")))
+    opened = windows.join(tick_side, on="f")
 
     # --- early firings: crossing ticks strictly after f with wm < e.
-    crossings = (ticks.filter(F.col("wm").isNotNull())
-                      .groupBy(floor_div("wm", step_ms).alias("n"))
-                      .agg(F.min("tick").alias("k"), F.min("wm").alias("wm_k")))
+    crossings = broadcast_if_small(materialize(
+        ticks.filter(F.col("wm").isNotNull())
+             .groupBy(floor_div("wm", step_ms).alias("n"))
+             .agg(F.min("tick").alias("k"), F.min("wm").alias("wm_k"))))
     lower = F.coalesce(floor_div("wm_f", step_ms), floor_div("wm_next_f", step_ms) - F.lit(1))
     upper = floor_div(F.col("window_end") - F.lit(1), step_ms)
     candidates = opened.filter(lower < upper) \
@@ -64,11 +69,12 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
 
     # --- final firing: first tick whose wm reaches e.
     lo = F.coalesce(F.col("wm_prev"), F.col("tmin_before"))
-    grid = (with_previous_watermark(ticks).filter(F.col("wm").isNotNull() & lo.isNotNull()
-                         & (floor_div(lo, size_ms) < floor_div("wm", size_ms)))
-                 .select(F.col("wm").alias("final_wm"),
-                         F.explode(F.sequence(floor_div(lo, size_ms) + F.lit(1), floor_div("wm", size_ms)))
-                          .alias("end_slot")))
+    # One row per window-end slot up to the last watermark: bounded by time span / size.
+    grid = broadcast_if_small(materialize(
+        with_previous_watermark(ticks)
+        .filter(F.col("wm").isNotNull() & lo.isNotNull() & (floor_div(lo, size_ms) < floor_div("wm", size_ms)))
+        .select(F.col("wm").alias("final_wm"),
+                F.explode(F.sequence(floor_div(lo, size_ms) + F.lit(1), floor_div("wm", size_ms))).alias("end_slot"))))
     finals = (windows.withColumn("end_slot", floor_div("window_end", size_ms))
                      .join(grid, on="end_slot", how="left")
                      .select("id", "window_end", F.coalesce("final_wm", "window_end").alias("eval_time"),
