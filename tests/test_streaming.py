@@ -154,3 +154,43 @@ def test_stream_builtin_windows(spark, scratch, time_replay):
     batch = windows.avg_tumbling(rows, 1 * K).filter(F.col("timestamp") <= wm_last)
     r6 = F.round("temperature", 6).alias("temperature")
     assert _same(got.select("id", "timestamp", r6), batch.select("id", "timestamp", r6))
+
+
+def test_stream_late_reading_split(spark, scratch, late_replay):
+    from thermoflux.streaming import stream_late_reading_split
+    path, r, _, _ = late_replay
+    out = _run(spark, stream_late_reading_split(replay_stream(spark, path, REPLAY_READING), CFG.delay_ms),
+               "late_split", scratch)
+    main, late = lateness.late_reading_split(r)
+    cols = ["event_id", "id", "timestamp", "temperature"]
+    assert _same(out.filter("tag = 'late'").select(*cols), late.select(*cols))
+    assert _same(out.filter("tag = 'main'").select(*cols), main.select(*cols))
+
+
+def test_stream_count_tumbling_single_watermark(spark, scratch, late_replay):
+    from thermoflux.streaming import stream_count_tumbling
+    path, r, _, wm_last = late_replay
+    key = "spark.sql.streaming.statefulOperator.allowMultiple"
+    spark.conf.set(key, "false")
+    try:
+        out = _run(spark, stream_count_tumbling(replay_stream(spark, path, REPLAY_READING), 10 * K, CFG.delay_ms),
+                   "count10", scratch)
+    finally:
+        spark.conf.unset(key)
+    batch = lateness.on_time_window_counts(r, 10 * K).filter(F.col("window_end") <= wm_last)
+    assert out.count() > 0 and _same(out, batch)
+
+
+def test_stream_freezing_monitor_foreach_batch(spark, scratch, time_replay):
+    from thermoflux.operators import records
+    from thermoflux.streaming import stream_freezing_monitor
+    from thermoflux.streaming.sinks import start_tagged
+    path, rows = time_replay
+    st = replay_stream(spark, path, REPLAY_READING)
+    outs = {"main": os.path.join(scratch, "frz_main"), "freezing-alarms": os.path.join(scratch, "frz_alarms")}
+    q = start_tagged(stream_freezing_monitor(st), outs, os.path.join(scratch, "ck_frz"))
+    q.awaitTermination()
+    main, alarms = records.freezing_monitor(rows.select("event_id", "id", "timestamp", "temperature"))
+    got_main = spark.read.parquet(outs["main"]).select("event_id", "id", "timestamp", "temperature")
+    got_alarms = spark.read.parquet(outs["freezing-alarms"]).select("event_id", "message")
+    assert _same(got_main, main) and _same(got_alarms, alarms)

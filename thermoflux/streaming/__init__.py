@@ -4,6 +4,8 @@ from thermoflux.streaming.operators import (
     stream_early_firing,
     stream_fire_alerts,
     stream_forward_switch,
+    stream_freezing_monitor,
+    stream_late_reading_split,
     stream_late_windows,
     stream_rolling_max,
     stream_rolling_sum,
@@ -15,5 +17,5 @@ __all__ = [
     "read_stream", "replay_stream", "with_event_time", "write_replay_files",
     "stream_avg_tumbling", "stream_minmax_tumbling", "stream_count_tumbling",
     "stream_rolling_sum", "stream_rolling_max", "stream_forward_switch", "stream_fire_alerts",
-    "stream_late_windows", "stream_early_firing",
+    "stream_late_windows", "stream_early_firing", "stream_late_reading_split", "stream_freezing_monitor",
 ]

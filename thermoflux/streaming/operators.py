@@ -15,6 +15,7 @@ from thermoflux.functions.text import alert_message
 from thermoflux.operators.connect import DEFAULT_SHARDS, FIRE_ABOVE
 from thermoflux.streaming.processors import (
     EarlyFiringCount,
+    LateReadingSplit,
     LateWindowCount,
     ReadingFilter,
     RollingMax,
@@ -82,3 +83,22 @@ def stream_early_firing(readings: DataFrame, size_ms: int, step_ms: int, delay_m
     return (s.groupBy("id")
              .transformWithStateInPandas(EarlyFiringCount(size_ms, step_ms), EarlyFiringCount.OUTPUT,
                                          "append", "EventTime"))
+
+
+def stream_late_reading_split(readings: DataFrame, delay_ms: int) -> DataFrame:
+    """Tagged (``main`` | ``late``) readings by the batch watermark; write with
+    :func:`thermoflux.streaming.sinks.start_tagged`."""
+    s = with_event_time(readings.select("event_id", "id", "timestamp", "temperature"), delay_ms).drop(EVENT_TIME)
+    return (s.groupBy("id")
+             .transformWithStateInPandas(LateReadingSplit(), LateReadingSplit.OUTPUT, "append", "EventTime"))
+
+
+def stream_freezing_monitor(readings: DataFrame, below: float = 32.0) -> DataFrame:
+    """Every reading tagged ``main``, plus a ``freezing-alarms`` row per reading below
+    ``below`` (stateless: one projection and a union of two filters of the same stream)."""
+    from thermoflux.functions.text import freezing_message
+    cols = ["event_id", "id", "timestamp", "temperature"]
+    main = readings.select(F.lit("main").alias("tag"), *cols, F.lit(None).cast("string").alias("message"))
+    alarms = readings.filter(F.col("temperature") < F.lit(float(below))).select(
+        F.lit("freezing-alarms").alias("tag"), *cols, freezing_message("id").alias("message"))
+    return main.unionByName(alarms)

@@ -313,3 +313,29 @@ class EarlyFiringCount(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class LateReadingSplit(StatefulProcessor):
+    """Per-record late split before any window: ``timestamp < currentWatermark`` goes to
+    the ``late`` output, everything else to ``main`` (no state; needs the watermark).
+    The reference's watermark is one ms below Spark's, hence ``timestamp < wm - 1``.
+    The input must not contain the watermarked column (late rows must reach it)."""
+
+    OUTPUT = "tag string, event_id long, id string, timestamp long, temperature double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        wm = _watermark(timerValues)
+        for pdf in rows:
+            if not len(pdf):
+                continue
+            ts = pdf["timestamp"].to_numpy(dtype=np.int64)
+            late = (ts < wm - 1) if wm is not None else np.zeros(len(pdf), dtype=bool)
+            out = pdf[["event_id", "id", "timestamp", "temperature"]].copy()
+            out.insert(0, "tag", np.where(late, "late", "main"))
+            yield out
+
+    def close(self) -> None:
+        pass
