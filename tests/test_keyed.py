@@ -94,3 +94,34 @@ def test_forward_switch_reopens_after_expiry(spark):
                                      "event_id long, id string, timestamp long, temperature double")
     got = sorted(r.timestamp for r in connect.forward_switch(readings, switches).collect())
     assert got == [5, 50, 59]
+
+
+def test_hot_key_rolling_and_switch_match_duckdb(spark):
+    """All rows of sf0.01 in one key: the scan splits it into chunks and stays exact."""
+    import duckdb
+
+    from tests.conftest import SF_ORACLE
+    from thermoflux.sources import fixtures as fx
+    ev = f"read_parquet('{SF_ORACLE}/events.parquet')"
+    tri = fx.triples(spark, SF_ORACLE).withColumn("k", F.lit(0).cast("long"))
+    got = {r.event_id: (r.v, r.c) for r in rolling.rolling_sum(tri, chunk_rows=997).collect()}
+    want = duckdb.sql(f"""SELECT event_id, sum(event_id % 100) OVER w AS v, first_value(event_id % 7) OVER w AS c
+        FROM {ev} WINDOW w AS (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""").fetchall()
+    assert len(got) == len(want) == 10000
+    assert all(got[e] == (v, c) for e, v, c in want)
+
+    r = fx.readings(spark, SF_ORACLE).withColumn("id", F.lit("hot"))
+    got = {x.event_id: (x.timestamp, x.temperature) for x in rolling.rolling_max(r, chunk_rows=501).collect()}
+    want = duckdb.sql(f"""SELECT event_id, m.ts, m.t FROM (SELECT event_id,
+        max({{'t': value * 2, 's': event_id, 'ts': epoch_us(ts) // 1000}}) OVER (ORDER BY event_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS m FROM {ev})""").fetchall()
+    assert all(got[e] == (ts, t) for e, ts, t in want)
+
+    sw = fx.switches(spark, SF_ORACLE).withColumn("id", F.lit("hot"))
+    rd = fx.switch_readings(spark, SF_ORACLE).withColumn("id", F.lit("hot"))
+    n = connect.forward_switch(rd, sw, chunk_ms=fx.K_MS).count()
+    want = duckdb.sql(f"""WITH s AS (SELECT epoch_us(ts) // 1000 AS t, {fx.K_MS} * (10 + (event_id % 3) * 25) AS d
+        FROM {ev} WHERE event_type = 'signup')
+        SELECT count(*) FROM {ev} r WHERE event_type <> 'signup' AND EXISTS (SELECT 1 FROM s
+        WHERE s.t <= epoch_us(r.ts) // 1000 AND s.t + s.d > epoch_us(r.ts) // 1000)""").fetchall()[0][0]
+    assert n == want
