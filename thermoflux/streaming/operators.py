@@ -38,7 +38,8 @@ def stream_rolling_max(readings: DataFrame) -> DataFrame:
 
 
 def stream_forward_switch(readings: DataFrame, switches: DataFrame, delay_ms: int) -> DataFrame:
-    """Readings forwarded while their sensor's switch is open (state cleared by event-time timers)."""
+    """Readings forwarded while their sensor's switch is open; rows are applied in
+    event-time order once the watermark (``delay_ms``) passes them."""
     r = readings.select("event_id", "id", "timestamp", "temperature",
                         F.lit(None).cast("long").alias("expiry"), F.lit(1).alias("src_rank"))
     s = switches.select("event_id", "id", "timestamp", F.lit(None).cast("double").alias("temperature"),
@@ -48,9 +49,10 @@ def stream_forward_switch(readings: DataFrame, switches: DataFrame, delay_ms: in
                 .transformWithStateInPandas(ReadingFilter(), ReadingFilter.OUTPUT, "append", "EventTime"))
 
 
-def stream_fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float = FIRE_ABOVE,
+def stream_fire_alerts(readings: DataFrame, smoke: DataFrame, delay_ms: int, threshold: float = FIRE_ABOVE,
                        shards: int = DEFAULT_SHARDS) -> DataFrame:
     """Fire alerts: hot readings salted over ``shards``, smoke fanned out to every shard;
+    rows are applied in event-time order once the watermark (``delay_ms``) passes them;
     the message text is formatted on the JVM side (Java number formatting)."""
     hot = readings.filter(F.col("temperature") > F.lit(float(threshold))).select(
         "event_id", "id", "timestamp", "temperature", F.lit(None).cast("string").alias("level"),
@@ -59,8 +61,8 @@ def stream_fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float =
         "event_id", F.lit(None).cast("string").alias("id"), "timestamp", F.lit(None).cast("double").alias("temperature"),
         "level", F.lit(0).alias("src_rank"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
-    out = hot.unionByName(fan).groupBy("shard") \
-        .transformWithStateInPandas(SmokeAlert(), SmokeAlert.OUTPUT, "append", "None")
+    out = with_event_time(hot.unionByName(fan), delay_ms).groupBy("shard") \
+        .transformWithStateInPandas(SmokeAlert(), SmokeAlert.OUTPUT, "append", "EventTime")
     return out.select("event_id", alert_message().alias("message"), "timestamp", "temperature")
 
 

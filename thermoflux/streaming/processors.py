@@ -98,49 +98,123 @@ class RollingMax(StatefulProcessor):
         pass
 
 
-class ReadingFilter(StatefulProcessor):
-    """Forwarding switch per sensor (event-time timers clear the state at expiry).
+def _none_if_nan(v):
+    return None if v is None or (isinstance(v, float) and np.isnan(v)) else v
 
-    Input: readings (``src_rank`` 1) and switches (``src_rank`` 0, ``expiry`` =
-    switch time + duration) of one sensor.
+
+class _WatermarkBuffer(StatefulProcessor):
+    """Holds a key's rows in ``ListState`` until the watermark passes them, then hands
+    them over in ``(timestamp, src_rank, event_id)`` order.
+
+    Rows older than the watermark are dropped by Spark before they reach the
+    processor (the event-time column is in the input), so once ``timestamp < wm``
+    no earlier row of either input can still arrive: the released prefix is final
+    and the result does not depend on how rows were split into micro-batches.
+    A timer at the oldest pending row flushes keys that receive no new rows.
     """
 
-    OUTPUT = "event_id long, id string, timestamp long, temperature double"
+    COLUMNS: list[str] = []
+    ROW_SCHEMA = ""
+    ORDER = ["timestamp", "src_rank", "event_id"]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def _init_buffer(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open_until = handle.getValueState("open_until", "ms long")
+        self.pending = handle.getListState("pending", self.ROW_SCHEMA)
+        self._kinds = [f.strip().split()[1].lower() for f in self.ROW_SCHEMA.split(",")]
+
+    def _row(self, r) -> tuple:
+        # pandas holds nullable LONG columns as float64: convert each field to the
+        # state schema's type, or the state store would not round-trip it.
+        out = []
+        for v, kind in zip(r, self._kinds):
+            v = _none_if_nan(v.item() if hasattr(v, "item") else v)
+            if v is None or v is pd.NA:
+                out.append(None)
+            elif kind in ("long", "int", "bigint"):
+                out.append(int(v))
+            elif kind == "double":
+                out.append(float(v))
+            else:
+                out.append(str(v))
+        return tuple(out)
+
+    def _due(self, new: pd.DataFrame | None, wm: int | None) -> pd.DataFrame:
+        frames = []
+        if self.pending.exists():
+            frames.append(pd.DataFrame(list(self.pending.get()), columns=self.COLUMNS))
+        if new is not None and len(new):
+            frames.append(new[self.COLUMNS])
+        if not frames:
+            return pd.DataFrame(columns=self.COLUMNS)
+        rows = pd.concat([f.astype(object) for f in frames], ignore_index=True) if len(frames) > 1 else frames[0]
+        rows = rows.astype({"timestamp": np.int64, "event_id": np.int64, "src_rank": np.int64})
+        due_mask = rows["timestamp"].to_numpy() < wm if wm is not None else np.zeros(len(rows), dtype=bool)
+        keep = rows[~due_mask]
+        if len(keep):
+            self.pending.put([self._row(r) for r in keep.itertuples(index=False)])
+        else:
+            self.pending.clear()
+        needed = {int(keep["timestamp"].min()) + 1} if len(keep) else set()
+        existing = set(self.handle.listTimers())
+        for t in existing - needed:
+            self.handle.deleteTimer(t)
+        for t in needed - existing:
+            self.handle.registerTimer(t)
+        return rows[due_mask].sort_values(self.ORDER, kind="stable")
+
+    def _apply(self, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
+        raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _concat(rows)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(["timestamp", "src_rank", "event_id"], kind="stable")
-        old = self.open_until.get()[0] if self.open_until.exists() else None
-        expiry = pdf["expiry"].to_numpy(dtype=float, na_value=np.nan)
-        seed = np.nan if old is None else float(old)
-        running = np.fmax.accumulate(np.concatenate([[seed], expiry]))[1:]
-        ts = pdf["timestamp"].to_numpy(dtype=np.int64)
-        keep = (pdf["src_rank"].to_numpy() == 1) & (running > ts)
-        new = running[-1]
-        if not np.isnan(new) and (old is None or new > old):
-            if old is not None:
-                self.handle.deleteTimer(int(old))
-            self.open_until.update((int(new),))
-            self.handle.registerTimer(int(new))
-        out = pdf.loc[keep, ["event_id", "id", "timestamp", "temperature"]]
+        wm = _watermark(timerValues)
+        out = self._apply(self._due(_concat(rows), wm), wm)
         if len(out):
             yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.open_until.clear()
-        return iter(())
+        wm = _watermark(timerValues)
+        out = self._apply(self._due(None, wm), wm)
+        if len(out):
+            yield out
 
     def close(self) -> None:
         pass
 
 
-class SmokeAlert(StatefulProcessor):
+class ReadingFilter(_WatermarkBuffer):
+    """Forwarding switch per sensor.
+
+    Input: readings (``src_rank`` 1) and switches (``src_rank`` 0, ``expiry`` =
+    switch time + duration) of one sensor.  State: the latest expiry, cleared once
+    the watermark passes it (no later row could be forwarded by it).
+    """
+
+    OUTPUT = "event_id long, id string, timestamp long, temperature double"
+    COLUMNS = ["event_id", "id", "timestamp", "temperature", "expiry", "src_rank"]
+    ROW_SCHEMA = "event_id long, id string, timestamp long, temperature double, expiry long, src_rank int"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._init_buffer(handle)
+        self.open_until = handle.getValueState("open_until", "ms long")
+
+    def _apply(self, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
+        old = self.open_until.get()[0] if self.open_until.exists() else None
+        out = due.iloc[0:0]
+        if len(due):
+            expiry = pd.to_numeric(due["expiry"], errors="coerce").to_numpy(dtype=float)
+            seed = np.nan if old is None else float(old)
+            running = np.fmax.accumulate(np.concatenate([[seed], expiry]))[1:]
+            keep = (due["src_rank"].to_numpy() == 1) & (running > due["timestamp"].to_numpy(dtype=np.int64))
+            out = due.loc[keep]
+            if not np.isnan(running[-1]):
+                old = int(running[-1])
+                self.open_until.update((old,))
+        if old is not None and wm is not None and old <= wm:
+            self.open_until.clear()
+        return out[["event_id", "id", "timestamp", "temperature"]]
+
+
+class SmokeAlert(_WatermarkBuffer):
     """Latest smoke level per shard; readings above the threshold alert while it is HIGH.
 
     Input per shard: the shard's readings (``src_rank`` 1) and every smoke row
@@ -148,26 +222,23 @@ class SmokeAlert(StatefulProcessor):
     """
 
     OUTPUT = "event_id long, id string, timestamp long, temperature double"
+    COLUMNS = ["event_id", "id", "timestamp", "temperature", "level", "src_rank"]
+    ROW_SCHEMA = "event_id long, id string, timestamp long, temperature double, level string, src_rank int"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self._init_buffer(handle)
         self.level = handle.getValueState("level", "level string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _concat(rows)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(["timestamp", "src_rank", "event_id"], kind="stable")
+    def _apply(self, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
+        if not len(due):
+            return due[["event_id", "id", "timestamp", "temperature"]]
         seed = self.level.get()[0] if self.level.exists() else SMOKE_LOW
-        levels = pd.concat([pd.Series([seed]), pdf["level"].reset_index(drop=True)], ignore_index=True).ffill()
+        levels = pd.concat([pd.Series([seed], dtype=object), due["level"].reset_index(drop=True).astype(object)],
+                           ignore_index=True).ffill()
         current = levels.iloc[1:].to_numpy()
         self.level.update((str(levels.iloc[-1]),))
-        alert = (pdf["src_rank"].to_numpy() == 1) & (current == SMOKE_HIGH)
-        out = pdf.loc[alert, ["event_id", "id", "timestamp", "temperature"]]
-        if len(out):
-            yield out
-
-    def close(self) -> None:
-        pass
+        alert = (due["src_rank"].to_numpy() == 1) & (current == SMOKE_HIGH)
+        return due.loc[alert, ["event_id", "id", "timestamp", "temperature"]]
 
 
 class LateWindowCount(StatefulProcessor):
