@@ -67,15 +67,25 @@ def test_fire_alerts_golden(spark):
         [(1, "sensor_1", 3, 120.0), (2, "sensor_1", 6, 100.0), (3, "sensor_1", 7, 100.5), (4, "sensor_1", 9, 150.0)],
         "event_id long, id string, timestamp long, temperature double")
     smoke = spark.createDataFrame([(10, "HIGH", 5), (11, "LOW", 8)], SMOKE)
-    got = [tuple(r) for r in connect.fire_alerts(readings, smoke, shards=3, chunk_ms=2).collect()]
-    assert got == [(3, "Risk of fire!(sensor_1, 7, 100.5)", 7, 100.5)]
+    for strategy in ("scan", "broadcast"):
+        got = [tuple(r) for r in connect.fire_alerts(readings, smoke, shards=3, chunk_ms=2, bucket_ms=3,
+                                                     strategy=strategy).collect()]
+        assert got == [(3, "Risk of fire!(sensor_1, 7, 100.5)", 7, 100.5)]
 
 
 def test_fire_alerts_smoke_first_at_equal_time(spark):
     readings = spark.createDataFrame([(1, "sensor_1", 5, 120.0)],
                                      "event_id long, id string, timestamp long, temperature double")
     smoke = spark.createDataFrame([(10, "HIGH", 5)], SMOKE)
-    assert connect.fire_alerts(readings, smoke).count() == 1
+    assert connect.fire_alerts(readings, smoke, strategy="scan").count() == 1
+    assert connect.fire_alerts(readings, smoke, strategy="broadcast").count() == 1
+    # two smoke events at one time: the later event_id wins
+    smoke = spark.createDataFrame([(10, "HIGH", 5), (11, "LOW", 5), (12, "HIGH", 9)], SMOKE)
+    readings = spark.createDataFrame([(1, "s", 5, 120.0), (2, "s", 8, 120.0), (3, "s", 9, 120.0)],
+                                     "event_id long, id string, timestamp long, temperature double")
+    for strategy in ("scan", "broadcast"):
+        got = sorted(r.event_id for r in connect.fire_alerts(readings, smoke, bucket_ms=2, strategy=strategy).collect())
+        assert got == [3]
 
 
 @pytest.mark.parametrize("second,expected_until", [(3000, 10000), (20000, 22000)])
@@ -84,16 +94,20 @@ def test_forward_switch_golden(spark, second, expected_until):
     ts = [0, 1000, 9999, 10000, 15000, 21999, 22000, 30000]
     readings = spark.createDataFrame([(i, "sensor_2", t, 1.0) for i, t in enumerate(ts)] + [(50, "sensor_7", 5, 1.0)],
                                      "event_id long, id string, timestamp long, temperature double")
-    got = sorted(r.timestamp for r in connect.forward_switch(readings, switches, chunk_ms=4000).collect())
-    assert got == [t for t in ts if t < expected_until]
+    for strategy in ("scan", "broadcast"):
+        got = sorted(r.timestamp for r in connect.forward_switch(readings, switches, chunk_ms=4000, bucket_ms=3000,
+                                                                 strategy=strategy).collect())
+        assert got == [t for t in ts if t < expected_until]
 
 
 def test_forward_switch_reopens_after_expiry(spark):
     switches = spark.createDataFrame([(100, "s", 0, 10), (101, "s", 50, 10)], SWITCH)
     readings = spark.createDataFrame([(i, "s", t, 1.0) for i, t in enumerate([5, 10, 30, 50, 59, 60])],
                                      "event_id long, id string, timestamp long, temperature double")
-    got = sorted(r.timestamp for r in connect.forward_switch(readings, switches).collect())
-    assert got == [5, 50, 59]
+    for strategy in ("scan", "broadcast"):
+        got = sorted(r.timestamp for r in connect.forward_switch(readings, switches, bucket_ms=7,
+                                                                 strategy=strategy).collect())
+        assert got == [5, 50, 59]
 
 
 def test_hot_key_rolling_and_switch_match_duckdb(spark):
@@ -125,3 +139,25 @@ def test_hot_key_rolling_and_switch_match_duckdb(spark):
         SELECT count(*) FROM {ev} r WHERE event_type <> 'signup' AND EXISTS (SELECT 1 FROM s
         WHERE s.t <= epoch_us(r.ts) // 1000 AND s.t + s.d > epoch_us(r.ts) // 1000)""").fetchall()[0][0]
     assert n == want
+
+
+@pytest.mark.parametrize("bucket_units", [1, 16, 200])
+def test_connect_strategies_agree_on_fixture(spark, bucket_units):
+    from tests.conftest import SF_SMALL
+    from thermoflux.sources import fixtures as fx
+    k = fx.K_MS
+    r, s = fx.switch_readings(spark, SF_SMALL), fx.switches(spark, SF_SMALL)
+    a = connect.forward_switch(r, s, chunk_ms=8 * k, strategy="scan")
+    b = connect.forward_switch(r, s, chunk_ms=8 * k, bucket_ms=bucket_units * k, strategy="broadcast")
+    assert a.count() == 740 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    r, sm = fx.alert_readings(spark, SF_SMALL), fx.smoke(spark, SF_SMALL)
+    a = connect.fire_alerts(r, sm, chunk_ms=8 * k, strategy="scan")
+    b = connect.fire_alerts(r, sm, chunk_ms=8 * k, bucket_ms=bucket_units * k, strategy="broadcast")
+    assert a.count() == 104 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_switch_query_uses_map_side_broadcast(spark):
+    from tests.conftest import SF_SMALL
+    from thermoflux.plans import QUERIES
+    plan = QUERIES["forward_switch"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Window" not in plan

@@ -1,12 +1,21 @@
 """Two-stream operators: a keyed stream connected with a control stream.
 
-Both are expressed as one ``unionByName`` of the two sides plus an ordered
-running aggregate (:func:`~thermoflux.operators.scan.running_scan`) — the batch
-equivalent of a co-function whose state is read by one side and written by
-the other.  Neither emits reading × control pairs.
+The control stream's effect is a set of time intervals — while a switch is
+open (per sensor), while the smoke level is HIGH (global) — computed from the
+small control side alone with ordered running aggregates.  Readings are then
+looked up in those intervals:
 
-Ordering convention: both sides carry event time; at equal ``timestamp`` the
-control row is applied before the reading.
+* **broadcast plan** (default when it fits): the intervals, exploded over the
+  time buckets they touch, pass a counted size check and are broadcast; the
+  readings stream through a map-side hash join on ``(key, bucket)`` plus a
+  range filter — no shuffle of the readings at all;
+* **scan plan** (beyond the broadcast threshold, or on request): one
+  ``unionByName`` of both sides and a chunked keyed running aggregate
+  (:func:`~thermoflux.operators.scan.running_scan`), which spreads hot keys and
+  hot time ranges over many tasks.
+
+Neither plan emits reading × control pairs.  Ordering convention: both sides
+carry event time; at equal ``timestamp`` the control row applies first.
 """
 
 from __future__ import annotations
@@ -16,8 +25,10 @@ from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div
 from thermoflux.functions.text import alert_message
+from thermoflux.operators.joins import broadcast_interval_filter, interval_slots
 from thermoflux.operators.scan import Measure, running_scan
 from thermoflux.schema import SMOKE_HIGH
+from thermoflux.session import materialize
 
 # Fixed alert threshold of the fire-risk example (strict >).
 FIRE_ABOVE = 100.0
@@ -26,10 +37,61 @@ FIRE_ABOVE = 100.0
 DEFAULT_SHARDS = 8
 # Width of one scan chunk in event time (ms): one hour holds ~36k rows of a 10 Hz sensor.
 DEFAULT_CHUNK_MS = 3_600_000
+# Lookup bucket widths (ms) of the broadcast plans: about one typical interval.
+SWITCH_BUCKET_MS = 86_400_000
+SMOKE_BUCKET_MS = 60_000
+STRATEGIES = ("auto", "broadcast", "scan")
+
+
+def _check_strategy(strategy: str) -> None:
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+
+
+def smoke_high_intervals(smoke: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+    """Maximal runs of HIGH smoke level as ``[start, end)`` (``end`` NULL: still HIGH).
+
+    Smoke events ordered by ``(timestamp, event_id)``; an event's level holds until the
+    next event.  Runs are found with ordered running aggregates over the (small)
+    control stream, chunked in time so no task holds the whole stream.
+    """
+    rev = smoke.select("event_id", "level", "timestamp",
+                       (-F.col("timestamp")).alias("neg_ts"), (-F.col("event_id")).alias("neg_id"))
+    # next event's time: the exclusive running min over the reversed order.
+    nxt = running_scan(rev, [], ["neg_ts", "neg_id"], [Measure("next_ts", "min", F.col("timestamp"))],
+                       chunk=floor_div("neg_ts", chunk_ms), exclusive=True)
+    prev = running_scan(nxt, [], ["timestamp", "event_id"], [Measure("prev_level", "last", F.col("level"))],
+                        chunk=floor_div("timestamp", chunk_ms), exclusive=True)
+    starts = prev.withColumn("run_start", F.when(F.col("level") != F.coalesce("prev_level", F.lit("")), 1)
+                             .otherwise(0))
+    runs = running_scan(starts, [], ["timestamp", "event_id"], [Measure("run", "sum", F.col("run_start"))],
+                        chunk=floor_div("timestamp", chunk_ms))
+    high = runs.filter(F.col("level") == F.lit(SMOKE_HIGH)).groupBy("run").agg(
+        F.min("timestamp").alias("start"),
+        # NULL next_ts on the run's last event means the run never ends.
+        F.when(F.max(F.col("next_ts").isNull().cast("int")) == 1, F.lit(None).cast("long"))
+         .otherwise(F.max("next_ts")).alias("end"))
+    return high.filter(F.col("end").isNull() | (F.col("end") > F.col("start"))).select("start", "end")
+
+
+def merged_switch_intervals(switches: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+    """Per sensor, the union of the switches' ``[ts, ts + d)`` as disjoint intervals."""
+    s = switches.select("id", "event_id", F.col("timestamp").alias("start"),
+                        (F.col("timestamp") + F.col("duration_ms")).alias("end")) \
+        .filter(F.col("end") > F.col("start"))
+    prev = running_scan(s, ["id"], ["start", "event_id"], [Measure("prev_end", "max", F.col("end"))],
+                        chunk=floor_div("start", chunk_ms), exclusive=True)
+    flagged = prev.withColumn("opens", F.when(F.col("prev_end").isNull() | (F.col("start") > F.col("prev_end")), 1)
+                              .otherwise(0))
+    grouped = running_scan(flagged, ["id"], ["start", "event_id"], [Measure("grp", "sum", F.col("opens"))],
+                           chunk=floor_div("start", chunk_ms))
+    return grouped.groupBy("id", "grp").agg(F.min("start").alias("start"), F.max("end").alias("end")) \
+        .select("id", "start", "end")
 
 
 def fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float = FIRE_ABOVE,
-                shards: int = DEFAULT_SHARDS, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+                shards: int = DEFAULT_SHARDS, chunk_ms: int = DEFAULT_CHUNK_MS,
+                bucket_ms: int = SMOKE_BUCKET_MS, strategy: str = "auto") -> DataFrame:
     """Alert ``"Risk of fire!(id, ts, t)"`` for each reading with ``t > threshold`` while the
     latest smoke level (as of the reading's time; none yet → LOW) is HIGH.
 
@@ -39,6 +101,21 @@ def fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float = FIRE_A
     each smoke row is fanned out to every shard.
     → ``event_id, message, timestamp, temperature``.
     """
+    _check_strategy(strategy)
+    if strategy != "scan":
+        intervals = materialize(smoke_high_intervals(smoke, chunk_ms))
+        bounded = materialize(interval_slots(intervals.filter(F.col("end").isNotNull()), [], bucket_ms))
+        cols = ["event_id", "id", "timestamp", "temperature"]
+        hot_readings = readings.filter(F.col("temperature") > F.lit(float(threshold))).select(*cols)
+        inside = broadcast_interval_filter(hot_readings, bounded, [], bucket_ms)
+        if inside is not None:
+            # At most one run is open-ended (the last one); its start is a single scalar.
+            open_row = intervals.filter(F.col("end").isNull()).select("start").first()
+            if open_row is not None:
+                inside = inside.unionByName(hot_readings.filter(F.col("timestamp") >= F.lit(open_row.start)))
+            return inside.select("event_id", alert_message().alias("message"), "timestamp", "temperature")
+        if strategy == "broadcast":
+            raise ValueError("smoke intervals exceed the broadcast threshold")
     hot = readings.filter(F.col("temperature") > F.lit(float(threshold))) \
         .select("event_id", "id", "timestamp", "temperature",
                 F.pmod(F.xxhash64("event_id"), F.lit(shards)).alias("shard"),
@@ -55,7 +132,8 @@ def fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float = FIRE_A
                    .select("event_id", alert_message().alias("message"), "timestamp", "temperature"))
 
 
-def forward_switch(readings: DataFrame, switches: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+def forward_switch(readings: DataFrame, switches: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS,
+                   bucket_ms: int = SWITCH_BUCKET_MS, strategy: str = "auto") -> DataFrame:
     """Forward a reading only while its sensor's switch is open.
 
     A switch ``(id, ts, d)`` opens forwarding for ``[ts, ts + d)``; a later-expiring
@@ -64,7 +142,15 @@ def forward_switch(readings: DataFrame, switches: DataFrame, chunk_ms: int = DEF
     ``switch.ts + d`` over the sensor's earlier switches is ``> t``.
     → the reading columns.
     """
+    _check_strategy(strategy)
     cols = readings.columns
+    if strategy != "scan":
+        slots = materialize(interval_slots(merged_switch_intervals(switches, chunk_ms), ["id"], bucket_ms))
+        inside = broadcast_interval_filter(readings, slots, ["id"], bucket_ms)
+        if inside is not None:
+            return inside
+        if strategy == "broadcast":
+            raise ValueError("switch intervals exceed the broadcast threshold")
     r = readings.select(*cols, F.lit(None).cast("long").alias("expiry"), F.lit(1).alias("src_rank"))
     s = switches.select(
         *[F.col(c) if c in ("event_id", "id", "timestamp") else F.lit(None).cast(readings.schema[c].dataType).alias(c)

@@ -38,3 +38,28 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
         return df
     rows = df.count()
     return F.broadcast(df) if rows * _estimated_row_bytes(df) <= limit else df
+
+
+def interval_slots(intervals: DataFrame, keys: list[str], bucket_ms: int) -> DataFrame:
+    """Explode disjoint ``[start, end)`` intervals over the time buckets they touch, so
+    a point lookup becomes an equi-join on ``(keys, bucket)`` plus a range filter."""
+    from thermoflux.functions.temporal import floor_div
+    return intervals.select(*keys, "start", "end",
+                            F.explode(F.sequence(floor_div("start", bucket_ms),
+                                                 floor_div(F.col("end") - F.lit(1), bucket_ms))).alias("_bucket"))
+
+
+def broadcast_interval_filter(rows: DataFrame, slots: DataFrame, keys: list[str], bucket_ms: int,
+                              ts_col: str = "timestamp") -> DataFrame | None:
+    """Rows whose ``ts_col`` lies in one of their key's intervals, as a map-side
+    broadcast hash join — or ``None`` when the slot table does not pass the size
+    check (the caller then uses a shuffle-based plan).  Intervals must be disjoint per
+    key, so each row matches at most once."""
+    from thermoflux.functions.temporal import floor_div
+    limit = broadcast_threshold(slots)
+    if limit <= 0 or slots.count() * _estimated_row_bytes(slots) > limit:
+        return None
+    cols = rows.columns
+    probe = rows.withColumn("_bucket", floor_div(ts_col, bucket_ms))
+    joined = probe.join(F.broadcast(slots), on=[*keys, "_bucket"], how="inner")
+    return joined.filter((F.col("start") <= F.col(ts_col)) & (F.col(ts_col) < F.col("end"))).select(*cols)

@@ -45,10 +45,11 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
     opened = windows.join(tick_side, on="f")
 
     # --- early firings: crossing ticks strictly after f with wm < e.
-    crossings = broadcast_if_small(materialize(
+    # Derived from the materialised tick table: counting it for the broadcast check is cheap.
+    crossings = broadcast_if_small(
         ticks.filter(F.col("wm").isNotNull())
              .groupBy(floor_div("wm", step_ms).alias("n"))
-             .agg(F.min("tick").alias("k"), F.min("wm").alias("wm_k"))))
+             .agg(F.min("tick").alias("k"), F.min("wm").alias("wm_k")))
     lower = F.coalesce(floor_div("wm_f", step_ms), floor_div("wm_next_f", step_ms) - F.lit(1))
     upper = floor_div(F.col("window_end") - F.lit(1), step_ms)
     candidates = opened.filter(lower < upper) \
@@ -70,11 +71,11 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
     # --- final firing: first tick whose wm reaches e.
     lo = F.coalesce(F.col("wm_prev"), F.col("tmin_before"))
     # One row per window-end slot up to the last watermark: bounded by time span / size.
-    grid = broadcast_if_small(materialize(
+    grid = broadcast_if_small(
         with_previous_watermark(ticks)
         .filter(F.col("wm").isNotNull() & lo.isNotNull() & (floor_div(lo, size_ms) < floor_div("wm", size_ms)))
         .select(F.col("wm").alias("final_wm"),
-                F.explode(F.sequence(floor_div(lo, size_ms) + F.lit(1), floor_div("wm", size_ms))).alias("end_slot"))))
+                F.explode(F.sequence(floor_div(lo, size_ms) + F.lit(1), floor_div("wm", size_ms))).alias("end_slot")))
     finals = (windows.withColumn("end_slot", floor_div("window_end", size_ms))
                      .join(grid, on="end_slot", how="left")
                      .select("id", "window_end", F.coalesce("final_wm", "window_end").alias("eval_time"),

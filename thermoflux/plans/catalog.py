@@ -22,6 +22,9 @@ CFG = fx.ReplayConfig()
 # 11 h): a few chunks per key.  They change only the task split, never the result.
 FIXTURE_CHUNK_MS = 64 * K
 FIXTURE_CHUNK_ROWS = 1 << 15
+# Lookup buckets of the broadcast interval plans, about one typical interval long.
+FIXTURE_SWITCH_BUCKET_MS = 16 * K
+FIXTURE_SMOKE_BUCKET_MS = 4 * K
 
 
 def _reading_cols(df: DataFrame) -> DataFrame:
@@ -121,12 +124,13 @@ def q_rolling_max(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_fire_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    return connect.fire_alerts(fx.alert_readings(spark, sf), fx.smoke(spark, sf), chunk_ms=FIXTURE_CHUNK_MS)
+    return connect.fire_alerts(fx.alert_readings(spark, sf), fx.smoke(spark, sf), chunk_ms=FIXTURE_CHUNK_MS,
+                               bucket_ms=FIXTURE_SMOKE_BUCKET_MS)
 
 
 def q_forward_switch(spark: SparkSession, sf: str) -> DataFrame:
     return connect.forward_switch(fx.switch_readings(spark, sf), fx.switches(spark, sf),
-                                  chunk_ms=FIXTURE_CHUNK_MS)
+                                  chunk_ms=FIXTURE_CHUNK_MS, bucket_ms=FIXTURE_SWITCH_BUCKET_MS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
