@@ -49,29 +49,20 @@ def _check_strategy(strategy: str) -> None:
 
 
 def smoke_high_intervals(smoke: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
-    """Maximal runs of HIGH smoke level as ``[start, end)`` (``end`` NULL: still HIGH).
+    """Periods of HIGH smoke level as disjoint ``[start, end)`` (``end`` NULL: still HIGH).
 
     Smoke events ordered by ``(timestamp, event_id)``; an event's level holds until the
-    next event.  Runs are found with ordered running aggregates over the (small)
-    control stream, chunked in time so no task holds the whole stream.
+    next event, so each HIGH event gives ``[ts, next_ts)`` (empty when the next event
+    has the same time).  ``next_ts`` is one ordered running aggregate over the small
+    control stream (reverse order, chunked in time so no task holds all of it).
     """
     rev = smoke.select("event_id", "level", "timestamp",
                        (-F.col("timestamp")).alias("neg_ts"), (-F.col("event_id")).alias("neg_id"))
-    # next event's time: the exclusive running min over the reversed order.
     nxt = running_scan(rev, [], ["neg_ts", "neg_id"], [Measure("next_ts", "min", F.col("timestamp"))],
                        chunk=floor_div("neg_ts", chunk_ms), exclusive=True)
-    prev = running_scan(nxt, [], ["timestamp", "event_id"], [Measure("prev_level", "last", F.col("level"))],
-                        chunk=floor_div("timestamp", chunk_ms), exclusive=True)
-    starts = prev.withColumn("run_start", F.when(F.col("level") != F.coalesce("prev_level", F.lit("")), 1)
-                             .otherwise(0))
-    runs = running_scan(starts, [], ["timestamp", "event_id"], [Measure("run", "sum", F.col("run_start"))],
-                        chunk=floor_div("timestamp", chunk_ms))
-    high = runs.filter(F.col("level") == F.lit(SMOKE_HIGH)).groupBy("run").agg(
-        F.min("timestamp").alias("start"),
-        # NULL next_ts on the run's last event means the run never ends.
-        F.when(F.max(F.col("next_ts").isNull().cast("int")) == 1, F.lit(None).cast("long"))
-         .otherwise(F.max("next_ts")).alias("end"))
-    return high.filter(F.col("end").isNull() | (F.col("end") > F.col("start"))).select("start", "end")
+    return (nxt.filter((F.col("level") == F.lit(SMOKE_HIGH))
+                       & (F.col("next_ts").isNull() | (F.col("next_ts") > F.col("timestamp"))))
+               .select(F.col("timestamp").alias("start"), F.col("next_ts").alias("end")))
 
 
 def merged_switch_intervals(switches: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
@@ -79,8 +70,8 @@ def merged_switch_intervals(switches: DataFrame, chunk_ms: int = DEFAULT_CHUNK_M
     s = switches.select("id", "event_id", F.col("timestamp").alias("start"),
                         (F.col("timestamp") + F.col("duration_ms")).alias("end")) \
         .filter(F.col("end") > F.col("start"))
-    prev = running_scan(s, ["id"], ["start", "event_id"], [Measure("prev_end", "max", F.col("end"))],
-                        chunk=floor_div("start", chunk_ms), exclusive=True)
+    prev = materialize(running_scan(s, ["id"], ["start", "event_id"], [Measure("prev_end", "max", F.col("end"))],
+                                    chunk=floor_div("start", chunk_ms), exclusive=True))
     flagged = prev.withColumn("opens", F.when(F.col("prev_end").isNull() | (F.col("start") > F.col("prev_end")), 1)
                               .otherwise(0))
     grouped = running_scan(flagged, ["id"], ["start", "event_id"], [Measure("grp", "sum", F.col("opens"))],
