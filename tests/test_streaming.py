@@ -220,3 +220,57 @@ def test_stream_forward_switch_out_of_order(spark, scratch):
     released = both.agg(F.max("timestamp")).first()[0] - delay
     want = connect.forward_switch(r, s).filter(F.col("timestamp") < released)
     assert want.count() > 500 and _same(got, want)
+
+
+def _poll(spark, table, n, seconds=90):
+    """Processing-time queries never go idle: poll instead of processAllAvailable."""
+    import time
+    deadline = time.time() + seconds
+    while time.time() < deadline:
+        try:
+            if spark.table(table).count() >= n:
+                return
+        except Exception:
+            pass
+        time.sleep(1)
+
+
+def test_stream_wall_clock_switch_and_ttl(spark, scratch):
+    """Live forms (processing time): the wall-clock switch forwards a sensor's readings
+    after its switch arrives; rolling state with a TTL still gives running sums."""
+    import time
+
+    from thermoflux.streaming import stream_forward_switch_wall_clock
+    r = fx.switch_readings(spark, SF_SMALL).limit(0)
+    path_r, path_s = os.path.join(scratch, "live_r"), os.path.join(scratch, "live_s")
+    r.write.parquet(path_r)
+    sw_schema = fx.switches(spark, SF_SMALL).schema
+    spark.createDataFrame([(0, "sensor_1", 0, 3_600_000)], sw_schema).write.parquet(path_s)
+    readings = spark.readStream.schema(r.schema).parquet(path_r)
+    switches = spark.readStream.schema(sw_schema).parquet(path_s)
+    q = (stream_forward_switch_wall_clock(readings, switches).writeStream.format("memory").queryName("live_fwd")
+         .option("checkpointLocation", os.path.join(scratch, "ck_live")).trigger(processingTime="1 second").start())
+    try:
+        deadline = time.time() + 60
+        while not q.recentProgress and time.time() < deadline:   # the switch batch ran
+            time.sleep(1)
+        time.sleep(3)
+        rows = [(1, "sensor_1", 5, 20.0), (2, "sensor_2", 6, 21.0)]
+        spark.createDataFrame(rows, r.schema).write.mode("append").parquet(path_r)
+        _poll(spark, "live_fwd", 1)
+        time.sleep(3)
+    finally:
+        q.stop()
+    assert [x.event_id for x in spark.table("live_fwd").collect()] == [1]
+
+    tri = fx.triples(spark, SF_SMALL)
+    path_t = os.path.join(scratch, "live_t")
+    tri.write.parquet(path_t)
+    q = (stream_rolling_sum(spark.readStream.schema(tri.schema).parquet(path_t), ttl_ms=3_600_000)
+         .writeStream.format("memory").queryName("ttl_sum")
+         .option("checkpointLocation", os.path.join(scratch, "ck_ttl")).trigger(processingTime="1 second").start())
+    try:
+        _poll(spark, "ttl_sum", 1000)
+    finally:
+        q.stop()
+    assert _same(spark.table("ttl_sum"), rolling.rolling_sum(tri))

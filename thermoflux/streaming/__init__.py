@@ -4,6 +4,7 @@ from thermoflux.streaming.operators import (
     stream_early_firing,
     stream_fire_alerts,
     stream_forward_switch,
+    stream_forward_switch_wall_clock,
     stream_freezing_monitor,
     stream_late_reading_split,
     stream_late_windows,
@@ -18,4 +19,5 @@ __all__ = [
     "stream_avg_tumbling", "stream_minmax_tumbling", "stream_count_tumbling",
     "stream_rolling_sum", "stream_rolling_max", "stream_forward_switch", "stream_fire_alerts",
     "stream_late_windows", "stream_early_firing", "stream_late_reading_split", "stream_freezing_monitor",
+    "stream_forward_switch_wall_clock",
 ]

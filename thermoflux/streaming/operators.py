@@ -21,20 +21,36 @@ from thermoflux.streaming.processors import (
     RollingMax,
     RollingSum,
     SmokeAlert,
+    WallClockReadingFilter,
 )
 from thermoflux.streaming.sources import EVENT_TIME, with_event_time
 
 
-def stream_rolling_sum(triples: DataFrame) -> DataFrame:
-    """``(event_id, k, v, c)`` → one running-sum row per input row."""
+def stream_rolling_sum(triples: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """``(event_id, k, v, c)`` → one running-sum row per input row (``ttl_ms``: optional
+    expiry of idle keys' state; with it the processor runs in processing-time mode)."""
+    mode = "ProcessingTime" if ttl_ms else "None"
     return (triples.select("event_id", "k", "v", "c").groupBy("k")
-                   .transformWithStateInPandas(RollingSum(), RollingSum.OUTPUT, "append", "None"))
+                   .transformWithStateInPandas(RollingSum(ttl_ms), RollingSum.OUTPUT, "append", mode))
 
 
-def stream_rolling_max(readings: DataFrame) -> DataFrame:
+def stream_rolling_max(readings: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """``(event_id, id, timestamp, temperature)`` → the arg-max record so far per input row."""
+    mode = "ProcessingTime" if ttl_ms else "None"
     return (readings.select("event_id", "id", "timestamp", "temperature").groupBy("id")
-                    .transformWithStateInPandas(RollingMax(), RollingMax.OUTPUT, "append", "None"))
+                    .transformWithStateInPandas(RollingMax(ttl_ms), RollingMax.OUTPUT, "append", mode))
+
+
+def stream_forward_switch_wall_clock(readings: DataFrame, switches: DataFrame) -> DataFrame:
+    """Live switch with processing-time semantics (the reference's clock); not replayable.
+    Run with a processing-time trigger and stop it explicitly."""
+    r = readings.select("event_id", "id", "timestamp", "temperature",
+                        F.lit(None).cast("long").alias("duration_ms"), F.lit(1).alias("src_rank"))
+    s = switches.select("event_id", "id", "timestamp", F.lit(None).cast("double").alias("temperature"),
+                        "duration_ms", F.lit(0).alias("src_rank"))
+    return (r.unionByName(s).groupBy("id")
+             .transformWithStateInPandas(WallClockReadingFilter(), WallClockReadingFilter.OUTPUT,
+                                         "append", "ProcessingTime"))
 
 
 def stream_forward_switch(readings: DataFrame, switches: DataFrame, delay_ms: int) -> DataFrame:

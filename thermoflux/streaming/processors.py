@@ -43,12 +43,17 @@ def _window_end(ts: np.ndarray, size_ms: int) -> np.ndarray:
 
 
 class RollingSum(StatefulProcessor):
-    """``keyBy(k).sum(v)``: running sum of ``v``; ``c`` keeps the key's first value."""
+    """``keyBy(k).sum(v)``: running sum of ``v``; ``c`` keeps the key's first value.
+
+    ``ttl_ms`` optionally expires idle keys' state (the reference keeps it forever)."""
 
     OUTPUT = "event_id long, k long, v long, c long"
 
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "total long, first_c long")
+        self.acc = handle.getValueState("acc", "total long, first_c long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows)
@@ -71,8 +76,11 @@ class RollingMax(StatefulProcessor):
 
     OUTPUT = "event_id long, id string, timestamp long, temperature double"
 
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", "t double, ts long")
+        self.best = handle.getValueState("best", "t double, ts long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows)
@@ -410,3 +418,46 @@ class LateReadingSplit(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class WallClockReadingFilter(StatefulProcessor):
+    """The reference's live switch: a switch opens forwarding for ``duration_ms`` from
+    *now* (processing time); a later-expiring switch extends it and moves the timer, an
+    earlier one is ignored; the processing-time timer clears the state.  Results depend
+    on arrival times, so this form is for live use only (the replayable form is
+    :class:`ReadingFilter`).  Input: readings (``src_rank`` 1) and switches
+    (``src_rank`` 0, ``duration_ms``), in arrival order within a batch."""
+
+    OUTPUT = "event_id long, id string, timestamp long, temperature double"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.enabled = handle.getValueState("forwarding", "on boolean")
+        self.timer = handle.getValueState("timer", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        out = []
+        for pdf in rows:
+            for r in pdf.itertuples(index=False):
+                if r.src_rank == 0:
+                    self.enabled.update((True,))
+                    expiry = int(now + r.duration_ms)
+                    current = self.timer.get()[0] if self.timer.exists() else None
+                    if current is None or expiry > current:
+                        if current is not None:
+                            self.handle.deleteTimer(current)
+                        self.handle.registerTimer(expiry)
+                        self.timer.update((expiry,))
+                elif self.enabled.exists() and self.enabled.get()[0]:
+                    out.append((int(r.event_id), r.id, int(r.timestamp), float(r.temperature)))
+        if out:
+            yield pd.DataFrame(out, columns=["event_id", "id", "timestamp", "temperature"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.enabled.clear()
+        self.timer.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
