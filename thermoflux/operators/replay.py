@@ -30,7 +30,7 @@ TICKS_PER_SCAN_CHUNK = 4096
 
 def tick_watermarks(rows: DataFrame, delay_ms: int, tick_col: str = "tick",
                     ts_col: str = "timestamp") -> DataFrame:
-    """``tick, tmax, wm, wm_next, tmin_before`` (materialised).
+    """``tick, tmax, tmin, wm, wm_next, tmin_before`` (materialised).
 
     * ``wm`` — watermark in force while the tick's rows arrive (NULL = −∞);
     * ``wm_next`` — the watermark after this tick's rows (= ``wm`` of the next tick);
@@ -41,7 +41,7 @@ def tick_watermarks(rows: DataFrame, delay_ms: int, tick_col: str = "tick",
                            [Measure("m_before", "max", F.col("tmax")), Measure("tmin_before", "min", F.col("tmin"))],
                            chunk=floor_div(tick_col, TICKS_PER_SCAN_CHUNK), exclusive=True)
     return materialize(scanned.select(
-        tick_col, "tmax", "tmin_before",
+        tick_col, "tmax", "tmin", "tmin_before",
         (F.col("m_before") - F.lit(delay_ms)).alias("wm"),
         (F.greatest("m_before", "tmax") - F.lit(delay_ms)).alias("wm_next")))
 

@@ -12,9 +12,10 @@ Closed form over the tick table (``wm`` monotone in tick):
   crossing ``k > f`` ⇔ ``floor(wm_k/step) > floor(wm_f/step)``, so a window's
   early firings are an equi-join on the step number ``n`` over
   ``floor(wm_f/step) < n <= floor((e-1)/step)`` (plus ``wm_k < e``);
-* the final firing is at the first tick with ``wm >= e``: each tick ``k``
-  finalises the window ends in ``(wm_prev_k, wm_k]``, again an equi-join;
-  windows still open at the end of the replay close with ``eval_time = e``;
+* the final firing is at the first tick with ``wm >= e``: the tick after ``k``
+  finalises the window ends in ``(wm_k, wm_next_k]`` (for the first tick, whose
+  ``wm`` is −∞, in ``(tmin_k, wm_next_k]``), again an equi-join; windows still
+  open at the end of the replay close with ``eval_time = e``;
 * counts are a running sum over per-tick pre-aggregated counts, so a hot
   (id, window) contributes at most one row per tick to the analytic window.
 """
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div, window_end
 from thermoflux.operators.joins import broadcast_if_small
-from thermoflux.operators.replay import with_previous_watermark
 from thermoflux.session import materialize
 
 
@@ -68,14 +68,16 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
     counted = early.unionByName(data).withColumn("cnt", F.coalesce(F.sum("n").over(w), F.lit(0)))
     early_out = counted.filter(F.col("rank") == 0).select("id", "window_end", "eval_time", F.col("cnt").cast("long"))
 
-    # --- final firing: first tick whose wm reaches e.
-    lo = F.coalesce(F.col("wm_prev"), F.col("tmin_before"))
-    # One row per window-end slot up to the last watermark: bounded by time span / size.
+    # --- final firing: first tick whose wm reaches e.  One row per window-end slot up
+    # to the last watermark (bounded by time span / size); the last tick has no successor.
+    last_tick = ticks.agg(F.max("tick")).first()[0]
+    lo = F.coalesce(F.col("wm"), F.col("tmin"))
     grid = broadcast_if_small(
-        with_previous_watermark(ticks)
-        .filter(F.col("wm").isNotNull() & lo.isNotNull() & (floor_div(lo, size_ms) < floor_div("wm", size_ms)))
-        .select(F.col("wm").alias("final_wm"),
-                F.explode(F.sequence(floor_div(lo, size_ms) + F.lit(1), floor_div("wm", size_ms))).alias("end_slot")))
+        ticks.filter((F.col("tick") < F.lit(last_tick))
+                     & (floor_div(lo, size_ms) < floor_div("wm_next", size_ms)))
+             .select(F.col("wm_next").alias("final_wm"),
+                     F.explode(F.sequence(floor_div(lo, size_ms) + F.lit(1), floor_div("wm_next", size_ms)))
+                      .alias("end_slot")))
     finals = (windows.withColumn("end_slot", floor_div("window_end", size_ms))
                      .join(grid, on="end_slot", how="left")
                      .select("id", "window_end", F.coalesce("final_wm", "window_end").alias("eval_time"),
