@@ -46,3 +46,23 @@ def test_freezing_monitor(spark):
 def test_alert_text_matches_java_format(spark):
     df = _readings(spark, [("sensor_1", 7, 100.5)])
     assert df.select(alert_message().alias("m")).first().m == "Risk of fire!(sensor_1, 7, 100.5)"
+
+
+def test_tag_rows_and_split_outputs(spark):
+    from thermoflux.operators.outputs import split_outputs, tag_rows
+    df = _readings(spark, [("s_1", 1, 10.0), ("s_1", 2, 40.0), ("s_2", 3, 120.0)])
+    tagged = tag_rows(df, [("hot", F.col("temperature") > 100), ("cold", F.col("temperature") < 32)])
+    outs = split_outputs(tagged, ["main", "hot", "cold"])
+    assert [r.timestamp for r in outs["hot"].collect()] == [3]
+    assert [r.timestamp for r in outs["cold"].collect()] == [1]
+    assert [r.timestamp for r in outs["main"].collect()] == [2]
+    assert outs["main"].columns == df.columns
+
+
+def test_assigner_and_minmax_seed(spark):
+    from thermoflux.operators.windows import assign_tumbling
+    df = _readings(spark, [("s", 0, 1.0), ("s", 29_999, 2.0), ("s", 30_000, 3.0), ("s", -1, 4.0)])
+    got = sorted((r.timestamp, r.window_start, r.window_end) for r in assign_tumbling(df, 30_000).collect())
+    assert got == [(-1, -30_000, 0), (0, 0, 30_000), (29_999, 0, 30_000), (30_000, 30_000, 60_000)]
+    seed = records.minmax_seed(df).filter(F.col("timestamp") == 0).first()
+    assert (seed.id, seed.min, seed.max) == ("s", 1.0, 1.0)
