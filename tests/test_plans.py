@@ -1,0 +1,33 @@
+"""Plan properties: column pruning and predicate pushdown reach the parquet scan."""
+
+import re
+
+import pytest
+
+from tests.conftest import SF_SMALL
+from thermoflux.plans import QUERIES
+
+
+def _plan(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_scans_are_pruned(spark, name):
+    plan = _plan(spark, name)
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    for schema in schemas:
+        assert "props" not in schema, schema
+        assert len(schema.split(",")) <= 5, schema
+
+
+@pytest.mark.parametrize("name,pushed", [("src_smoke", "EqualTo(event_type,error)"),
+                                         ("fire_alerts", "Not(EqualTo(event_type,error))")])
+def test_event_type_filter_is_pushed(spark, name, pushed):
+    assert pushed in _plan(spark, name)
+
+
+def test_window_aggregates_are_partial(spark):
+    plan = _plan(spark, "minmax_tumbling")
+    assert plan.count("HashAggregate") >= 2 and "partial_" in plan
