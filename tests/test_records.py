@@ -66,3 +66,18 @@ def test_assigner_and_minmax_seed(spark):
     assert got == [(-1, -30_000, 0), (0, 0, 30_000), (29_999, 0, 30_000), (30_000, 30_000, 60_000)]
     seed = records.minmax_seed(df).filter(F.col("timestamp") == 0).first()
     assert (seed.id, seed.min, seed.max) == ("s", 1.0, 1.0)
+
+
+def test_epoch_ms_independent_of_session_zone(spark):
+    from tests.conftest import SF_SMALL
+    from thermoflux.sources import fixtures as fx
+    want = sorted(tuple(r) for r in fx.readings(spark, SF_SMALL).select("event_id", "timestamp").collect())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = sorted(tuple(r) for r in fx.readings(spark, SF_SMALL).select("event_id", "timestamp").collect())
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert all(ts >= 1704067200000 for _, ts in want)      # all in January 2024
