@@ -28,8 +28,19 @@ def _estimated_row_bytes(df: DataFrame) -> int:
     return size
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str) -> int:
+    """Spark size strings (``10485760b``, ``10MB``, ``-1``) → bytes."""
+    t = text.strip().lower()
+    num = t.rstrip("abcdefghijklmnopqrstuvwxyz")
+    return int(float(num) * _UNITS[t[len(num):]])
+
+
 def broadcast_threshold(df: DataFrame) -> int:
-    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
