@@ -46,15 +46,6 @@ def tick_watermarks(rows: DataFrame, delay_ms: int, tick_col: str = "tick",
         (F.greatest("m_before", "tmax") - F.lit(delay_ms)).alias("wm_next")))
 
 
-def with_previous_watermark(ticks: DataFrame, tick_col: str = "tick") -> DataFrame:
-    """Add ``wm_prev``, the previous tick's ``wm`` (NULL for the first two ticks).
-
-    The watermark is monotone in tick, so it is the exclusive prefix max of ``wm``.
-    """
-    return running_scan(ticks, [], [tick_col], [Measure("wm_prev", "max", F.col("wm"))],
-                        chunk=floor_div(tick_col, TICKS_PER_SCAN_CHUNK), exclusive=True)
-
-
 def with_watermark(rows: DataFrame, ticks: DataFrame, tick_col: str = "tick") -> DataFrame:
     """Attach the tick's watermark ``wm`` to every row."""
     return rows.join(broadcast_if_small(ticks.select(tick_col, "wm")), on=tick_col, how="inner")

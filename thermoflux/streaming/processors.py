@@ -291,26 +291,42 @@ class LateWindowCount(StatefulProcessor):
         id_ = key[0]
         wm = _watermark(timerValues)
         out = self._flush(id_, wm)
+        frames = [self._frame(out)] if out else []
         pdf = _concat(rows)
         if not pdf.empty:
+            # One watermark per batch: all rows of a window share its status, so state
+            # is read and written once per window, not once per row.
             pdf = pdf.sort_values(["arrival", "event_id"], kind="stable")
-            ends = _window_end(pdf["timestamp"].to_numpy(dtype=np.int64), self.size_ms)
-            for r, e in zip(pdf.itertuples(index=False), ends):
-                e = int(e)
+            pdf = pdf.assign(window_end=_window_end(pdf["timestamp"].to_numpy(dtype=np.int64), self.size_ms))
+            for e, grp in pdf.groupby("window_end", sort=True):
+                e, n = int(e), len(grp)
                 if wm is not None and e + self.lateness_ms <= wm:
-                    out.append(("late", id_, None, None, None, int(r.event_id), int(r.timestamp), float(r.temperature)))
+                    frames.append(pd.DataFrame({
+                        "tag": "late", "id": id_, "window_end": pd.array([None] * n, dtype="Int64"),
+                        "cnt": pd.array([None] * n, dtype="Int64"), "kind": None,
+                        "event_id": grp["event_id"].to_numpy(), "timestamp": grp["timestamp"].to_numpy(),
+                        "temperature": grp["temperature"].to_numpy(dtype=float)}))
                     continue
                 cur = self.windows.getValue((e,))
-                cnt, fired = (cur[0] + 1, cur[1]) if cur is not None else (1, False)
+                cnt, fired = (int(cur[0]), bool(cur[1])) if cur is not None else (0, False)
                 if cur is None:
                     self.handle.registerTimer(e)
                     self.handle.registerTimer(e + self.lateness_ms)
-                if wm is not None and e <= wm:          # allowed-late: re-fire with the new count
-                    out.append(("count", id_, e, cnt, "update" if fired else "first", None, None, None))
+                if wm is not None and e <= wm:          # allowed-late: re-fire once per row
+                    counts = cnt + np.arange(1, n + 1, dtype=np.int64)
+                    kinds = np.full(n, "update", dtype=object)
+                    if not fired:
+                        kinds[0] = "first"
+                    frames.append(pd.DataFrame({
+                        "tag": "count", "id": id_, "window_end": pd.array([e] * n, dtype="Int64"),
+                        "cnt": pd.array(counts, dtype="Int64"), "kind": kinds,
+                        "event_id": pd.array([None] * n, dtype="Int64"),
+                        "timestamp": pd.array([None] * n, dtype="Int64"), "temperature": np.nan}))
                     fired = True
-                self.windows.updateValue((e,), (cnt, fired))
-        if out:
-            yield self._frame(out)
+                self.windows.updateValue((e,), (cnt + n, fired))
+        if frames:
+            yield pd.concat(frames, ignore_index=True)[
+                ["tag", "id", "window_end", "cnt", "kind", "event_id", "timestamp", "temperature"]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         out = self._flush(key[0], _watermark(timerValues))
@@ -437,22 +453,38 @@ class WallClockReadingFilter(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
+        # State is read once per batch and written back once (each access is a round trip).
+        enabled = bool(self.enabled.get()[0]) if self.enabled.exists() else False
+        timer = self.timer.get()[0] if self.timer.exists() else None
+        first_timer = timer
         out = []
         for pdf in rows:
-            for r in pdf.itertuples(index=False):
-                if r.src_rank == 0:
-                    self.enabled.update((True,))
-                    expiry = int(now + r.duration_ms)
-                    current = self.timer.get()[0] if self.timer.exists() else None
-                    if current is None or expiry > current:
-                        if current is not None:
-                            self.handle.deleteTimer(current)
-                        self.handle.registerTimer(expiry)
-                        self.timer.update((expiry,))
-                elif self.enabled.exists() and self.enabled.get()[0]:
-                    out.append((int(r.event_id), r.id, int(r.timestamp), float(r.temperature)))
+            rank = pdf["src_rank"].to_numpy()
+            if not (rank == 0).any():
+                if enabled:
+                    out.append(pdf[["event_id", "id", "timestamp", "temperature"]])
+                continue
+            keep = np.zeros(len(pdf), dtype=bool)
+            durations = pdf["duration_ms"].to_numpy(dtype=float, na_value=np.nan)
+            for i in range(len(pdf)):
+                if rank[i] == 0:
+                    enabled = True
+                    expiry = int(now + durations[i])
+                    if timer is None or expiry > timer:
+                        timer = expiry
+                else:
+                    keep[i] = enabled
+            out.append(pdf.loc[keep, ["event_id", "id", "timestamp", "temperature"]])
+        if enabled:
+            self.enabled.update((True,))
+        if timer != first_timer:
+            if first_timer is not None:
+                self.handle.deleteTimer(first_timer)
+            self.handle.registerTimer(timer)
+            self.timer.update((timer,))
+        out = [f for f in out if len(f)]
         if out:
-            yield pd.DataFrame(out, columns=["event_id", "id", "timestamp", "temperature"])
+            yield pd.concat(out, ignore_index=True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.enabled.clear()
