@@ -8,14 +8,14 @@ the window that arrived in earlier ticks (watermark first, then data).
 
 Closed form over the tick table (``wm`` monotone in tick):
 
-* crossing ticks = first tick of each run of equal ``floor(wm / step)``;
-  crossing ``k > f`` ⇔ ``floor(wm_k/step) > floor(wm_f/step)``, so a window's
-  early firings are an equi-join on the step number ``n`` over
-  ``floor(wm_f/step) < n <= floor((e-1)/step)`` (plus ``wm_k < e``);
-* the final firing is at the first tick with ``wm >= e``: the tick after ``k``
-  finalises the window ends in ``(wm_k, wm_next_k]`` (for the first tick, whose
-  ``wm`` is −∞, in ``(tmin_k, wm_next_k]``), again an equi-join; windows still
-  open at the end of the replay close with ``eval_time = e``;
+* crossing ticks = first tick of each run of equal ``floor(wm / step)``, numbered
+  densely in tick order; a window's early firings are the crossings after ``f``
+  with ``wm < e`` — the index range ``[#crossings <= f, #crossings with wm < e)``,
+  exploded exactly (one generated row per firing, whatever the timestamps);
+* the final firing is at the first tick with ``wm >= e``; for each distinct
+  window end it comes from one descending scan over the small union of tick
+  watermarks, crossings and window ends (no range join); windows still open at
+  the end of the replay close with ``eval_time = e``;
 * counts are a running sum over per-tick pre-aggregated counts, so a hot
   (id, window) contributes at most one row per tick to the analytic window.
 """
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div, window_end
 from thermoflux.operators.joins import broadcast_if_small
+from thermoflux.operators.replay import TICKS_PER_SCAN_CHUNK
+from thermoflux.operators.scan import Measure, running_scan
 from thermoflux.session import materialize
 
 
@@ -38,48 +40,53 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
         .filter(F.col("wm").isNull() | (F.col("window_end") > F.col("wm")))
     # Per (id, window, tick) counts: read twice below, so computed once and materialised.
     per_tick = materialize(on_time.groupBy("id", "window_end", "tick").agg(F.count(F.lit(1)).alias("n")))
-
     windows = per_tick.groupBy("id", "window_end").agg(F.min("tick").alias("f"), F.sum("n").alias("total"))
-    tick_side = broadcast_if_small(ticks.select(F.col("tick").alias("f"), F.col("wm").alias("wm_f"),
-                                                F.col("wm_next").alias("wm_next_f")))
-    opened = windows.join(tick_side, on="f")
 
-    # --- early firings: crossing ticks strictly after f with wm < e.
-    # Derived from the materialised tick table: counting it for the broadcast check is cheap.
-    crossings = broadcast_if_small(
-        ticks.filter(F.col("wm").isNotNull())
-             .groupBy(floor_div("wm", step_ms).alias("n"))
-             .agg(F.min("tick").alias("k"), F.min("wm").alias("wm_k")))
-    lower = F.coalesce(floor_div("wm_f", step_ms), floor_div("wm_next_f", step_ms) - F.lit(1))
-    upper = floor_div(F.col("window_end") - F.lit(1), step_ms)
-    candidates = opened.filter(lower < upper) \
-        .select("id", "window_end", F.explode(F.sequence(lower + F.lit(1), upper)).alias("n"))
-    early = (candidates.join(crossings, on="n")
-                       .filter(F.col("wm_k") < F.col("window_end"))
-                       .select("id", "window_end", F.col("k").alias("tick"),
-                               F.col("wm_k").alias("eval_time"), F.lit(0).alias("rank"),
-                               F.lit(None).cast("long").alias("n")))
+    # --- crossings, numbered densely in tick order; x_le = crossings at or before a tick.
+    first_of_run = ticks.filter(F.col("wm").isNotNull()).groupBy(floor_div("wm", step_ms)) \
+        .agg(F.min("tick").alias("tick")).select("tick", F.lit(1).alias("is_x"))
+    flagged = ticks.join(broadcast_if_small(first_of_run), on="tick", how="left") \
+        .withColumn("is_x", F.coalesce("is_x", F.lit(0)))
+    counted = materialize(running_scan(flagged, [], ["tick"], [Measure("x_le", "sum", F.col("is_x"))],
+                                       chunk=floor_div("tick", TICKS_PER_SCAN_CHUNK)))
+    n_cross = counted.agg(F.max("x_le")).first()[0] or 0
+    crossings = broadcast_if_small(counted.filter(F.col("is_x") == 1).select(
+        (F.col("x_le") - F.lit(1)).alias("ci"), F.col("tick").alias("k"), F.col("wm").alias("wm_k")))
+
+    # --- per distinct window end: first watermark >= e, and #crossings with wm >= e.
+    # Descending value order; at equal values ticks/crossings precede the window end.
+    marks = (counted.filter(F.col("wm").isNotNull())
+                    .select(F.col("wm").alias("v"), F.lit(0).alias("kind"), F.col("wm").alias("tick_wm"),
+                            F.col("is_x").alias("x")))
+    ends = windows.select(F.col("window_end").alias("v")).distinct() \
+        .select("v", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("tick_wm"), F.lit(0).alias("x"))
+    scanned = running_scan(marks.unionByName(ends).withColumn("neg_v", -F.col("v")), [], ["neg_v", "kind"],
+                           [Measure("final_wm", "min", F.col("tick_wm")), Measure("x_ge", "sum", F.col("x"))],
+                           chunk=floor_div("neg_v", size_ms * TICKS_PER_SCAN_CHUNK))
+    end_info = broadcast_if_small(materialize(scanned.filter(F.col("kind") == 1).select(
+        F.col("v").alias("window_end"), "final_wm",
+        (F.lit(n_cross) - F.coalesce("x_ge", F.lit(0)) - F.lit(1)).alias("hi"))))
+    opened = (windows.join(end_info, on="window_end")
+                     .join(broadcast_if_small(counted.select(F.col("tick").alias("f"), F.col("x_le").alias("lo"))),
+                           on="f"))
+
+    # --- early firings: exactly one generated row per firing.
+    early = (opened.filter(F.col("lo") <= F.col("hi"))
+                   .select("id", "window_end", F.explode(F.sequence("lo", "hi")).alias("ci"))
+                   .join(crossings, on="ci")
+                   .select("id", "window_end", F.col("k").alias("tick"), F.col("wm_k").alias("eval_time"),
+                           F.lit(0).alias("rank"), F.lit(None).cast("long").alias("n")))
 
     # cnt of an early firing at tick k = on-time rows of the window with tick < k.
     data = per_tick.select("id", "window_end", "tick", F.lit(None).cast("long").alias("eval_time"),
                            F.lit(1).alias("rank"), F.col("n"))
     w = Window.partitionBy("id", "window_end").orderBy("tick", "rank") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = early.unionByName(data).withColumn("cnt", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    early_out = counted.filter(F.col("rank") == 0).select("id", "window_end", "eval_time", F.col("cnt").cast("long"))
+    counted_rows = early.unionByName(data).withColumn("cnt", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    early_out = counted_rows.filter(F.col("rank") == 0) \
+        .select("id", "window_end", "eval_time", F.col("cnt").cast("long"))
 
-    # --- final firing: first tick whose wm reaches e.  One row per window-end slot up
-    # to the last watermark (bounded by time span / size); the last tick has no successor.
-    last_tick = ticks.agg(F.max("tick")).first()[0]
-    lo = F.coalesce(F.col("wm"), F.col("tmin"))
-    grid = broadcast_if_small(
-        ticks.filter((F.col("tick") < F.lit(last_tick))
-                     & (floor_div(lo, size_ms) < floor_div("wm_next", size_ms)))
-             .select(F.col("wm_next").alias("final_wm"),
-                     F.explode(F.sequence(floor_div(lo, size_ms) + F.lit(1), floor_div("wm_next", size_ms)))
-                      .alias("end_slot")))
-    finals = (windows.withColumn("end_slot", floor_div("window_end", size_ms))
-                     .join(grid, on="end_slot", how="left")
-                     .select("id", "window_end", F.coalesce("final_wm", "window_end").alias("eval_time"),
-                             F.col("total").cast("long").alias("cnt")))
+    # --- final firing (or end of replay: eval_time = e).
+    finals = opened.select("id", "window_end", F.coalesce("final_wm", "window_end").alias("eval_time"),
+                           F.col("total").cast("long").alias("cnt"))
     return early_out.unionByName(finals)
