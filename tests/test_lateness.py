@@ -64,6 +64,19 @@ def test_early_firing_golden(spark):
                           ("a", 8000, 4200, 1), ("a", 8000, 8000, 2)])
 
 
+
+def test_early_firing_far_future_jump(spark):
+    # One far-future reading moves the watermark by ~1e12 ms: the firings stay the
+    # real ones (no grid over step numbers or window-end slots in between).
+    far = 10 ** 12
+    rows = _replay_rows(spark, [(1, "a", 500, 100), (2, "a", 1500, 1100), (3, "b", far, 2100),
+                                (4, "a", 2600, 3100)])
+    r, ticks = replay.replay(rows, 0)
+    got = sorted(tuple(x) for x in triggers.early_firing_counts(r, ticks, 4000, 1000).collect())
+    e_b = far + 4000
+    assert got == sorted([("a", 4000, 500, 1), ("a", 4000, 1500, 2), ("a", 4000, far, 2),
+                          ("b", e_b, far, 1), ("b", e_b, e_b, 1)])
+
 def test_status_partition_invariant(spark):
     from thermoflux.sources import fixtures as fx
     from tests.conftest import SF_SMALL

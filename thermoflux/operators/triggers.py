@@ -6,18 +6,25 @@ While open it fires, without purging, each time the watermark crosses a whole
 firing emits ``(id, e, eval_time = wm, cnt)`` with ``cnt`` the on-time rows of
 the window that arrived in earlier ticks (watermark first, then data).
 
-Closed form over the tick table (``wm`` monotone in tick):
+Closed form over the tick table (``wm`` non-decreasing in tick):
 
-* crossing ticks = first tick of each run of equal ``floor(wm / step)``, numbered
-  densely in tick order; a window's early firings are the crossings after ``f``
-  with ``wm < e`` — the index range ``[#crossings <= f, #crossings with wm < e)``,
-  exploded exactly (one generated row per firing, whatever the timestamps);
-* the final firing is at the first tick with ``wm >= e``; for each distinct
-  window end it comes from one descending scan over the small union of tick
-  watermarks, crossings and window ends (no range join); windows still open at
-  the end of the replay close with ``eval_time = e``;
-* counts are a running sum over per-tick pre-aggregated counts, so a hot
-  (id, window) contributes at most one row per tick to the analytic window.
+* crossing ticks = first tick of each run of equal ``n = floor(wm / step)``; a
+  run's first tick also has its least ``wm``, so crossings are ordered alike by
+  tick and by ``wm``, and crossing ``k`` comes after ``f`` iff
+  ``wm_k >= (floor(wm_f / step) + 1) * step``;
+* a window's early firings are therefore the crossings with ``wm`` in
+  ``[a_f, e)``; with ``x_ge(v)`` = number of crossings with ``wm >= v`` and the
+  crossings indexed from the highest ``wm`` down, they are exactly the index
+  range ``[x_ge(e), x_ge(a_f))`` — exploded, one generated row per firing;
+* the final firing is at the least tick ``wm >= e``; windows still open at the
+  end of the replay close with ``eval_time = e``.
+
+``x_ge`` and "least ``wm >= v``" for every window end and every tick's ``a_f``
+come from ONE descending running scan over the small union of tick watermarks,
+crossings and probe values (bounded by ticks + distinct window ends, not by
+rows); no range join, no grid over step numbers or window-end slots, no driver
+round-trip.  Counts are a running sum over per-tick pre-aggregated counts, so a
+hot (id, window) contributes at most one row per tick to the analytic window.
 """
 
 from __future__ import annotations
@@ -31,6 +38,10 @@ from thermoflux.operators.replay import TICKS_PER_SCAN_CHUNK
 from thermoflux.operators.scan import Measure, running_scan
 from thermoflux.session import materialize
 
+# Probe value standing for a watermark of −∞ (below any epoch-ms watermark, and
+# negatable without overflow).
+_MINUS_INFINITY = -(1 << 62)
+
 
 def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms: int) -> DataFrame:
     """``rows``: replay rows with ``id, timestamp, tick, wm``; ``ticks``: from
@@ -42,33 +53,33 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
     per_tick = materialize(on_time.groupBy("id", "window_end", "tick").agg(F.count(F.lit(1)).alias("n")))
     windows = per_tick.groupBy("id", "window_end").agg(F.min("tick").alias("f"), F.sum("n").alias("total"))
 
-    # --- crossings, numbered densely in tick order; x_le = crossings at or before a tick.
-    first_of_run = ticks.filter(F.col("wm").isNotNull()).groupBy(floor_div("wm", step_ms)) \
-        .agg(F.min("tick").alias("tick")).select("tick", F.lit(1).alias("is_x"))
-    flagged = ticks.join(broadcast_if_small(first_of_run), on="tick", how="left") \
-        .withColumn("is_x", F.coalesce("is_x", F.lit(0)))
-    counted = materialize(running_scan(flagged, [], ["tick"], [Measure("x_le", "sum", F.col("is_x"))],
-                                       chunk=floor_div("tick", TICKS_PER_SCAN_CHUNK)))
-    n_cross = counted.agg(F.max("x_le")).first()[0] or 0
-    crossings = broadcast_if_small(counted.filter(F.col("is_x") == 1).select(
-        (F.col("x_le") - F.lit(1)).alias("ci"), F.col("tick").alias("k"), F.col("wm").alias("wm_k")))
+    # --- one descending scan over values.  Roles: 0 tick watermark, 1 crossing,
+    # 2 window-end probe, 3 tick probe a_f.  At equal values marks precede probes.
+    timed = ticks.filter(F.col("wm").isNotNull())
+    marks = timed.select(F.col("wm").alias("v"), F.lit(0).alias("role"), F.lit(None).cast("long").alias("ref"))
+    runs = timed.groupBy(floor_div("wm", step_ms)).agg(F.min("wm").alias("v"), F.min("tick").alias("ref")) \
+        .select("v", F.lit(1).alias("role"), "ref")
+    end_probes = windows.select(F.col("window_end").alias("v")).distinct() \
+        .select("v", F.lit(2).alias("role"), F.lit(None).cast("long").alias("ref"))
+    # The first tick has no watermark yet (−∞): every crossing comes after it.
+    a_f = F.coalesce((floor_div("wm", step_ms) + F.lit(1)) * F.lit(step_ms), F.lit(_MINUS_INFINITY))
+    tick_probes = ticks.select(a_f.alias("v"), F.lit(3).alias("role"), F.col("tick").alias("ref"))
+    values = marks.unionByName(runs).unionByName(end_probes).unionByName(tick_probes) \
+        .withColumn("neg_v", -F.col("v")).withColumn("is_probe", (F.col("role") >= 2).cast("int"))
+    scanned = materialize(running_scan(
+        values, [], ["neg_v", "is_probe"],
+        [Measure("least_wm", "min", F.when(F.col("role") == 0, F.col("v"))),
+         Measure("x_ge", "sum", (F.col("role") == 1).cast("long"))],
+        chunk=floor_div("neg_v", size_ms * TICKS_PER_SCAN_CHUNK)))
 
-    # --- per distinct window end: first watermark >= e, and #crossings with wm >= e.
-    # Descending value order; at equal values ticks/crossings precede the window end.
-    marks = (counted.filter(F.col("wm").isNotNull())
-                    .select(F.col("wm").alias("v"), F.lit(0).alias("kind"), F.col("wm").alias("tick_wm"),
-                            F.col("is_x").alias("x")))
-    ends = windows.select(F.col("window_end").alias("v")).distinct() \
-        .select("v", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("tick_wm"), F.lit(0).alias("x"))
-    scanned = running_scan(marks.unionByName(ends).withColumn("neg_v", -F.col("v")), [], ["neg_v", "kind"],
-                           [Measure("final_wm", "min", F.col("tick_wm")), Measure("x_ge", "sum", F.col("x"))],
-                           chunk=floor_div("neg_v", size_ms * TICKS_PER_SCAN_CHUNK))
-    end_info = broadcast_if_small(materialize(scanned.filter(F.col("kind") == 1).select(
-        F.col("v").alias("window_end"), "final_wm",
-        (F.lit(n_cross) - F.coalesce("x_ge", F.lit(0)) - F.lit(1)).alias("hi"))))
-    opened = (windows.join(end_info, on="window_end")
-                     .join(broadcast_if_small(counted.select(F.col("tick").alias("f"), F.col("x_le").alias("lo"))),
-                           on="f"))
+    crossings = broadcast_if_small(scanned.filter(F.col("role") == 1).select(
+        (F.col("x_ge") - F.lit(1)).alias("ci"), F.col("ref").alias("k"), F.col("v").alias("wm_k")))
+    end_info = broadcast_if_small(scanned.filter(F.col("role") == 2).select(
+        F.col("v").alias("window_end"), F.col("least_wm").alias("final_wm"),
+        F.coalesce("x_ge", F.lit(0)).alias("lo")))
+    tick_info = broadcast_if_small(scanned.filter(F.col("role") == 3).select(
+        F.col("ref").alias("f"), (F.coalesce("x_ge", F.lit(0)) - F.lit(1)).alias("hi")))
+    opened = windows.join(end_info, on="window_end").join(tick_info, on="f")
 
     # --- early firings: exactly one generated row per firing.
     early = (opened.filter(F.col("lo") <= F.col("hi"))
