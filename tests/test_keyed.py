@@ -88,6 +88,23 @@ def test_fire_alerts_smoke_first_at_equal_time(spark):
         assert got == [3]
 
 
+
+def test_long_intervals_fall_back_before_exploding(spark):
+    # A HIGH period ending at a far-future smoke event, and a switch open for ~30 years:
+    # counted from the intervals before any explode, both exceed the threshold and the
+    # auto plans fall back to the scan plans (same answers).
+    far = 10 ** 12
+    readings = spark.createDataFrame([(1, "s", 3, 120.0), (2, "s", 7, 120.0), (3, "s", far + 1, 120.0)],
+                                     "event_id long, id string, timestamp long, temperature double")
+    smoke = spark.createDataFrame([(10, "HIGH", 5), (11, "LOW", far)], SMOKE)
+    for fn, ctl, expected in ((connect.fire_alerts, smoke, [2]),
+                              (connect.forward_switch, spark.createDataFrame([(100, "s", 5, far)], SWITCH), [2, 3])):
+        auto = sorted(r.event_id for r in fn(readings, ctl, bucket_ms=1).collect())
+        with pytest.raises(ValueError):
+            fn(readings, ctl, bucket_ms=1, strategy="broadcast")
+        scan = sorted(r.event_id for r in fn(readings, ctl, bucket_ms=1, strategy="scan").collect())
+        assert auto == scan == expected
+
 @pytest.mark.parametrize("second,expected_until", [(3000, 10000), (20000, 22000)])
 def test_forward_switch_golden(spark, second, expected_until):
     switches = spark.createDataFrame([(100, "sensor_2", 0, 10000), (101, "sensor_2", 2000, second)], SWITCH)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div
 from thermoflux.functions.text import alert_message
-from thermoflux.operators.joins import broadcast_interval_filter, interval_slots
+from thermoflux.operators.joins import broadcast_interval_filter
 from thermoflux.operators.scan import Measure, running_scan
 from thermoflux.schema import SMOKE_HIGH
 from thermoflux.session import materialize
@@ -95,10 +95,9 @@ def fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float = FIRE_A
     _check_strategy(strategy)
     if strategy != "scan":
         intervals = materialize(smoke_high_intervals(smoke, chunk_ms))
-        bounded = materialize(interval_slots(intervals.filter(F.col("end").isNotNull()), [], bucket_ms))
         cols = ["event_id", "id", "timestamp", "temperature"]
         hot_readings = readings.filter(F.col("temperature") > F.lit(float(threshold))).select(*cols)
-        inside = broadcast_interval_filter(hot_readings, bounded, [], bucket_ms)
+        inside = broadcast_interval_filter(hot_readings, intervals.filter(F.col("end").isNotNull()), [], bucket_ms)
         if inside is not None:
             # At most one run is open-ended (the last one); its start is a single scalar.
             open_row = intervals.filter(F.col("end").isNull()).select("start").first()
@@ -136,8 +135,8 @@ def forward_switch(readings: DataFrame, switches: DataFrame, chunk_ms: int = DEF
     _check_strategy(strategy)
     cols = readings.columns
     if strategy != "scan":
-        slots = materialize(interval_slots(merged_switch_intervals(switches, chunk_ms), ["id"], bucket_ms))
-        inside = broadcast_interval_filter(readings, slots, ["id"], bucket_ms)
+        merged = materialize(merged_switch_intervals(switches, chunk_ms))
+        inside = broadcast_interval_filter(readings, merged, ["id"], bucket_ms)
         if inside is not None:
             return inside
         if strategy == "broadcast":

@@ -60,16 +60,29 @@ def interval_slots(intervals: DataFrame, keys: list[str], bucket_ms: int) -> Dat
                                                  floor_div(F.col("end") - F.lit(1), bucket_ms))).alias("_bucket"))
 
 
-def broadcast_interval_filter(rows: DataFrame, slots: DataFrame, keys: list[str], bucket_ms: int,
+def broadcast_interval_filter(rows: DataFrame, intervals: DataFrame, keys: list[str], bucket_ms: int,
                               ts_col: str = "timestamp") -> DataFrame | None:
-    """Rows whose ``ts_col`` lies in one of their key's intervals, as a map-side
-    broadcast hash join — or ``None`` when the slot table does not pass the size
-    check (the caller then uses a shuffle-based plan).  Intervals must be disjoint per
-    key, so each row matches at most once."""
+    """Rows whose ``ts_col`` lies in one of their key's ``[start, end)`` intervals, as a
+    map-side broadcast hash join on ``(keys, bucket)`` plus a range filter — or
+    ``None`` when the slot table would not pass the size check (the caller then uses
+    a shuffle-based plan).
+
+    The number of slots is summed from the (materialised) intervals by one
+    aggregate *before* anything is exploded, so one very long interval cannot
+    blow up the plan; only a slot table under the threshold is built, materialised
+    and broadcast.  Intervals must be disjoint per key, so each row matches at most
+    once."""
     from thermoflux.functions.temporal import floor_div
-    limit = broadcast_threshold(slots)
-    if limit <= 0 or slots.count() * _estimated_row_bytes(slots) > limit:
+    from thermoflux.session import materialize
+    limit = broadcast_threshold(intervals)
+    if limit <= 0:
+        return None
+    per_interval = floor_div(F.col("end") - F.lit(1), bucket_ms) - floor_div("start", bucket_ms) + F.lit(1)
+    n_slots = intervals.agg(F.sum(per_interval)).first()[0] or 0
+    row_bytes = _estimated_row_bytes(intervals.select(*keys, "start", "end")) + 8
+    if n_slots * row_bytes > limit:
         return None
+    slots = materialize(interval_slots(intervals, keys, bucket_ms))
     cols = rows.columns
     probe = rows.withColumn("_bucket", floor_div(ts_col, bucket_ms))
     joined = probe.join(F.broadcast(slots), on=[*keys, "_bucket"], how="inner")
