@@ -78,6 +78,10 @@ def test_epoch_ms_independent_of_session_zone(spark):
             spark.conf.set("spark.sql.session.timeZone", zone)
             got = sorted(tuple(r) for r in fx.readings(spark, SF_SMALL).select("event_id", "timestamp").collect())
             assert got == want
+        # A session that never set the zone (as the driver's): it resolves to the JVM zone.
+        spark.conf.unset("spark.sql.session.timeZone")
+        got = sorted(tuple(r) for r in fx.readings(spark, SF_SMALL).select("event_id", "timestamp").collect())
+        assert got == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert all(ts >= 1704067200000 for _, ts in want)      # all in January 2024

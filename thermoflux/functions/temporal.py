@@ -18,7 +18,11 @@ def _c(col: str | Column) -> Column:
 def _session_zone_is_utc() -> bool:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    zone = spark.conf.get("spark.sql.session.timeZone", "") if spark is not None else ""
+    if spark is None:
+        return False
+    # No default argument: Spark validates it as a zone (an empty one is rejected), and
+    # the setting always resolves (to the JVM zone when unset).
+    zone = spark.conf.get("spark.sql.session.timeZone") or ""
     return zone.upper() in ("UTC", "Z", "+00:00", "ETC/UTC", "GMT")
 
 
