@@ -69,7 +69,15 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[bool, str]:
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark = get_session()
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        # As the driver runs it: a bare session, none of get_session's settings;
+        # ORACLE_PLAIN_SESSION names the session time zone to use (e.g. Asia/Kolkata).
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", os.environ["ORACLE_PLAIN_SESSION"]).getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session()
     con = duck(sf_dir)
     ok_all = True
     for n in names:
