@@ -1,4 +1,4 @@
-"""Plan properties: column pruning and predicate pushdown reach the parquet scan."""
+"""Plan properties: column pruning and predicate pushdown reach the parquet scan; equi-joins only; no Python."""
 
 import re
 
@@ -14,12 +14,15 @@ def _plan(spark, name):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_scans_are_pruned(spark, name):
+def test_scans_are_pruned_and_no_pairs_or_python(spark, name):
     plan = _plan(spark, name)
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     for schema in schemas:
         assert "props" not in schema, schema
         assert len(schema.split(",")) <= 5, schema
+    # Every join is an equi-join (no pair enumeration) and no row leaves the JVM.
+    for op in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+        assert op not in plan, (name, op)
 
 
 @pytest.mark.parametrize("name,pushed", [("src_smoke", "EqualTo(event_type,error)"),
