@@ -1,5 +1,6 @@
 """Replay watermark, late side outputs, allowed lateness and early firing on hand goldens."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div
@@ -24,33 +25,54 @@ def test_updating_count_update_and_drop(spark):
     base = [(1, "a", 1000, 100), (2, "a", 2000, 200)]
     # allowed-late: 10000 <= wm=12000 < 15000
     rows = _replay_rows(spark, base + [(3, "a", 12000, 1100), (4, "a", 3000, 2100)])
-    r, _ = replay.replay(rows, 0)
-    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, 10000, 5000).collect())
+    r, t = replay.replay(rows, 0)
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, t, 10000, 5000).collect())
     assert got == [("a", 10000, 2, "first"), ("a", 10000, 3, "update"), ("a", 20000, 1, "first")]
     # dropped: wm=16000 >= 15000
     rows = _replay_rows(spark, base + [(3, "a", 16000, 1100), (4, "a", 3000, 2100)])
-    r, _ = replay.replay(rows, 0)
-    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, 10000, 5000).collect())
+    r, t = replay.replay(rows, 0)
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, t, 10000, 5000).collect())
     assert got == [("a", 10000, 2, "first"), ("a", 20000, 1, "first")]
-    late = lateness.late_side_output(r, 10000).collect()
+    late = lateness.late_side_output(r, t, 10000).collect()
     assert [x.event_id for x in late] == [4]
 
 
+@pytest.mark.parametrize("chunk_rows", [1, 2, 100])
+def test_updating_count_of_repeated_rows(spark, chunk_rows):
+    """An at-least-once source sends a late row twice: each copy fires."""
+    rows = _replay_rows(spark, [(1, "a", 1000, 100), (2, "a", 12000, 1100), (3, "a", 3000, 2100), (3, "a", 3000, 2100),
+                                (4, "a", 4000, 2200)])
+    r, t = replay.replay(rows, 0)
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, t, 10000, 5000, chunk_rows=chunk_rows).collect())
+    assert got == [("a", 10000, 1, "first"), ("a", 10000, 2, "update"), ("a", 10000, 3, "update"), ("a", 10000, 4, "update"),
+                   ("a", 20000, 1, "first")]
+
+
+def test_other_key_and_assigner(spark):
+    rows = _replay_rows(spark, [(1, "a", 1000, 100), (2, "a", 2000, 200), (3, "b", 12000, 300)]).withColumnRenamed("id", "plant")
+    r, t = replay.replay(rows, 0)
+    whole = lambda df, ts: df.withColumn("window_end", F.lit(100_000).cast("long"))
+    got = sorted(tuple(x) for x in lateness.on_time_window_counts(r, t, whole, key="plant").collect())
+    assert got == [("a", 100_000, 2), ("b", 100_000, 1)]
+    got = sorted(tuple(x) for x in triggers.early_firing_counts(r, t, whole, 1000, key="plant").collect())
+    assert got == [("a", 100_000, 100_000, 2), ("b", 100_000, 100_000, 1)]
+
+
 def test_updating_count_first_from_late_row(spark):
     rows = _replay_rows(spark, [(1, "b", 30000, 100), (2, "a", 1000, 1100), (3, "a", 2000, 1200)])
-    r, _ = replay.replay(rows, 25000)   # wm at tick 1 = 5000: window [0,10000) still open
-    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, 10000, 5000).collect())
+    r, t = replay.replay(rows, 25000)   # wm at tick 1 = 5000: window [0,10000) still open
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, t, 10000, 5000).collect())
     assert ("a", 10000, 2, "first") in got
     rows = _replay_rows(spark, [(1, "b", 12000, 100), (2, "a", 1000, 1100), (3, "a", 2000, 1200)])
-    r, _ = replay.replay(rows, 0)       # wm = 12000: allowed-late, no on-time row
-    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, 10000, 5000).collect())
+    r, t = replay.replay(rows, 0)       # wm = 12000: allowed-late, no on-time row
+    got = sorted(tuple(x) for x in lateness.updating_window_counts(r, t, 10000, 5000).collect())
     assert got == [("a", 10000, 1, "first"), ("a", 10000, 2, "update"), ("b", 20000, 1, "first")]
 
 
 def test_late_reading_split_offsets_by_one_ms(spark):
     rows = _replay_rows(spark, [(1, "a", 10000, 100), (2, "a", 9998, 1100), (3, "a", 9999, 1200)])
-    r, _ = replay.replay(rows, 0)        # wm at tick 1 = 10000 → reference watermark 9999
-    main, late = lateness.late_reading_split(r)
+    r, t = replay.replay(rows, 0)        # wm at tick 1 = 10000 → reference watermark 9999
+    main, late = lateness.late_reading_split(r, t)
     assert sorted(x.event_id for x in late.collect()) == [2]
     assert sorted(x.event_id for x in main.collect()) == [1, 3]
 
@@ -80,10 +102,11 @@ def test_early_firing_far_future_jump(spark):
 def test_status_partition_invariant(spark):
     from thermoflux.sources import fixtures as fx
     from tests.conftest import SF_SMALL
-    rows, _ = replay.replay(fx.arrival_readings(spark, SF_SMALL), fx.ReplayConfig().delay_ms)
+    raw, ticks = replay.replay(fx.arrival_readings(spark, SF_SMALL), fx.ReplayConfig().delay_ms)
+    rows = replay.with_watermark(raw, ticks)
     e = F.col("timestamp") - F.pmod("timestamp", F.lit(10 * fx.K_MS)) + F.lit(10 * fx.K_MS)
     st = rows.select(lateness.window_status(e, F.col("wm"), 5 * fx.K_MS).alias("s")).groupBy("s").count()
     counts = {r.s: r["count"] for r in st.collect()}
     assert sum(counts.values()) == rows.count() == 1000
-    main, late = lateness.late_reading_split(rows)
+    main, late = lateness.late_reading_split(raw, ticks)
     assert main.count() + late.count() == 1000

@@ -8,6 +8,11 @@ from tests.conftest import SF_SMALL
 from thermoflux.plans import QUERIES
 
 
+#: Queries over the replayed watermark and the two-stream queries.
+LAZY = ["count_tumbling", "custom_window_count", "early_firing_count", "fire_alerts", "forward_switch", "late_filter_late",
+        "late_filter_main", "late_side_output", "rolling_max", "rolling_sum", "updating_count"]
+
+
 def _plan(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
@@ -34,3 +39,28 @@ def test_event_type_filter_is_pushed(spark, name, pushed):
 def test_window_aggregates_are_partial(spark):
     plan = _plan(spark, "minmax_tumbling")
     assert plan.count("HashAggregate") >= 2 and "partial_" in plan
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_building_a_query_runs_and_writes_nothing(spark, name):
+    """The whole plan is seen by the tests above: no job before the action, no checkpointed part."""
+    spark.sparkContext.setJobGroup(f"build-{name}", name)
+    try:
+        plan = _plan(spark, name)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "ExistingRDD" not in plan and "FileScan parquet" in plan
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_answers_without_broadcast(spark, name):
+    key, want = "spark.sql.autoBroadcastJoinThreshold", sorted(map(str, QUERIES[name](spark, SF_SMALL).collect()))
+    spark.conf.set(key, "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastExchange" not in _plan(spark, name)
+        assert sorted(map(str, QUERIES[name](spark, SF_SMALL).collect())) == want
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -12,7 +12,8 @@ def _readings(spark, rows):
 
 
 def test_filter_is_inclusive(spark):
-    df = _readings(spark, [("s_1", 1, 24.9), ("s_1", 2, 25.0), ("s_1", 3, 30.0)])
+    # a comparison with NaN is false
+    df = _readings(spark, [("s_1", 1, 24.9), ("s_1", 2, 25.0), ("s_1", 3, 30.0), ("s_1", 4, float("nan"))])
     got = [r.temperature for r in records.filter_temperature(df, 25.0).collect()]
     assert sorted(got) == [25.0, 30.0]
 
@@ -37,9 +38,9 @@ def test_f_to_c_bit_equal(spark):
 
 
 def test_freezing_monitor(spark):
-    df = _readings(spark, [("sensor_1", 1, 32.0), ("sensor_1", 2, 31.9)])
+    df = _readings(spark, [("sensor_1", 1, 32.0), ("sensor_1", 2, 31.9), ("sensor_1", 3, float("nan"))])
     main, alarms = records.freezing_monitor(df)
-    assert main.count() == 2
+    assert main.count() == 3
     assert [r.message for r in alarms.collect()] == ["Freezing Alarm for sensor_1"]
 
 

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from tests.replay_files import write_replay_files
 from thermoflux.functions.temporal import floor_div
 from thermoflux.operators import connect, lateness, replay, rolling, triggers, windows
 from thermoflux.schema import REPLAY_READING
@@ -26,7 +27,6 @@ from thermoflux.streaming import (
     stream_minmax_tumbling,
     stream_rolling_max,
     stream_rolling_sum,
-    write_replay_files,
 )
 
 K = fx.K_MS
@@ -71,23 +71,23 @@ def time_replay(spark, scratch):
 
 
 def test_stream_updating_count_and_late_output(spark, scratch, late_replay):
-    path, r, _, wm_last = late_replay
+    path, r, ticks, wm_last = late_replay
     out = _run(spark, stream_late_windows(replay_stream(spark, path, REPLAY_READING), 10 * K, 5 * K, CFG.delay_ms),
                "late_counts", scratch)
     counts = out.filter("tag = 'count'").select("id", "window_end", "cnt", "kind")
-    batch = lateness.updating_window_counts(r, 10 * K, 5 * K).filter(F.col("window_end") <= wm_last)
+    batch = lateness.updating_window_counts(r, ticks, 10 * K, 5 * K).filter(F.col("window_end") <= wm_last)
     assert counts.count() > 0 and _same(counts, batch)
     dropped = out.filter("tag = 'late'").select("event_id")
     e = F.col("timestamp") - F.pmod("timestamp", F.lit(10 * K)) + F.lit(10 * K)
-    assert _same(dropped, r.filter(e + F.lit(5 * K) <= F.col("wm")).select("event_id"))
+    assert _same(dropped, replay.with_watermark(r, ticks).filter(e + F.lit(5 * K) <= F.col("wm")).select("event_id"))
 
 
 def test_stream_late_side_output_zero_lateness(spark, scratch, late_replay):
-    path, r, _, _ = late_replay
+    path, r, ticks, _ = late_replay
     out = _run(spark, stream_late_windows(replay_stream(spark, path, REPLAY_READING), 10 * K, 0, CFG.delay_ms),
                "late_side", scratch)
     late = out.filter("tag = 'late'").select("event_id", "id", "timestamp", "temperature")
-    assert late.count() > 0 and _same(late, lateness.late_side_output(r, 10 * K))
+    assert late.count() > 0 and _same(late, lateness.late_side_output(r, ticks, 10 * K))
 
 
 def test_stream_early_firing(spark, scratch, late_replay):
@@ -162,10 +162,10 @@ def test_stream_builtin_windows(spark, scratch, time_replay):
 
 def test_stream_late_reading_split(spark, scratch, late_replay):
     from thermoflux.streaming import stream_late_reading_split
-    path, r, _, _ = late_replay
+    path, r, ticks, _ = late_replay
     out = _run(spark, stream_late_reading_split(replay_stream(spark, path, REPLAY_READING), CFG.delay_ms),
                "late_split", scratch)
-    main, late = lateness.late_reading_split(r)
+    main, late = lateness.late_reading_split(r, ticks)
     cols = ["event_id", "id", "timestamp", "temperature"]
     assert _same(out.filter("tag = 'late'").select(*cols), late.select(*cols))
     assert _same(out.filter("tag = 'main'").select(*cols), main.select(*cols))
@@ -173,7 +173,7 @@ def test_stream_late_reading_split(spark, scratch, late_replay):
 
 def test_stream_count_tumbling_single_watermark(spark, scratch, late_replay):
     from thermoflux.streaming import stream_count_tumbling
-    path, r, _, wm_last = late_replay
+    path, r, ticks, wm_last = late_replay
     key = "spark.sql.streaming.statefulOperator.allowMultiple"
     spark.conf.set(key, "false")
     try:
@@ -181,7 +181,7 @@ def test_stream_count_tumbling_single_watermark(spark, scratch, late_replay):
                    "count10", scratch)
     finally:
         spark.conf.unset(key)
-    batch = lateness.on_time_window_counts(r, 10 * K).filter(F.col("window_end") <= wm_last)
+    batch = lateness.on_time_window_counts(r, ticks, 10 * K).filter(F.col("window_end") <= wm_last)
     assert out.count() > 0 and _same(out, batch)
 
 
@@ -274,3 +274,153 @@ def test_stream_wall_clock_switch_and_ttl(spark, scratch):
     finally:
         q.stop()
     assert _same(spark.table("ttl_sum"), rolling.rolling_sum(tri))
+
+
+def test_stream_nan_as_batch(spark, scratch):
+    """Min, max and the rolling record with NaN: the stream gives what the batch gives."""
+    nan = float("nan")
+    temps = [50.0, nan, 10.0, 60.0, 5.0, nan, nan, 3.0]
+    df = spark.createDataFrame([(i, "s", 1_000 * (i + 1), t, 1_000 * (i + 1)) for i, t in enumerate(temps)]
+                               + [(99, "z", 10 ** 7, 1.0, 10 ** 7)], REPLAY_READING)
+    path = os.path.join(scratch, "nan")
+    write_replay_files(df.withColumn("tick", floor_div("arrival", 3000)), path)
+    st = replay_stream(spark, path, REPLAY_READING)
+    text = lambda x: sorted(map(str, x.collect()))
+    assert text(_run(spark, stream_rolling_max(st), "nan_max", scratch)) == text(rolling.rolling_max(df, chunk_rows=2))
+    got = _run(spark, stream_minmax_tumbling(st, 4000, 0), "nan_minmax", scratch)
+    assert text(got) == text(windows.minmax_tumbling(df.filter("id = 's'"), 4000))
+
+
+class _Timer:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+class _Value:
+    def __init__(self):
+        self.held, self.writes = None, 0
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held, self.writes = value, self.writes + 1
+
+    def clear(self):
+        self.held = None
+
+
+class _Map:
+    def __init__(self):
+        self.held, self.written = {}, []
+
+    def iterator(self):
+        return iter(list(self.held.items()))
+
+    def getValue(self, key):
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+        self.written.append(key)
+
+    def removeKey(self, key):
+        del self.held[key]
+
+
+class _Handle:
+    def __init__(self):
+        self.timers, self.states = set(), {}
+
+    def getValueState(self, name, *_):
+        return self.states.setdefault(name, _Value())
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, _Map())
+
+    def registerTimer(self, t):
+        self.timers.add(t)
+
+    def deleteTimer(self, t):
+        self.timers.discard(t)
+
+    def listTimers(self):
+        return iter(sorted(self.timers))
+
+
+def _ids(frames):
+    return [int(x) for f in frames for x in f["event_id"]]
+
+
+def test_wall_clock_switch_runs_out_between_batches():
+    """Spark hands over rows before expired timers: a reading after expiry is not forwarded."""
+    import pandas as pd
+
+    from thermoflux.streaming.processors import WallClockReadingFilter
+    h, p = _Handle(), WallClockReadingFilter()
+    p.init(h)
+
+    def rows(*rs):
+        return iter([pd.DataFrame(rs, columns=["event_id", "id", "timestamp", "temperature", "duration_ms", "src_rank"])])
+
+    switch = lambda i, ms: (i, "s", 0, None, ms, 0)
+    reading = lambda i: (i, "s", 0, 1.0, None, 1)
+    # order within the batch is that of event_id, whatever the shuffle made of it
+    assert _ids(p.handleInputRows(("s",), rows(reading(3), switch(2, 1000), reading(1)), _Timer(10_000))) == [3]
+    assert h.timers == {11_000} and h.states["timer"].writes == 1
+    assert _ids(p.handleInputRows(("s",), rows(reading(4)), _Timer(10_500))) == [4]
+    assert h.states["timer"].writes == 1                       # nothing changed, nothing written
+    assert _ids(p.handleInputRows(("s",), rows(reading(5)), _Timer(15_000))) == []
+    assert h.timers == set() and not h.states["timer"].exists()
+    assert _ids(p.handleInputRows(("s",), rows(switch(6, 2000), switch(7, 500), reading(8)), _Timer(16_000))) == [8]
+    assert list(p.handleExpiredTimer(("s",), _Timer(16_600), None)) == [] and h.timers == {18_000}
+    assert _ids(p.handleInputRows(("s",), rows(reading(9)), _Timer(17_000))) == [9]
+    list(p.handleExpiredTimer(("s",), _Timer(18_000), None))
+    assert not h.states["timer"].exists()
+
+
+def test_buffer_writes_only_its_own_rows():
+    """A batch leaves pending rows of other buckets alone, and due buckets are read once."""
+    import pandas as pd
+
+    from thermoflux.streaming.processors import ReadingFilter
+    h, p = _Handle(), ReadingFilter(bucket_ms=10)
+    p.init(h)
+
+    def rows(*ts, rank=1):
+        return iter([pd.DataFrame([(t, "s", t, 1.0, t + 1000 if rank == 0 else None, rank) for t in ts], columns=p.ARROW.names)])
+
+    list(p.handleInputRows(("s",), rows(1, rank=0), _Timer(0)))
+    list(p.handleInputRows(("s",), rows(5, 15, 25), _Timer(0)))
+    parts = h.states["parts"]
+    assert set(parts.held) == {(0, 0), (0, 1), (1, 0), (2, 0)} and h.timers == {2}
+    parts.written.clear()
+    assert list(p.handleInputRows(("s",), rows(26, 35), _Timer(0))) == []
+    assert parts.written == [(2, 1), (3, 0)]                   # (0, *) and (1, 0) were not touched
+    parts.written.clear()
+    assert _ids(p.handleInputRows(("s",), rows(45), _Timer(18))) == [5, 15]
+    assert parts.written == [(4, 0)] and set(parts.held) == {(2, 0), (2, 1), (3, 0), (4, 0)} and h.timers == {26}
+    assert _ids(p.handleExpiredTimer(("s",), _Timer(26), None)) == [25]
+    assert parts.written[-1] == (2, 0) and h.timers == {27}    # the rest of a bucket that was due in part
+
+
+def test_sinks(spark, scratch, time_replay, capfd):
+    from thermoflux.streaming.sinks import start_memory, start_parquet, start_print
+    path, rows = time_replay
+    st = replay_stream(spark, path, REPLAY_READING).select("event_id", "id")
+    out = os.path.join(scratch, "plain")
+    start_parquet(st, out, os.path.join(scratch, "ck_plain")).awaitTermination()
+    assert _same(spark.read.parquet(out), rows.select("event_id", "id"))
+    start_memory(st, "in_memory").awaitTermination()
+    assert spark.table("in_memory").count() == rows.count()
+    start_print(st, rows=2).awaitTermination()
+    assert "sensor_" in capfd.readouterr().out

@@ -1,153 +1,106 @@
 """Two-stream operators: a keyed stream connected with a control stream.
 
-The control stream's effect is a set of time intervals — while a switch is
+The control stream's effect is a set of disjoint time intervals — while a switch is
 open (per sensor), while the smoke level is HIGH (global) — computed from the
-small control side alone with ordered running aggregates.  Readings are then
-looked up in those intervals:
-
-* **broadcast plan** (default when it fits): the intervals, exploded over the
-  time buckets they touch, pass a counted size check and are broadcast; the
-  readings stream through a map-side hash join on ``(key, bucket)`` plus a
-  range filter — no shuffle of the readings at all;
-* **scan plan** (beyond the broadcast threshold, or on request): one
-  ``unionByName`` of both sides and a chunked keyed running aggregate
-  (:func:`~thermoflux.operators.scan.running_scan`), which spreads hot keys and
-  hot time ranges over many tasks.
-
-Neither plan emits reading × control pairs.  Ordering convention: both sides
-carry event time; at equal ``timestamp`` the control row applies first.
+control side alone with ordered running aggregates.  Readings are then looked up by
+one equi-join on ``(key, time bucket)`` plus a range filter, at every size: adaptive
+execution broadcasts the interval side by its measured size or shuffles both, and
+splits skewed partitions.  The bucket is the mean interval length, found inside the
+query, so an interval falls into two buckets on average and the interval side at
+most doubles, whether intervals last seconds or years.
+
+Ordering convention: both sides carry event time; at equal ``timestamp`` the
+control row applies first.  Comparisons with NaN are false, as in Java.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import floor_div
 from thermoflux.functions.text import alert_message
-from thermoflux.operators.joins import broadcast_interval_filter
-from thermoflux.operators.scan import Measure, running_scan
+from thermoflux.operators.scan import CHUNK_ROWS, Measure, running_scan
 from thermoflux.schema import SMOKE_HIGH
-from thermoflux.session import materialize
 
 # Fixed alert threshold of the fire-risk example (strict >).
 FIRE_ABOVE = 100.0
-# Readings are salted over this many shards; each smoke row is copied to every
-# shard, so a burst of readings in one time range is still spread over tasks.
-DEFAULT_SHARDS = 8
-# Width of one scan chunk in event time (ms): one hour holds ~36k rows of a 10 Hz sensor.
-DEFAULT_CHUNK_MS = 3_600_000
-# Lookup bucket widths (ms) of the broadcast plans: about one typical interval.
-SWITCH_BUCKET_MS = 86_400_000
-SMOKE_BUCKET_MS = 60_000
-STRATEGIES = ("auto", "broadcast", "scan")
 
 
-def _check_strategy(strategy: str) -> None:
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
-
-
-def smoke_high_intervals(smoke: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+def smoke_high_intervals(smoke: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Periods of HIGH smoke level as disjoint ``[start, end)`` (``end`` NULL: still HIGH).
 
     Smoke events ordered by ``(timestamp, event_id)``; an event's level holds until the
     next event, so each HIGH event gives ``[ts, next_ts)`` (empty when the next event
-    has the same time).  ``next_ts`` is one ordered running aggregate over the small
-    control stream (reverse order, chunked in time so no task holds all of it).
+    has the same time).  ``next_ts`` is one ordered running aggregate over the
+    control stream (reverse order, chunked so no task holds all of it).
     """
     rev = smoke.select("event_id", "level", "timestamp",
                        (-F.col("timestamp")).alias("neg_ts"), (-F.col("event_id")).alias("neg_id"))
     nxt = running_scan(rev, [], ["neg_ts", "neg_id"], [Measure("next_ts", "min", F.col("timestamp"))],
-                       chunk=floor_div("neg_ts", chunk_ms), exclusive=True)
+                       chunk_rows=chunk_rows, exclusive=True)
     return (nxt.filter((F.col("level") == F.lit(SMOKE_HIGH))
                        & (F.col("next_ts").isNull() | (F.col("next_ts") > F.col("timestamp"))))
                .select(F.col("timestamp").alias("start"), F.col("next_ts").alias("end")))
 
 
-def merged_switch_intervals(switches: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+def merged_switch_intervals(switches: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per sensor, the union of the switches' ``[ts, ts + d)`` as disjoint intervals."""
     s = switches.select("id", "event_id", F.col("timestamp").alias("start"),
                         (F.col("timestamp") + F.col("duration_ms")).alias("end")) \
         .filter(F.col("end") > F.col("start"))
-    prev = materialize(running_scan(s, ["id"], ["start", "event_id"], [Measure("prev_end", "max", F.col("end"))],
-                                    chunk=floor_div("start", chunk_ms), exclusive=True))
+    prev = running_scan(s, ["id"], ["start", "event_id"], [Measure("prev_end", "max", F.col("end"))],
+                        chunk_rows=chunk_rows, exclusive=True)
     flagged = prev.withColumn("opens", F.when(F.col("prev_end").isNull() | (F.col("start") > F.col("prev_end")), 1)
                               .otherwise(0))
     grouped = running_scan(flagged, ["id"], ["start", "event_id"], [Measure("grp", "sum", F.col("opens"))],
-                           chunk=floor_div("start", chunk_ms))
+                           chunk_rows=chunk_rows)
     return grouped.groupBy("id", "grp").agg(F.min("start").alias("start"), F.max("end").alias("end")) \
         .select("id", "start", "end")
 
 
-def fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float = FIRE_ABOVE,
-                shards: int = DEFAULT_SHARDS, chunk_ms: int = DEFAULT_CHUNK_MS,
-                bucket_ms: int = SMOKE_BUCKET_MS, strategy: str = "auto") -> DataFrame:
+def in_intervals(rows: DataFrame, intervals: DataFrame, keys: list[str], bucket_ms: int | None = None,
+                 ts_col: str = "timestamp") -> DataFrame:
+    """Rows whose ``ts_col`` lies in one of their key's disjoint ``[start, end)`` intervals.
+
+    ``bucket_ms`` overrides the mean interval length as bucket width."""
+    if bucket_ms is None:
+        mean = F.ceil(F.avg(F.col("end") - F.col("start"))).cast("long")
+        width: Column = F.coalesce(intervals.agg(F.greatest(mean, F.lit(1).cast("long")).alias("w")).scalar(), F.lit(1).cast("long"))
+    else:
+        width = F.lit(int(bucket_ms)).cast("long")
+    slots = intervals.select(*keys, "start", "end", F.explode(F.sequence(
+        floor_div("start", width), floor_div(F.col("end") - F.lit(1), width))).alias("_bucket"))
+    probe = rows.withColumn("_bucket", floor_div(ts_col, width))
+    joined = probe.join(slots, on=[*keys, "_bucket"], how="inner")
+    return joined.filter((F.col("start") <= F.col(ts_col)) & (F.col(ts_col) < F.col("end"))).select(*rows.columns)
+
+
+def fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float = FIRE_ABOVE, bucket_ms: int | None = None,
+                chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Alert ``"Risk of fire!(id, ts, t)"`` for each reading with ``t > threshold`` while the
     latest smoke level (as of the reading's time; none yet → LOW) is HIGH.
 
     The smoke level is global (the control stream is broadcast to all keys), so this
     is an as-of join on time.  Readings that cannot alert are filtered first (the
-    predicate reaches the parquet scan); the rest are salted into ``shards`` and
-    each smoke row is fanned out to every shard.
-    → ``event_id, message, timestamp, temperature``.
+    predicate reaches the parquet scan).  → ``event_id, message, timestamp, temperature``.
     """
-    _check_strategy(strategy)
-    if strategy != "scan":
-        intervals = materialize(smoke_high_intervals(smoke, chunk_ms))
-        cols = ["event_id", "id", "timestamp", "temperature"]
-        hot_readings = readings.filter(F.col("temperature") > F.lit(float(threshold))).select(*cols)
-        inside = broadcast_interval_filter(hot_readings, intervals.filter(F.col("end").isNotNull()), [], bucket_ms)
-        if inside is not None:
-            # At most one run is open-ended (the last one); its start is a single scalar.
-            open_row = intervals.filter(F.col("end").isNull()).select("start").first()
-            if open_row is not None:
-                inside = inside.unionByName(hot_readings.filter(F.col("timestamp") >= F.lit(open_row.start)))
-            return inside.select("event_id", alert_message().alias("message"), "timestamp", "temperature")
-        if strategy == "broadcast":
-            raise ValueError("smoke intervals exceed the broadcast threshold")
-    hot = readings.filter(F.col("temperature") > F.lit(float(threshold))) \
-        .select("event_id", "id", "timestamp", "temperature",
-                F.pmod(F.xxhash64("event_id"), F.lit(shards)).alias("shard"),
-                F.lit(1).alias("src_rank"), F.lit(None).cast("string").alias("level"))
-    fan = smoke.select("event_id", F.lit(None).cast("string").alias("id"), "timestamp",
-                       F.lit(None).cast("double").alias("temperature"),
-                       F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
-                       F.lit(0).alias("src_rank"), "level")
-    both = hot.unionByName(fan)
-    scanned = running_scan(both, ["shard"], ["timestamp", "src_rank", "event_id"],
-                           [Measure("current_level", "last", F.col("level"))],
-                           chunk=floor_div("timestamp", chunk_ms))
-    return (scanned.filter((F.col("src_rank") == 1) & (F.col("current_level") == F.lit(SMOKE_HIGH)))
-                   .select("event_id", alert_message().alias("message"), "timestamp", "temperature"))
-
-
-def forward_switch(readings: DataFrame, switches: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS,
-                   bucket_ms: int = SWITCH_BUCKET_MS, strategy: str = "auto") -> DataFrame:
+    intervals = smoke_high_intervals(smoke, chunk_rows)
+    t = F.col("temperature")
+    hot = readings.filter((t > F.lit(float(threshold))) & ~F.isnan(t)).select("event_id", "id", "timestamp", "temperature")
+    # The last period may be open: it ends just after the last hot reading, or is empty.
+    last = F.coalesce(hot.agg(F.max("timestamp").alias("t")).scalar() + F.lit(1), F.col("start"))
+    closed = intervals.withColumn("end", F.coalesce("end", last)).filter(F.col("end") > F.col("start"))
+    inside = in_intervals(hot, closed, [], bucket_ms)
+    return inside.select("event_id", alert_message().alias("message"), "timestamp", "temperature")
+
+
+def forward_switch(readings: DataFrame, switches: DataFrame, bucket_ms: int | None = None,
+                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Forward a reading only while its sensor's switch is open.
 
     A switch ``(id, ts, d)`` opens forwarding for ``[ts, ts + d)``; a later-expiring
     switch extends it, an earlier-expiring one is ignored, and at expiry all state
-    clears.  Hence a reading at ``t`` passes iff the running max of
-    ``switch.ts + d`` over the sensor's earlier switches is ``> t``.
-    → the reading columns.
+    clears: the union of the sensor's switch intervals.  → the reading columns.
     """
-    _check_strategy(strategy)
-    cols = readings.columns
-    if strategy != "scan":
-        merged = materialize(merged_switch_intervals(switches, chunk_ms))
-        inside = broadcast_interval_filter(readings, merged, ["id"], bucket_ms)
-        if inside is not None:
-            return inside
-        if strategy == "broadcast":
-            raise ValueError("switch intervals exceed the broadcast threshold")
-    r = readings.select(*cols, F.lit(None).cast("long").alias("expiry"), F.lit(1).alias("src_rank"))
-    s = switches.select(
-        *[F.col(c) if c in ("event_id", "id", "timestamp") else F.lit(None).cast(readings.schema[c].dataType).alias(c)
-          for c in cols],
-        (F.col("timestamp") + F.col("duration_ms")).alias("expiry"), F.lit(0).alias("src_rank"))
-    both = r.unionByName(s)
-    scanned = running_scan(both, ["id"], ["timestamp", "src_rank", "event_id"],
-                           [Measure("open_until", "max", F.col("expiry"))],
-                           chunk=floor_div("timestamp", chunk_ms))
-    return scanned.filter((F.col("src_rank") == 1) & (F.col("open_until") > F.col("timestamp"))).select(*cols)
+    return in_intervals(readings, merged_switch_intervals(switches, chunk_rows), ["id"], bucket_ms)

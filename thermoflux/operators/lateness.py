@@ -1,7 +1,8 @@
 """Late data: window side outputs, per-record late split, allowed lateness.
 
-Input rows carry ``wm`` (see :mod:`thermoflux.operators.replay`).  For a
-window ending at ``e`` and allowed lateness ``L``:
+``rows`` carry the tick they arrive in and ``ticks`` its watermark ``wm`` (see
+:mod:`thermoflux.operators.replay`).  For a window ending at ``e`` and allowed
+lateness ``L``:
 
 * on time        iff ``wm`` is NULL or ``e > wm``;
 * allowed-late   iff ``e <= wm < e + L`` (the window re-fires with an update);
@@ -15,14 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermoflux.functions.temporal import floor_div, window_end
-from thermoflux.operators.scan import Measure, running_scan
-from thermoflux.session import materialize
+from thermoflux.operators.replay import with_watermark
+from thermoflux.operators.scan import CHUNK_ROWS, Measure, running_scan
+from thermoflux.operators.windows import Assigner, tumbling
 
 ON_TIME, ALLOWED_LATE, DROPPED = "on_time", "allowed_late", "dropped"
-# Allowed-late rows of one (id, window) are numbered in arrival-time chunks of
-# lateness / LATE_CHUNKS_PER_LATENESS ms, so a hot window is split across tasks.
-LATE_CHUNKS_PER_LATENESS = 8
 
 
 def window_status(e: Column, wm: Column, lateness_ms: int = 0) -> Column:
@@ -31,57 +29,64 @@ def window_status(e: Column, wm: Column, lateness_ms: int = 0) -> Column:
              .otherwise(F.lit(DROPPED)))
 
 
-def on_time_window_counts(rows: DataFrame, size_ms: int) -> DataFrame:
-    """Counts per (id, window) of the rows that reach a still-open window
-    (default event-time trigger; late rows are excluded) → ``id, window_end, cnt``."""
-    e = window_end("timestamp", size_ms)
-    return (rows.filter(F.col("wm").isNull() | (e > F.col("wm")))
-                .select("id", e.alias("window_end"))
-                .groupBy("id", "window_end").agg(F.count(F.lit(1)).alias("cnt")))
+def on_time_counts_per_tick(rows: DataFrame, ticks: DataFrame, window: int | Assigner, key: str = "id",
+                            ts_col: str = "timestamp") -> DataFrame:
+    """``key, window_end, tick, n, wm`` of the rows that reach a still-open window, counted
+    before the tick table is joined: the join sees one row per (key, window, tick)."""
+    assigned = tumbling(window)(rows, ts_col)
+    counted = assigned.groupBy(key, "window_end", "tick").agg(F.count(F.lit(1)).alias("n"))
+    return with_watermark(counted, ticks).filter(F.col("wm").isNull() | (F.col("window_end") > F.col("wm")))
 
 
-def late_side_output(rows: DataFrame, size_ms: int) -> DataFrame:
+def on_time_window_counts(rows: DataFrame, ticks: DataFrame, window: int | Assigner, key: str = "id",
+                          ts_col: str = "timestamp") -> DataFrame:
+    """Counts per (key, window) of the rows that reach a still-open window
+    (default event-time trigger; late rows are excluded) → ``key, window_end, cnt``.
+    ``window`` is a size in ms or an assigner."""
+    return (on_time_counts_per_tick(rows, ticks, window, key, ts_col)
+            .groupBy(key, "window_end").agg(F.sum("n").alias("cnt")))
+
+
+def _payload(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c not in ("wm", "tick", "arrival", "window_start", "window_end")]
+
+
+def late_side_output(rows: DataFrame, ticks: DataFrame, window: int | Assigner, ts_col: str = "timestamp") -> DataFrame:
     """``sideOutputLateData``: readings whose window had already closed, unchanged."""
-    cols = [c for c in rows.columns if c not in ("wm", "tick", "arrival")]
-    return rows.filter(window_end("timestamp", size_ms) <= F.col("wm")).select(*cols)
+    assigned = with_watermark(tumbling(window)(rows, ts_col), ticks)
+    return assigned.filter(F.col("window_end") <= F.col("wm")).select(*_payload(rows))
 
 
-def late_reading_split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def late_reading_split(rows: DataFrame, ticks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per-record late filter before any window: ``timestamp < currentWatermark``.
 
     The reference's watermark is one ms below Spark's, hence ``timestamp < wm - 1``.
     Returns ``(main, late)``.
     """
-    cols = [c for c in rows.columns if c not in ("wm", "tick", "arrival")]
+    rows = with_watermark(rows, ticks)
     late = F.col("wm").isNotNull() & (F.col("timestamp") < F.col("wm") - F.lit(1))
-    return rows.filter(~late).select(*cols), rows.filter(late).select(*cols)
+    return rows.filter(~late).select(*_payload(rows)), rows.filter(late).select(*_payload(rows))
 
 
-def updating_window_counts(rows: DataFrame, size_ms: int, lateness_ms: int,
-                           chunk_ms: int | None = None) -> DataFrame:
-    """Allowed lateness with updating results → ``id, window_end, cnt, kind``.
+def updating_window_counts(rows: DataFrame, ticks: DataFrame, window: int | Assigner, lateness_ms: int,
+                           key: str = "id", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Allowed lateness with updating results → ``key, window_end, cnt, kind``.
 
-    The first firing emits ``(id, e, n0, 'first')`` with ``n0`` on-time rows (if any);
+    The first firing emits ``(key, e, n0, 'first')`` with ``n0`` on-time rows (if any);
     each allowed-late row, in arrival order, re-fires with the cumulative count,
-    ``'first'`` if it is the window's very first firing, else ``'update'``.
+    ``'first'`` if it is the window's very first firing, else ``'update'``.  Repeated
+    rows (an at-least-once source) each count and fire.
     """
-    e = window_end("timestamp", size_ms)
-    status = window_status(e, F.col("wm"), lateness_ms)
-    late = status == F.lit(ALLOWED_LATE)
-    # One pass, one hash aggregate: on-time rows collapse to one group per window
-    # (n0, partially aggregated before the shuffle); each allowed-late row is its own
-    # group; dropped rows are filtered out.  The result is small and materialised.
-    both = materialize(
-        rows.filter(status != F.lit(DROPPED))
-            .groupBy("id", e.alias("window_end"),
-                     F.when(late, F.col("arrival")).alias("arrival"),
-                     F.when(late, F.col("event_id")).alias("event_id"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("rank", F.when(F.col("event_id").isNull(), F.lit(0)).otherwise(F.lit(1))))
-    # The on-time aggregate row is its own chunk in front of the late rows' chunks.
-    chunk_ms = chunk_ms or max(1, lateness_ms // LATE_CHUNKS_PER_LATENESS)
-    chunk = F.when(F.col("rank") == 0, F.lit(-1)).otherwise(floor_div("arrival", chunk_ms))
-    counted = running_scan(both, ["id", "window_end"], ["rank", "arrival", "event_id"],
-                           [Measure("cnt", "sum", F.col("n"))], chunk=chunk)
+    assigned = tumbling(window)(rows, "timestamp")
+    on_time = (on_time_counts_per_tick(rows, ticks, window, key).groupBy(key, "window_end").agg(F.sum("n").alias("n"))
+               .select(key, "window_end", F.lit(None).cast("long").alias("arrival"), F.lit(None).cast("long").alias("event_id"), "n"))
+    status = window_status(F.col("window_end"), F.col("wm"), lateness_ms)
+    late = (with_watermark(assigned.select(key, "window_end", "arrival", "event_id", "tick"), ticks)
+            .filter(status == F.lit(ALLOWED_LATE)).select(key, "window_end", "arrival", "event_id", F.lit(1).cast("long").alias("n")))
+    # The on-time total (null arrival) stands before every late row.
+    both = on_time.unionByName(late).withColumn("rank", F.col("arrival").isNotNull().cast("int"))
+    counted = running_scan(both, [key, "window_end"], ["rank", "arrival", "event_id"],
+                           [Measure("cnt", "sum", F.col("n"))], position=F.col("arrival"), chunk_rows=chunk_rows)
     kind = F.when((F.col("rank") == 0) | (F.col("cnt") == 1), F.lit("first")).otherwise(F.lit("update"))
-    return counted.select("id", "window_end", F.col("cnt").cast("long").alias("cnt"), kind.alias("kind"))
+    return counted.select(key, "window_end", F.col("cnt").cast("long").alias("cnt"), kind.alias("kind"))
+

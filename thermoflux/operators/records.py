@@ -17,8 +17,9 @@ FREEZING_BELOW = 32.0        # freezing alarm when temperature < 32
 
 
 def filter_temperature(df: DataFrame, threshold: float = FILTER_THRESHOLD) -> DataFrame:
-    """Keep readings with ``temperature >= threshold`` (inclusive)."""
-    return df.filter(F.col("temperature") >= F.lit(float(threshold)))
+    """Keep readings with ``temperature >= threshold`` (inclusive).  As in Java, a comparison
+    with NaN is false (Spark alone would order NaN above all numbers)."""
+    return df.filter((F.col("temperature") >= F.lit(float(threshold))) & ~F.isnan("temperature"))
 
 
 def map_id(df: DataFrame) -> DataFrame:

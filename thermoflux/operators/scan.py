@@ -3,17 +3,20 @@
 A rolling operator (running sum, running arg-max, "latest value so far") is a
 prefix scan per key.  ``Window.partitionBy(key).orderBy(seq)`` puts every row
 of a key into one task, so a key holding a third of the data would serialise a
-third of the job.  ``running_scan`` splits each key's order range into chunks:
-
-1. per ``(key, chunk)`` summary — a partial/final hash aggregate, tiny output;
-2. exclusive prefix of the summaries over the chunks of a key (small table);
-3. one *carry row* per ``(key, chunk)`` holding that prefix is unioned in front
-   of the chunk's rows; one analytic window partitioned by ``(key, chunk)``
-   then yields the exact running value of every row.
-
-Only one shuffle moves the data rows; a task sorts at most one chunk.  All
-combine functions are associative, so the result does not depend on the
-chunk width (the tests check widths from 1 row to "one chunk per key").
+third of the job.  ``running_scan`` splits only such keys:
+
+1. rows per key are counted (a partial/final hash aggregate); a key with more
+   than ``chunk_rows`` rows is *hot* and its own range of positions is cut into
+   ``ceil(rows / chunk_rows)`` equal chunks — every other key is one chunk;
+2. per (hot key, chunk) summary, and its exclusive prefix over the key's chunks:
+   at most ``2 * rows / chunk_rows`` rows altogether, whatever the keys are;
+3. one *carry row* holding that prefix is unioned in front of each later chunk
+   of a hot key; one analytic window partitioned by ``(key, chunk)`` then yields
+   the exact running value of every row.
+
+One shuffle moves the data rows.  All combine functions are associative, so the
+result does not depend on ``chunk_rows`` (the tests check bounds from 1 row up).
+Nothing runs when the plan is built.
 """
 
 from __future__ import annotations
@@ -24,25 +27,25 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_ALL = "_tf_all"          # stands for the key when there is none
 _CHUNK = "_tf_chunk"
 _SIDE = "_tf_side"        # 0 = carry row, 1 = data row
+_AT = "_tf_at"            # position that chunks are cut on
+CHUNK_ROWS = 1 << 16
 
 
 @dataclass(frozen=True)
 class Measure:
-    """One running aggregate: ``kind`` in sum | max | min | first | last."""
+    """One running aggregate: ``kind`` in sum | max | min | first | last.  ``first`` and
+    ``last`` pass over nulls."""
     name: str
     kind: str
     expr: Column
 
 
 def _summary(kind: str, v: Column, order: Column) -> Column:
-    if kind == "sum":
-        return F.sum(v)
-    if kind == "max":
-        return F.max(v)
-    if kind == "min":
-        return F.min(v)
+    if kind in ("sum", "max", "min"):
+        return getattr(F, kind)(v)
     if kind == "last":
         return F.max_by(v, F.when(v.isNotNull(), order))
     if kind == "first":
@@ -51,53 +54,53 @@ def _summary(kind: str, v: Column, order: Column) -> Column:
 
 
 def _window_agg(kind: str, v: Column) -> Column:
-    if kind == "sum":
-        return F.sum(v)
-    if kind == "max":
-        return F.max(v)
-    if kind == "min":
-        return F.min(v)
-    if kind == "last":
-        return F.last(v, ignorenulls=True)
-    if kind == "first":
-        return F.first(v, ignorenulls=True)
-    raise ValueError(f"unknown running aggregate kind {kind!r}")
-
-
-def running_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 measures: Sequence[Measure], chunk: Column | None = None,
-                 exclusive: bool = False) -> DataFrame:
+    if kind in ("sum", "max", "min"):
+        return getattr(F, kind)(v)
+    return F.last(v, ignorenulls=True) if kind == "last" else F.first(v, ignorenulls=True)
+
+
+def chunked(df: DataFrame, keys: Sequence[str], position: Column, chunk_rows: int) -> DataFrame:
+    """``df`` with its chunk number (null for keys that are not hot) and position."""
+    rows = df.withColumn(_AT, position)
+    hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tf_n"), F.min(_AT).alias("_tf_lo"), F.max(_AT).alias("_tf_hi"))
+               .filter(F.col("_tf_n") > chunk_rows))
+    # The key's range of positions in as many equal parts as its rows need.
+    parts = F.ceil(F.col("_tf_n") / F.lit(chunk_rows))
+    width = F.greatest(F.lit(1), F.ceil((F.col("_tf_hi") - F.col("_tf_lo") + F.lit(1)) / parts))
+    hot = hot.select(*keys, "_tf_lo", width.cast("long").alias("_tf_width"))
+    at = F.call_function("div", F.coalesce(_AT, "_tf_lo") - F.col("_tf_lo"), F.col("_tf_width"))
+    return rows.join(hot, list(keys), "left").withColumn(_CHUNK, at).drop("_tf_lo", "_tf_width")
+
+
+def running_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Sequence[Measure],
+                 position: Column | None = None, chunk_rows: int = CHUNK_ROWS, exclusive: bool = False) -> DataFrame:
     """Add one column per measure: its running aggregate per ``keys`` in ``order``.
 
-    ``chunk`` must be non-decreasing in ``order`` within a key (e.g. ``seq div W``);
-    ``None`` means one chunk per key (a plain analytic window).  ``exclusive``
-    leaves the current row out of its own value.
+    ``position`` is an integral column that does not decrease in ``order`` within a key,
+    null for rows before all others (default: the first column of ``order``).
+    ``exclusive`` leaves the current row out of its own value.  A null key is one chunk.
     """
-    keys = list(keys)
-    order = list(order)
-    if chunk is None:
-        chunk = F.lit(0)
+    keys, order = list(keys), list(order)
+    if not keys:
+        df, keys = df.withColumn(_ALL, F.lit(0)), [_ALL]
     # A single ordering column keeps min_by/max_by buffers fixed-width, so the
     # partial aggregate stays a HashAggregate (a struct ordering forces a sort-based one).
     order_struct = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     vals = [f"_tf_v{i}" for i in range(len(measures))]
-    rows = df.select("*", chunk.alias(_CHUNK), *[m.expr.alias(v) for m, v in zip(measures, vals)])
+    rows = chunked(df.select("*", *[m.expr.alias(v) for m, v in zip(measures, vals)]), keys,
+                   position if position is not None else F.col(order[0]), chunk_rows)
 
-    # 1-2: chunk summaries and their exclusive prefix over the chunks of each key.
-    summ = rows.groupBy(*keys, _CHUNK).agg(
+    # Chunk summaries of the hot keys and their exclusive prefix over the chunks of each.
+    summ = rows.filter(F.col(_CHUNK).isNotNull()).groupBy(*keys, _CHUNK).agg(
         *[_summary(m.kind, F.col(v), order_struct).alias(v) for m, v in zip(measures, vals)])
-    over_chunks = (Window.partitionBy(*keys) if keys else Window).orderBy(_CHUNK) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(*keys, _CHUNK,
-                        *[_window_agg(m.kind, F.col(v)).over(over_chunks).alias(v)
-                          for m, v in zip(measures, vals)],
-                        F.lit(0).alias(_SIDE))
-
-    # 3: carry row first, then the chunk's rows in order.
+    over_chunks = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select(*keys, _CHUNK, F.lag(_CHUNK).over(Window.partitionBy(*keys).orderBy(_CHUNK)).alias("_tf_before"),
+                        *[_window_agg(m.kind, F.col(v)).over(over_chunks).alias(v) for m, v in zip(measures, vals)]) \
+        .filter(F.col("_tf_before").isNotNull()).drop("_tf_before").withColumn(_SIDE, F.lit(0))
+
+    # Carry row first, then the chunk's rows in order.
     both = rows.withColumn(_SIDE, F.lit(1)).unionByName(carry, allowMissingColumns=True)
     frame_end = -1 if exclusive else Window.currentRow
-    w = Window.partitionBy(*keys, _CHUNK).orderBy(_SIDE, *order) \
-        .rowsBetween(Window.unboundedPreceding, frame_end)
-    out = both.select("*", *[_window_agg(m.kind, F.col(v)).over(w).alias(m.name)
-                             for m, v in zip(measures, vals)])
-    return out.filter(F.col(_SIDE) == 1).drop(_CHUNK, _SIDE, *vals)
+    w = Window.partitionBy(*keys, _CHUNK).orderBy(_SIDE, *order).rowsBetween(Window.unboundedPreceding, frame_end)
+    out = both.select("*", *[_window_agg(m.kind, F.col(v)).over(w).alias(m.name) for m, v in zip(measures, vals)])
+    return out.filter(F.col(_SIDE) == 1).drop(_CHUNK, _SIDE, _AT, _ALL, *vals)

@@ -32,26 +32,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermoflux.functions.temporal import floor_div, window_end
-from thermoflux.operators.joins import broadcast_if_small
+from thermoflux.functions.temporal import floor_div
+from thermoflux.operators.lateness import on_time_counts_per_tick
 from thermoflux.operators.replay import TICKS_PER_SCAN_CHUNK
 from thermoflux.operators.scan import Measure, running_scan
-from thermoflux.session import materialize
+from thermoflux.operators.windows import Assigner
 
 # Probe value standing for a watermark of −∞ (below any epoch-ms watermark, and
 # negatable without overflow).
 _MINUS_INFINITY = -(1 << 62)
 
 
-def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms: int) -> DataFrame:
-    """``rows``: replay rows with ``id, timestamp, tick, wm``; ``ticks``: from
-    :func:`thermoflux.operators.replay.tick_watermarks`.  → ``id, window_end, eval_time, cnt``."""
-    e = window_end("timestamp", size_ms)
-    on_time = rows.select("id", "tick", "wm", e.alias("window_end")) \
-        .filter(F.col("wm").isNull() | (F.col("window_end") > F.col("wm")))
-    # Per (id, window, tick) counts: read twice below, so computed once and materialised.
-    per_tick = materialize(on_time.groupBy("id", "window_end", "tick").agg(F.count(F.lit(1)).alias("n")))
-    windows = per_tick.groupBy("id", "window_end").agg(F.min("tick").alias("f"), F.sum("n").alias("total"))
+def early_firing_counts(rows: DataFrame, ticks: DataFrame, window: int | Assigner, step_ms: int, key: str = "id") -> DataFrame:
+    """``rows``: ``key, timestamp, tick``; ``ticks``: from
+    :func:`thermoflux.operators.replay.tick_watermarks`; ``window``: a size in ms or an
+    assigner.  → ``key, window_end, eval_time, cnt``."""
+    per_tick = on_time_counts_per_tick(rows, ticks, window, key)
+    windows = per_tick.groupBy(key, "window_end").agg(F.min("tick").alias("f"), F.sum("n").alias("total"))
 
     # --- one descending scan over values.  Roles: 0 tick watermark, 1 crossing,
     # 2 window-end probe, 3 tick probe a_f.  At equal values marks precede probes.
@@ -66,38 +63,38 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, size_ms: int, step_ms
     tick_probes = ticks.select(a_f.alias("v"), F.lit(3).alias("role"), F.col("tick").alias("ref"))
     values = marks.unionByName(runs).unionByName(end_probes).unionByName(tick_probes) \
         .withColumn("neg_v", -F.col("v")).withColumn("is_probe", (F.col("role") >= 2).cast("int"))
-    scanned = materialize(running_scan(
+    scanned = running_scan(
         values, [], ["neg_v", "is_probe"],
         [Measure("least_wm", "min", F.when(F.col("role") == 0, F.col("v"))),
          Measure("x_ge", "sum", (F.col("role") == 1).cast("long"))],
-        chunk=floor_div("neg_v", size_ms * TICKS_PER_SCAN_CHUNK)))
+        chunk_rows=TICKS_PER_SCAN_CHUNK)
 
-    crossings = broadcast_if_small(scanned.filter(F.col("role") == 1).select(
+    crossings = (scanned.filter(F.col("role") == 1).select(
         (F.col("x_ge") - F.lit(1)).alias("ci"), F.col("ref").alias("k"), F.col("v").alias("wm_k")))
-    end_info = broadcast_if_small(scanned.filter(F.col("role") == 2).select(
+    end_info = (scanned.filter(F.col("role") == 2).select(
         F.col("v").alias("window_end"), F.col("least_wm").alias("final_wm"),
         F.coalesce("x_ge", F.lit(0)).alias("lo")))
-    tick_info = broadcast_if_small(scanned.filter(F.col("role") == 3).select(
+    tick_info = (scanned.filter(F.col("role") == 3).select(
         F.col("ref").alias("f"), (F.coalesce("x_ge", F.lit(0)) - F.lit(1)).alias("hi")))
     opened = windows.join(end_info, on="window_end").join(tick_info, on="f")
 
     # --- early firings: exactly one generated row per firing.
     early = (opened.filter(F.col("lo") <= F.col("hi"))
-                   .select("id", "window_end", F.explode(F.sequence("lo", "hi")).alias("ci"))
+                   .select(key, "window_end", F.explode(F.sequence("lo", "hi")).alias("ci"))
                    .join(crossings, on="ci")
-                   .select("id", "window_end", F.col("k").alias("tick"), F.col("wm_k").alias("eval_time"),
+                   .select(key, "window_end", F.col("k").alias("tick"), F.col("wm_k").alias("eval_time"),
                            F.lit(0).alias("rank"), F.lit(None).cast("long").alias("n")))
 
     # cnt of an early firing at tick k = on-time rows of the window with tick < k.
-    data = per_tick.select("id", "window_end", "tick", F.lit(None).cast("long").alias("eval_time"),
+    data = per_tick.select(key, "window_end", "tick", F.lit(None).cast("long").alias("eval_time"),
                            F.lit(1).alias("rank"), F.col("n"))
-    w = Window.partitionBy("id", "window_end").orderBy("tick", "rank") \
+    w = Window.partitionBy(key, "window_end").orderBy("tick", "rank") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted_rows = early.unionByName(data).withColumn("cnt", F.coalesce(F.sum("n").over(w), F.lit(0)))
     early_out = counted_rows.filter(F.col("rank") == 0) \
-        .select("id", "window_end", "eval_time", F.col("cnt").cast("long"))
+        .select(key, "window_end", "eval_time", F.col("cnt").cast("long"))
 
     # --- final firing (or end of replay: eval_time = e).
-    finals = opened.select("id", "window_end", F.coalesce("final_wm", "window_end").alias("eval_time"),
+    finals = opened.select(key, "window_end", F.coalesce("final_wm", "window_end").alias("eval_time"),
                            F.col("total").cast("long").alias("cnt"))
     return early_out.unionByName(finals)

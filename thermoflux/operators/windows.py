@@ -1,19 +1,27 @@
 """Tumbling event-time window aggregates (batch forms).
 
-Each is one ``groupBy(id, window)`` hash aggregate: Spark does the partial
+Each is one ``groupBy(key, window)`` hash aggregate: Spark does the partial
 (map-side) aggregation before the shuffle, so only one row per
-``(task, id, window)`` crosses the network — the incremental reduce of the
+``(task, key, window)`` crosses the network — the incremental reduce of the
 reference, for free.  Window bounds are LONG arithmetic (epoch-aligned floor).
+
+Every operator takes the key and value columns, and as ``window`` a size in ms or
+any *assigner*: a function (rows, time column) → rows with ``window_start`` and
+``window_end``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermoflux.functions.temporal import window_end
 from thermoflux.functions.text import fahrenheit_to_celsius
 
+Assigner = Callable[[DataFrame, str], DataFrame]
+
 
 def assign_tumbling(df: DataFrame, size_ms: int, ts_col: str = "timestamp") -> DataFrame:
     """Custom assigner: one aligned window per element → ``window_start, window_end``."""
@@ -21,29 +29,35 @@ def assign_tumbling(df: DataFrame, size_ms: int, ts_col: str = "timestamp") -> D
     return df.withColumn("window_end", end).withColumn("window_start", F.col("window_end") - F.lit(size_ms))
 
 
-def _nan_safe(agg, col: str):
-    # Java Math.min/max propagate NaN; Spark's min/max order NaN above +inf.
-    return F.when(F.max(F.isnan(F.col(col))), F.lit(float("nan"))).otherwise(agg(F.col(col)))
+def tumbling(window: int | Assigner) -> Assigner:
+    """The assigner itself, or the tumbling one of a size in ms."""
+    if callable(window):
+        return window
+    return lambda df, ts_col="timestamp": assign_tumbling(df, window, ts_col)
 
 
-def avg_tumbling(df: DataFrame, size_ms: int, celsius: bool = True) -> DataFrame:
-    """Mean temperature per (id, window); ``timestamp`` is the exclusive window end."""
-    t = fahrenheit_to_celsius("temperature") if celsius else F.col("temperature")
-    return (df.select("id", window_end("timestamp", size_ms).alias("timestamp"), t.alias("temperature"))
-              .groupBy("id", "timestamp")
-              .agg(F.avg("temperature").alias("temperature")))
+def aggregate(df: DataFrame, window: int | Assigner, *aggs: Column, key: str = "id", ts_col: str = "timestamp") -> DataFrame:
+    """Any aggregates per (key, window) → ``key, window_end`` and one column each."""
+    return tumbling(window)(df, ts_col).groupBy(key, "window_end").agg(*aggs)
+
+
+def nan_safe(agg: Callable[[Column], Column], col: str) -> Column:
+    """Java Math.min/max propagate NaN; Spark's min/max order NaN above +inf."""
+    return F.when(F.max(F.isnan(F.col(col))), F.lit(float("nan"))).otherwise(agg(F.col(col)))
 
 
-def minmax_tumbling(df: DataFrame, size_ms: int) -> DataFrame:
-    """Min and max temperature per (id, window) with the window end → ``id, min, max, endTs``."""
-    return (df.select("id", "temperature", window_end("timestamp", size_ms).alias("endTs"))
-              .groupBy("id", "endTs")
-              .agg(_nan_safe(F.min, "temperature").alias("min"), _nan_safe(F.max, "temperature").alias("max"))
-              .select("id", "min", "max", "endTs"))
+def avg_tumbling(df: DataFrame, window: int | Assigner, celsius: bool = True, key: str = "id", value: str = "temperature",
+                 ts_col: str = "timestamp") -> DataFrame:
+    """Mean value per (key, window); ``timestamp`` is the exclusive window end."""
+    v = fahrenheit_to_celsius(value) if celsius else F.col(value)
+    rows = df.select(key, ts_col, v.alias(value))
+    return (aggregate(rows, window, F.avg(value).alias(value), key=key, ts_col=ts_col)
+            .select(key, F.col("window_end").alias("timestamp"), value))
 
 
-def count_tumbling(df: DataFrame, size_ms: int) -> DataFrame:
-    """Row count per (id, window) → ``id, window_end, cnt``."""
-    return (df.select("id", window_end("timestamp", size_ms).alias("window_end"))
-              .groupBy("id", "window_end")
-              .agg(F.count(F.lit(1)).alias("cnt")))
+def minmax_tumbling(df: DataFrame, window: int | Assigner, key: str = "id", value: str = "temperature",
+                    ts_col: str = "timestamp") -> DataFrame:
+    """Min and max value per (key, window) with the window end → ``key, min, max, endTs``."""
+    aggs = (nan_safe(F.min, value).alias("min"), nan_safe(F.max, value).alias("max"))
+    return (aggregate(df.select(key, value, ts_col), window, *aggs, key=key, ts_col=ts_col)
+            .select(key, "min", "max", F.col("window_end").alias("endTs")))

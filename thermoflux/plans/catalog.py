@@ -18,13 +18,6 @@ from thermoflux.sources import fixtures as fx
 
 K = fx.K_MS
 CFG = fx.ReplayConfig()
-# Scan chunk widths sized to the fixture's density (about one event per user per
-# 11 h): a few chunks per key.  They change only the task split, never the result.
-FIXTURE_CHUNK_MS = 64 * K
-FIXTURE_CHUNK_ROWS = 1 << 15
-# Lookup buckets of the broadcast interval plans, about one typical interval long.
-FIXTURE_SWITCH_BUCKET_MS = 16 * K
-FIXTURE_SMOKE_BUCKET_MS = 4 * K
 
 
 def _reading_cols(df: DataFrame) -> DataFrame:
@@ -81,56 +74,52 @@ def _replayed(spark: SparkSession, sf: str):
 
 
 def q_count_tumbling(spark: SparkSession, sf: str) -> DataFrame:
-    rows, _ = _replayed(spark, sf)
-    return lateness.on_time_window_counts(rows, 10 * K)
+    return lateness.on_time_window_counts(*_replayed(spark, sf), 10 * K)
 
 
 def q_late_side_output(spark: SparkSession, sf: str) -> DataFrame:
-    rows, _ = _replayed(spark, sf)
-    return lateness.late_side_output(rows, 10 * K)
+    return lateness.late_side_output(*_replayed(spark, sf), 10 * K)
 
 
 def q_late_filter_main(spark: SparkSession, sf: str) -> DataFrame:
-    rows, _ = _replayed(spark, sf)
-    return lateness.late_reading_split(rows)[0]
+    return lateness.late_reading_split(*_replayed(spark, sf))[0]
 
 
 def q_late_filter_late(spark: SparkSession, sf: str) -> DataFrame:
-    rows, _ = _replayed(spark, sf)
-    return lateness.late_reading_split(rows)[1]
+    return lateness.late_reading_split(*_replayed(spark, sf))[1]
 
 
 def q_updating_count(spark: SparkSession, sf: str) -> DataFrame:
-    rows, _ = _replayed(spark, sf)
-    return lateness.updating_window_counts(rows, 10 * K, CFG.lateness_ms)
+    return lateness.updating_window_counts(*_replayed(spark, sf), 10 * K, CFG.lateness_ms)
+
+
+def _thirty_units(rows: DataFrame, ts_col: str) -> DataFrame:
+    """The custom assigner of the custom-window program."""
+    return windows.assign_tumbling(rows, 30 * K, ts_col)
 
 
 def q_custom_window_count(spark: SparkSession, sf: str) -> DataFrame:
-    rows, _ = _replayed(spark, sf)
-    return lateness.on_time_window_counts(rows, 30 * K)
+    return lateness.on_time_window_counts(*_replayed(spark, sf), _thirty_units)
 
 
 def q_early_firing_count(spark: SparkSession, sf: str) -> DataFrame:
-    rows, ticks = _replayed(spark, sf)
-    return triggers.early_firing_counts(rows, ticks, 30 * K, CFG.tick_ms)
+    return triggers.early_firing_counts(*_replayed(spark, sf), _thirty_units, CFG.tick_ms)
 
 
 def q_rolling_sum(spark: SparkSession, sf: str) -> DataFrame:
-    return rolling.rolling_sum(fx.triples(spark, sf), chunk_rows=FIXTURE_CHUNK_ROWS)
+    return rolling.rolling_sum(fx.triples(spark, sf))
 
 
 def q_rolling_max(spark: SparkSession, sf: str) -> DataFrame:
-    return rolling.rolling_max(fx.readings(spark, sf), chunk_rows=FIXTURE_CHUNK_ROWS)
+    return rolling.rolling_max(fx.readings(spark, sf))
 
 
 def q_fire_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    return connect.fire_alerts(fx.alert_readings(spark, sf), fx.smoke(spark, sf), chunk_ms=FIXTURE_CHUNK_MS,
-                               bucket_ms=FIXTURE_SMOKE_BUCKET_MS)
+    return connect.fire_alerts(fx.alert_readings(spark, sf), fx.smoke(spark, sf))
 
 
 def q_forward_switch(spark: SparkSession, sf: str) -> DataFrame:
-    return connect.forward_switch(fx.switch_readings(spark, sf), fx.switches(spark, sf),
-                                  chunk_ms=FIXTURE_CHUNK_MS, bucket_ms=FIXTURE_SWITCH_BUCKET_MS)
+    return connect.forward_switch(fx.switch_readings(spark, sf), fx.switches(spark, sf))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -38,32 +38,6 @@ TRIPLE = T.StructType([
     T.StructField("c", T.LongType(), False),
 ])
 
-MINMAX = T.StructType([
-    T.StructField("id", T.StringType(), True),
-    T.StructField("min", T.DoubleType(), True),
-    T.StructField("max", T.DoubleType(), True),
-    T.StructField("endTs", T.LongType(), True),
-])
-
-ALERT = T.StructType([
-    T.StructField("message", T.StringType(), True),
-    T.StructField("timestamp", T.LongType(), False),
-])
-
-EARLY_COUNT = T.StructType([
-    T.StructField("id", T.StringType(), True),
-    T.StructField("window_end", T.LongType(), True),
-    T.StructField("eval_time", T.LongType(), True),
-    T.StructField("cnt", T.LongType(), True),
-])
-
-UPDATING_COUNT = T.StructType([
-    T.StructField("id", T.StringType(), True),
-    T.StructField("window_end", T.LongType(), True),
-    T.StructField("cnt", T.LongType(), True),
-    T.StructField("kind", T.StringType(), True),
-])
-
 # Fixed smoke levels of the alert example.
 SMOKE_LOW = "LOW"
 SMOKE_HIGH = "HIGH"

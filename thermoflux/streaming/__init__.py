@@ -11,11 +11,11 @@ from thermoflux.streaming.operators import (
     stream_rolling_max,
     stream_rolling_sum,
 )
-from thermoflux.streaming.sources import read_stream, replay_stream, with_event_time, write_replay_files
+from thermoflux.streaming.sources import read_stream, replay_stream, with_event_time
 from thermoflux.streaming.windows import stream_avg_tumbling, stream_count_tumbling, stream_minmax_tumbling
 
 __all__ = [
-    "read_stream", "replay_stream", "with_event_time", "write_replay_files",
+    "read_stream", "replay_stream", "with_event_time",
     "stream_avg_tumbling", "stream_minmax_tumbling", "stream_count_tumbling",
     "stream_rolling_sum", "stream_rolling_max", "stream_forward_switch", "stream_fire_alerts",
     "stream_late_windows", "stream_early_firing", "stream_late_reading_split", "stream_freezing_monitor",

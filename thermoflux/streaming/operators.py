@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermoflux.functions.text import alert_message
-from thermoflux.operators.connect import DEFAULT_SHARDS, FIRE_ABOVE
+from thermoflux.functions.text import alert_message, freezing_message
+from thermoflux.operators.connect import FIRE_ABOVE
 from thermoflux.streaming.processors import (
     EarlyFiringCount,
     LateReadingSplit,
@@ -26,6 +26,15 @@ from thermoflux.streaming.processors import (
 from thermoflux.streaming.sources import EVENT_TIME, with_event_time
 
 
+# Pending rows of the buffering processors lie in about this many time buckets per delay.
+BUCKETS_PER_DELAY = 16
+
+
+def session_shards(df: DataFrame) -> int:
+    """As many groups as the session has shuffle partitions: parallelism follows the cluster."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stream_rolling_sum(triples: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """``(event_id, k, v, c)`` → one running-sum row per input row (``ttl_ms``: optional
     expiry of idle keys' state; with it the processor runs in processing-time mode)."""
@@ -62,15 +71,17 @@ def stream_forward_switch(readings: DataFrame, switches: DataFrame, delay_ms: in
                         (F.col("timestamp") + F.col("duration_ms")).alias("expiry"), F.lit(0).alias("src_rank"))
     both = with_event_time(r.unionByName(s), delay_ms)
     return (both.groupBy("id")
-                .transformWithStateInPandas(ReadingFilter(), ReadingFilter.OUTPUT, "append", "EventTime"))
+                .transformWithStateInPandas(ReadingFilter(delay_ms // BUCKETS_PER_DELAY), ReadingFilter.OUTPUT, "append", "EventTime"))
 
 
 def stream_fire_alerts(readings: DataFrame, smoke: DataFrame, delay_ms: int, threshold: float = FIRE_ABOVE,
-                       shards: int = DEFAULT_SHARDS) -> DataFrame:
-    """Fire alerts: hot readings salted over ``shards``, smoke fanned out to every shard;
-    rows are applied in event-time order once the watermark (``delay_ms``) passes them;
+                       shards: int | None = None) -> DataFrame:
+    """Fire alerts: hot readings salted over ``shards`` (default: the session's shuffle
+    partitions), smoke fanned out to every shard; rows are applied in event-time order once the watermark (``delay_ms``) passes them;
     the message text is formatted on the JVM side (Java number formatting)."""
-    hot = readings.filter(F.col("temperature") > F.lit(float(threshold))).select(
+    shards = shards or session_shards(readings)
+    t = F.col("temperature")
+    hot = readings.filter((t > F.lit(float(threshold))) & ~F.isnan(t)).select(
         "event_id", "id", "timestamp", "temperature", F.lit(None).cast("string").alias("level"),
         F.lit(1).alias("src_rank"), F.pmod(F.xxhash64("event_id"), F.lit(shards)).alias("shard"))
     fan = smoke.select(
@@ -78,7 +89,7 @@ def stream_fire_alerts(readings: DataFrame, smoke: DataFrame, delay_ms: int, thr
         "level", F.lit(0).alias("src_rank"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
     out = with_event_time(hot.unionByName(fan), delay_ms).groupBy("shard") \
-        .transformWithStateInPandas(SmokeAlert(), SmokeAlert.OUTPUT, "append", "EventTime")
+        .transformWithStateInPandas(SmokeAlert(delay_ms // BUCKETS_PER_DELAY), SmokeAlert.OUTPUT, "append", "EventTime")
     return out.select("event_id", alert_message().alias("message"), "timestamp", "temperature")
 
 
@@ -103,20 +114,21 @@ def stream_early_firing(readings: DataFrame, size_ms: int, step_ms: int, delay_m
                                          "append", "EventTime"))
 
 
-def stream_late_reading_split(readings: DataFrame, delay_ms: int) -> DataFrame:
+def stream_late_reading_split(readings: DataFrame, delay_ms: int, shards: int | None = None) -> DataFrame:
     """Tagged (``main`` | ``late``) readings by the batch watermark; write with
-    :func:`thermoflux.streaming.sinks.start_tagged`."""
+    :func:`thermoflux.streaming.sinks.start_tagged`.  The comparison has no state, so rows
+    are spread by their own hash over ``shards`` groups (default: the session's shuffle
+    partitions) and a hot sensor is no hot task."""
     s = with_event_time(readings.select("event_id", "id", "timestamp", "temperature"), delay_ms).drop(EVENT_TIME)
-    return (s.groupBy("id")
+    shard = F.pmod(F.xxhash64("event_id"), F.lit(shards or session_shards(readings))).alias("shard")
+    return (s.groupBy(shard)
              .transformWithStateInPandas(LateReadingSplit(), LateReadingSplit.OUTPUT, "append", "EventTime"))
 
 
 def stream_freezing_monitor(readings: DataFrame, below: float = 32.0) -> DataFrame:
     """Every reading tagged ``main``, plus a ``freezing-alarms`` row per reading below
-    ``below`` (stateless: one projection and a union of two filters of the same stream)."""
-    from thermoflux.functions.text import freezing_message
-    cols = ["event_id", "id", "timestamp", "temperature"]
-    main = readings.select(F.lit("main").alias("tag"), *cols, F.lit(None).cast("string").alias("message"))
-    alarms = readings.filter(F.col("temperature") < F.lit(float(below))).select(
-        F.lit("freezing-alarms").alias("tag"), *cols, freezing_message("id").alias("message"))
-    return main.unionByName(alarms)
+    ``below``: one pass over the source, each reading exploded to its tags."""
+    cold = F.col("temperature") < F.lit(float(below))
+    tags = F.when(cold, F.array(F.lit("main"), F.lit("freezing-alarms"))).otherwise(F.array(F.lit("main")))
+    tagged = readings.select(F.explode(tags).alias("tag"), "event_id", "id", "timestamp", "temperature")
+    return tagged.withColumn("message", F.when(F.col("tag") == "freezing-alarms", freezing_message("id")))

@@ -9,8 +9,9 @@ Conventions shared with the batch forms:
 * rows of one key are ordered inside a batch (``seq`` or ``(timestamp,
   src_rank, event_id)``); across batches the input must not run ahead of
   itself (true for a source replayed in event-time order);
-* the watermark of a batch is the one left by the previous batch; values
-  ``<= 0`` (early batches) mean −∞;
+* the watermark of a batch is the one left by the previous batch.  Spark's own
+  watermark starts at 0 and never goes below, so 0 means −∞, and streams of
+  event times before 1970 have no watermark in Spark at all;
 * rows are handled before the batch's expired timers, so due firings are
   flushed at the start of ``handleInputRows`` (watermark first, then data).
 """
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from thermoflux.schema import SMOKE_HIGH, SMOKE_LOW
@@ -60,19 +62,23 @@ class RollingSum(StatefulProcessor):
         if pdf.empty:
             return
         pdf = pdf.sort_values("event_id", kind="stable")
-        total, first_c = self.acc.get() if self.acc.exists() else (0, None)
+        if self.acc.exists():
+            total, first_c = self.acc.get()
+        else:
+            total, first_c = 0, pdf["c"].iloc[0]
+        first_c = None if pd.isna(first_c) else int(first_c)       # the first row's value, even null
         cum = pdf["v"].to_numpy(dtype=np.int64).cumsum() + int(total)
-        if first_c is None:
-            first_c = int(pdf["c"].iloc[0])
-        self.acc.update((int(cum[-1]), int(first_c)))
-        yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "k": key[0], "v": cum, "c": first_c})
+        self.acc.update((int(cum[-1]), first_c))
+        yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "k": key[0], "v": cum,
+                            "c": pd.array([first_c] * len(pdf), dtype="Int64")})
 
     def close(self) -> None:
         pass
 
 
 class RollingMax(StatefulProcessor):
-    """Rolling ``reduce`` keeping the hottest reading so far (a tie takes the newer one)."""
+    """Rolling ``reduce`` keeping the hottest reading so far (a tie takes the newer one; a NaN
+    always replaces the held reading and is replaced by the next, as comparisons with it fail)."""
 
     OUTPUT = "event_id long, id string, timestamp long, temperature double"
 
@@ -93,9 +99,15 @@ class RollingMax(StatefulProcessor):
         if seeded:
             t0, ts0 = self.best.get()
             t, ts = np.concatenate([[t0], t]), np.concatenate([[ts0], ts])
-        running = np.maximum.accumulate(t)
-        # A row is the new arg-max when it reaches the running max (ties → newer row).
-        idx = np.maximum.accumulate(np.where(t >= running, np.arange(len(t)), 0))
+        idx = np.arange(len(t))
+        # Each NaN stands alone and the search begins anew behind it.
+        edges = np.flatnonzero(np.isnan(t)).tolist()
+        for lo, hi in zip([-1, *edges], [*edges, len(t)]):
+            part = t[lo + 1:hi]
+            if len(part):
+                running = np.maximum.accumulate(part)
+                # A row is the new arg-max when it reaches the running max (ties → newer row).
+                idx[lo + 1:hi] = lo + 1 + np.maximum.accumulate(np.where(part >= running, np.arange(len(part)), 0))
         if seeded:
             idx = idx[1:]
         self.best.update((float(t[idx[-1]]), int(ts[idx[-1]])))
@@ -106,69 +118,73 @@ class RollingMax(StatefulProcessor):
         pass
 
 
-def _none_if_nan(v):
-    return None if v is None or (isinstance(v, float) and np.isnan(v)) else v
-
-
 class _WatermarkBuffer(StatefulProcessor):
-    """Holds a key's rows in ``ListState`` until the watermark passes them, then hands
-    them over in ``(timestamp, src_rank, event_id)`` order.
+    """Holds a key's rows until the watermark passes them, then hands them over in
+    ``(timestamp, src_rank, event_id)`` order.
 
     Rows older than the watermark are dropped by Spark before they reach the
     processor (the event-time column is in the input), so once ``timestamp < wm``
     no earlier row of either input can still arrive: the released prefix is final
     and the result does not depend on how rows were split into micro-batches.
     A timer at the oldest pending row flushes keys that receive no new rows.
+
+    Pending rows lie in time buckets of ``bucket_ms``.  A batch appends one Arrow part to
+    each bucket that it has rows for and reads only buckets that are due, so its state
+    traffic follows its own rows and the released ones, not all that is pending.
     """
 
-    COLUMNS: list[str] = []
-    ROW_SCHEMA = ""
+    ARROW = pa.schema([])
     ORDER = ["timestamp", "src_rank", "event_id"]
 
+    def __init__(self, bucket_ms: int = 1000) -> None:
+        self.bucket_ms = max(1, int(bucket_ms))
+
     def _init_buffer(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", self.ROW_SCHEMA)
-        self._kinds = [f.strip().split()[1].lower() for f in self.ROW_SCHEMA.split(",")]
-
-    def _row(self, r) -> tuple:
-        # pandas holds nullable LONG columns as float64: convert each field to the
-        # state schema's type, or the state store would not round-trip it.
+        self.parts = handle.getMapState("parts", "bucket long, part long", "data binary")
+        # One small entry per pending bucket: at most about delay / bucket_ms of them.
+        self.index = handle.getMapState("index", "bucket long", "parts long, oldest long")
+
+    def _append(self, rows: pd.DataFrame, index: dict[int, tuple[int, int]]) -> None:
+        for bucket, part in rows.groupby(rows["timestamp"].to_numpy(dtype=np.int64) // self.bucket_ms):
+            bucket = int(bucket)
+            n, oldest = index.get(bucket, (0, None))
+            least = int(part["timestamp"].min())
+            index[bucket] = (n + 1, least if oldest is None else min(least, oldest))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, self.ARROW) as writer:
+                writer.write_table(pa.Table.from_pandas(part[self.ARROW.names], self.ARROW, preserve_index=False))
+            self.parts.updateValue((bucket, n), (sink.getvalue().to_pybytes(),))
+            self.index.updateValue((bucket,), index[bucket])
+
+    def _take(self, bucket: int, index: dict[int, tuple[int, int]]) -> list[pd.DataFrame]:
         out = []
-        for v, kind in zip(r, self._kinds):
-            v = _none_if_nan(v.item() if hasattr(v, "item") else v)
-            if v is None or v is pd.NA:
-                out.append(None)
-            elif kind in ("long", "int", "bigint"):
-                out.append(int(v))
-            elif kind == "double":
-                out.append(float(v))
-            else:
-                out.append(str(v))
-        return tuple(out)
+        for n in range(index.pop(bucket)[0]):
+            out.append(pa.ipc.open_stream(bytes(self.parts.getValue((bucket, n))[0])).read_pandas())
+            self.parts.removeKey((bucket, n))
+        self.index.removeKey((bucket,))
+        return out
 
     def _due(self, new: pd.DataFrame | None, wm: int | None) -> pd.DataFrame:
+        index = {int(b): (int(n), int(t)) for (b,), (n, t) in self.index.iterator()}
+        timer = min((t for _, t in index.values()), default=None)
+        empty = self.ARROW.empty_table().to_pandas()
         frames = []
-        if self.pending.exists():
-            frames.append(pd.DataFrame(list(self.pending.get()), columns=self.COLUMNS))
+        for bucket in [b for b, (_, t) in index.items() if wm is not None and t < wm]:
+            frames += self._take(bucket, index)
         if new is not None and len(new):
-            frames.append(new[self.COLUMNS])
-        if not frames:
-            return pd.DataFrame(columns=self.COLUMNS)
-        rows = pd.concat([f.astype(object) for f in frames], ignore_index=True) if len(frames) > 1 else frames[0]
-        rows = rows.astype({"timestamp": np.int64, "event_id": np.int64, "src_rank": np.int64})
-        due_mask = rows["timestamp"].to_numpy() < wm if wm is not None else np.zeros(len(rows), dtype=bool)
-        keep = rows[~due_mask]
-        if len(keep):
-            self.pending.put([self._row(r) for r in keep.itertuples(index=False)])
-        else:
-            self.pending.clear()
-        needed = {int(keep["timestamp"].min()) + 1} if len(keep) else set()
-        existing = set(self.handle.listTimers())
-        for t in existing - needed:
-            self.handle.deleteTimer(t)
-        for t in needed - existing:
-            self.handle.registerTimer(t)
-        return rows[due_mask].sort_values(self.ORDER, kind="stable")
+            frames.append(new[self.ARROW.names])
+        rows = pd.concat(frames, ignore_index=True) if frames else empty
+        late = rows["timestamp"].to_numpy(dtype=np.int64) < wm if wm is not None else np.zeros(len(rows), dtype=bool)
+        if not late.all():
+            self._append(rows[~late], index)
+        needed = min((t for _, t in index.values()), default=None)
+        if needed != timer or (timer is not None and wm is not None and timer < wm):
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            if needed is not None:
+                self.handle.registerTimer(needed + 1)
+        return rows[late].sort_values(self.ORDER, kind="stable")
 
     def _apply(self, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
         raise NotImplementedError
@@ -198,8 +214,8 @@ class ReadingFilter(_WatermarkBuffer):
     """
 
     OUTPUT = "event_id long, id string, timestamp long, temperature double"
-    COLUMNS = ["event_id", "id", "timestamp", "temperature", "expiry", "src_rank"]
-    ROW_SCHEMA = "event_id long, id string, timestamp long, temperature double, expiry long, src_rank int"
+    ARROW = pa.schema([("event_id", pa.int64()), ("id", pa.string()), ("timestamp", pa.int64()),
+                       ("temperature", pa.float64()), ("expiry", pa.int64()), ("src_rank", pa.int32())])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._init_buffer(handle)
@@ -230,8 +246,8 @@ class SmokeAlert(_WatermarkBuffer):
     """
 
     OUTPUT = "event_id long, id string, timestamp long, temperature double"
-    COLUMNS = ["event_id", "id", "timestamp", "temperature", "level", "src_rank"]
-    ROW_SCHEMA = "event_id long, id string, timestamp long, temperature double, level string, src_rank int"
+    ARROW = pa.schema([("event_id", pa.int64()), ("id", pa.string()), ("timestamp", pa.int64()),
+                       ("temperature", pa.float64()), ("level", pa.string()), ("src_rank", pa.int32())])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._init_buffer(handle)
@@ -442,53 +458,47 @@ class WallClockReadingFilter(StatefulProcessor):
     earlier one is ignored; the processing-time timer clears the state.  Results depend
     on arrival times, so this form is for live use only (the replayable form is
     :class:`ReadingFilter`).  Input: readings (``src_rank`` 1) and switches
-    (``src_rank`` 0, ``duration_ms``), in arrival order within a batch."""
+    (``src_rank`` 0, ``duration_ms``); the shuffle loses arrival order, so a batch's rows
+    apply in the order of ``event_id``, a switch before a reading.  Spark hands over rows
+    before expired timers, so a switch that has run out is closed first."""
 
     OUTPUT = "event_id long, id string, timestamp long, temperature double"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.enabled = handle.getValueState("forwarding", "on boolean")
-        self.timer = handle.getValueState("timer", "ms long")
+        self.timer = handle.getValueState("timer", "ms long")     # set while forwarding
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        # State is read once per batch and written back once (each access is a round trip).
-        enabled = bool(self.enabled.get()[0]) if self.enabled.exists() else False
-        timer = self.timer.get()[0] if self.timer.exists() else None
-        first_timer = timer
-        out = []
-        for pdf in rows:
-            rank = pdf["src_rank"].to_numpy()
-            if not (rank == 0).any():
-                if enabled:
-                    out.append(pdf[["event_id", "id", "timestamp", "temperature"]])
-                continue
-            keep = np.zeros(len(pdf), dtype=bool)
-            durations = pdf["duration_ms"].to_numpy(dtype=float, na_value=np.nan)
-            for i in range(len(pdf)):
-                if rank[i] == 0:
-                    enabled = True
-                    expiry = int(now + durations[i])
-                    if timer is None or expiry > timer:
-                        timer = expiry
-                else:
-                    keep[i] = enabled
-            out.append(pdf.loc[keep, ["event_id", "id", "timestamp", "temperature"]])
-        if enabled:
-            self.enabled.update((True,))
-        if timer != first_timer:
-            if first_timer is not None:
-                self.handle.deleteTimer(first_timer)
-            self.handle.registerTimer(timer)
-            self.timer.update((timer,))
-        out = [f for f in out if len(f)]
-        if out:
-            yield pd.concat(out, ignore_index=True)
+        stored = int(self.timer.get()[0]) if self.timer.exists() else None
+        timer = stored if stored is not None and stored > now else None
+        pdf = _concat(rows)
+        if not pdf.empty:
+            pdf = pdf.sort_values(["event_id", "src_rank"], kind="stable")
+            switch = (pdf["src_rank"] == 0).to_numpy()
+            expiry = now + pd.to_numeric(pdf["duration_ms"], errors="coerce").to_numpy(dtype=float, na_value=np.nan)
+            opens = switch & (expiry > now)
+            enabled = (timer is not None) | np.logical_or.accumulate(opens)
+            if opens.any():
+                timer = max(int(expiry[opens].max()), timer or 0)
+            out = pdf.loc[enabled & ~switch, ["event_id", "id", "timestamp", "temperature"]]
+        else:
+            out = pdf
+        if timer != stored:
+            if stored is not None:
+                self.handle.deleteTimer(stored)
+            if timer is None:
+                self.timer.clear()
+            else:
+                self.handle.registerTimer(timer)
+                self.timer.update((timer,))
+        if len(out):
+            yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.enabled.clear()
-        self.timer.clear()
+        # A timer that a newer switch has replaced must not close it.
+        if self.timer.exists() and int(self.timer.get()[0]) <= timerValues.getCurrentProcessingTimeInMs():
+            self.timer.clear()
         return iter(())
 
     def close(self) -> None:

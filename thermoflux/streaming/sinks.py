@@ -37,3 +37,15 @@ def start_parquet(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
     writer = (stream.writeStream.format("parquet").outputMode(output_mode)
                     .option("path", path).option("checkpointLocation", checkpoint))
     return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_print(stream: DataFrame, rows: int = 20, trigger: dict | None = None, output_mode: str = "append") -> StreamingQuery:
+    """Print each micro-batch's first ``rows`` rows to the driver's console."""
+    writer = stream.writeStream.format("console").outputMode(output_mode).option("numRows", rows).option("truncate", "false")
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_memory(stream: DataFrame, name: str, trigger: dict | None = None, output_mode: str = "append") -> StreamingQuery:
+    """Collect the output into the driver's in-memory table ``name``; for looking, not for volume."""
+    writer = stream.writeStream.format("memory").queryName(name).outputMode(output_mode)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

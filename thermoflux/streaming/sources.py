@@ -1,18 +1,14 @@
-"""Streaming sources: file streams of readings, and a replay writer for tests.
+"""Streaming sources: file streams of readings.
 
 A live deployment reads ``spark.readStream`` from its landing folder (or a
-message bus) with an explicit schema; ``read_stream`` is that call.  For
-replay tests, ``write_replay_files`` lays a batch DataFrame out as one parquet
-file per watermark tick, with modification times in tick order, so a file
-stream with ``maxFilesPerTrigger=1`` replays ticks as micro-batches — the
-periodic watermark of the replay model becomes Spark's per-batch watermark.
+message bus) with an explicit schema; ``read_stream`` is that call.  A folder
+with one file per watermark tick, read with ``maxFilesPerTrigger=1``, replays
+ticks as micro-batches — the periodic watermark of the replay model becomes
+Spark's per-batch watermark (the tests write such folders).
 """
 
 from __future__ import annotations
 
-import glob
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,25 +31,6 @@ def with_event_time(df: DataFrame, delay_ms: int, ts_col: str = "timestamp") ->
     return df.withColumn(EVENT_TIME, to_event_time(ts_col)).withWatermark(EVENT_TIME, f"{int(delay_ms)} milliseconds")
 
 
-def write_replay_files(df: DataFrame, out_dir: str, tick_col: str = "tick",
-                       order_cols: tuple[str, ...] = ("arrival", "event_id")) -> int:
-    """One parquet file per tick under ``out_dir/<tick_col>=<k>/``; mtimes follow tick order.
-
-    Rows of a tick are hash-partitioned into one task (so one file) and sorted in
-    arrival order inside it.  Returns the number of tick files written.
-    """
-    (df.repartition(tick_col).sortWithinPartitions(tick_col, *[c for c in order_cols if c in df.columns])
-       .write.mode("error").partitionBy(tick_col).parquet(out_dir))
-    files = []
-    for path in glob.glob(os.path.join(out_dir, f"{tick_col}=*", "*.parquet")):
-        tick = int(os.path.basename(os.path.dirname(path)).split("=", 1)[1])
-        files.append((tick, path))
-    base = 1_000_000_000
-    for tick, path in sorted(files):
-        os.utime(path, (base + tick, base + tick))
-    return len(files)
-
-
 def replay_stream(spark: SparkSession, out_dir: str, schema: T.StructType, tick_col: str = "tick") -> DataFrame:
     """Read replay files back as a stream, one tick per micro-batch."""
     full = T.StructType(list(schema.fields) + [T.StructField(tick_col, T.LongType(), True)])

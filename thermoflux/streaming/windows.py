@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermoflux.functions.text import fahrenheit_to_celsius
+from thermoflux.operators.windows import nan_safe
 from thermoflux.streaming.sources import EVENT_TIME, with_event_time
 
 
@@ -33,7 +34,7 @@ def stream_avg_tumbling(stream: DataFrame, size_ms: int, delay_ms: int) -> DataF
 def stream_minmax_tumbling(stream: DataFrame, size_ms: int, delay_ms: int) -> DataFrame:
     s = with_event_time(stream, delay_ms)
     return (s.groupBy("id", _window(size_ms).alias("w"))
-             .agg(F.min("temperature").alias("min"), F.max("temperature").alias("max"))
+             .agg(nan_safe(F.min, "temperature").alias("min"), nan_safe(F.max, "temperature").alias("max"))
              .select("id", "min", "max", _end_ms().alias("endTs")))
 
 
