@@ -62,23 +62,29 @@ def _window_agg(kind: str, v: Column) -> Column:
 def chunked(df: DataFrame, keys: Sequence[str], position: Column, chunk_rows: int) -> DataFrame:
     """``df`` with its chunk number (null for keys that are not hot) and position."""
     rows = df.withColumn(_AT, position)
-    hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tf_n"), F.min(_AT).alias("_tf_lo"), F.max(_AT).alias("_tf_hi"))
-               .filter(F.col("_tf_n") > chunk_rows))
+    stats = [F.count(F.lit(1)).alias("_tf_n"), F.min(_AT).alias("_tf_lo"), F.max(_AT).alias("_tf_hi")]
+    n, lo, hi = F.col("_tf_n"), F.col("_tf_lo"), F.col("_tf_hi")
     # The key's range of positions in as many equal parts as its rows need.
-    parts = F.ceil(F.col("_tf_n") / F.lit(chunk_rows))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_tf_hi") - F.col("_tf_lo") + F.lit(1)) / parts))
-    hot = hot.select(*keys, "_tf_lo", width.cast("long").alias("_tf_width"))
-    at = F.call_function("div", F.coalesce(_AT, "_tf_lo") - F.col("_tf_lo"), F.col("_tf_width"))
+    width = F.greatest(F.lit(1), F.ceil((hi - lo + F.lit(1)) / F.ceil(n / F.lit(chunk_rows)))).cast("long")
+    if list(keys) == [_ALL]:        # one group: its range is a scalar of the query, no join
+        hot = rows.agg(*stats).filter(n > chunk_rows).select(F.struct(lo.alias("lo"), width.alias("width"))).scalar()
+        lo, width = hot["lo"], hot["width"]
+        return rows.withColumn(_CHUNK, F.call_function("div", F.coalesce(F.col(_AT), lo) - lo, width))
+    hot = rows.groupBy(*keys).agg(*stats).filter(n > chunk_rows).select(*keys, lo, width.alias("_tf_width"))
+    at = F.call_function("div", F.coalesce(_AT, "_tf_lo") - lo, F.col("_tf_width"))
     return rows.join(hot, list(keys), "left").withColumn(_CHUNK, at).drop("_tf_lo", "_tf_width")
 
 
 def running_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Sequence[Measure],
-                 position: Column | None = None, chunk_rows: int = CHUNK_ROWS, exclusive: bool = False) -> DataFrame:
+                 position: Column | None = None, chunk_rows: int = CHUNK_ROWS, exclusive: bool = False,
+                 chunk: Column | None = None) -> DataFrame:
     """Add one column per measure: its running aggregate per ``keys`` in ``order``.
 
     ``position`` is an integral column that does not decrease in ``order`` within a key,
     null for rows before all others (default: the first column of ``order``).
     ``exclusive`` leaves the current row out of its own value.  A null key is one chunk.
+    ``chunk`` gives the chunk number outright, without counting, for tables with at most
+    one row per position (ticks); it must not decrease in ``order`` within a key.
     """
     keys, order = list(keys), list(order)
     if not keys:
@@ -87,8 +93,11 @@ def running_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], measu
     # partial aggregate stays a HashAggregate (a struct ordering forces a sort-based one).
     order_struct = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     vals = [f"_tf_v{i}" for i in range(len(measures))]
-    rows = chunked(df.select("*", *[m.expr.alias(v) for m, v in zip(measures, vals)]), keys,
-                   position if position is not None else F.col(order[0]), chunk_rows)
+    rows = df.select("*", *[m.expr.alias(v) for m, v in zip(measures, vals)])
+    if chunk is not None:
+        rows = rows.withColumn(_CHUNK, chunk)
+    else:
+        rows = chunked(rows, keys, position if position is not None else F.col(order[0]), chunk_rows)
 
     # Chunk summaries of the hot keys and their exclusive prefix over the chunks of each.
     summ = rows.filter(F.col(_CHUNK).isNotNull()).groupBy(*keys, _CHUNK).agg(

@@ -3,28 +3,26 @@
 A window ``[e - size, e)`` opens on its first on-time element (tick ``f``).
 While open it fires, without purging, each time the watermark crosses a whole
 ``step`` (the crossing ticks), and at its end it fires and purges.  Every
-firing emits ``(id, e, eval_time = wm, cnt)`` with ``cnt`` the on-time rows of
+firing emits ``(key, e, eval_time = wm, cnt)`` with ``cnt`` the on-time rows of
 the window that arrived in earlier ticks (watermark first, then data).
 
 Closed form over the tick table (``wm`` non-decreasing in tick):
 
-* crossing ticks = first tick of each run of equal ``n = floor(wm / step)``; a
-  run's first tick also has its least ``wm``, so crossings are ordered alike by
-  tick and by ``wm``, and crossing ``k`` comes after ``f`` iff
-  ``wm_k >= (floor(wm_f / step) + 1) * step``;
-* a window's early firings are therefore the crossings with ``wm`` in
-  ``[a_f, e)``; with ``x_ge(v)`` = number of crossings with ``wm >= v`` and the
-  crossings indexed from the highest ``wm`` down, they are exactly the index
-  range ``[x_ge(e), x_ge(a_f))`` — exploded, one generated row per firing;
-* the final firing is at the least tick ``wm >= e``; windows still open at the
-  end of the replay close with ``eval_time = e``.
+* crossing ticks are the first ticks of the runs of equal ``floor(wm / step)``;
+  ``x(k)`` counts those up to tick ``k``, so they are numbered 1, 2, ...;
+* a window's early firings are the crossings after ``f`` with ``wm < e``.  Let ``j``
+  be the last tick with ``wm < e``: they are the numbers ``x(f) + 1 .. x(j)``,
+  exploded, one generated row per firing;
+* the final firing is at the tick after ``j``, whose watermark is ``wm_next`` of
+  ``j``; if ``j`` is the last tick, the window closes at the end of the replay with
+  ``eval_time = e``.
 
-``x_ge`` and "least ``wm >= v``" for every window end and every tick's ``a_f``
-come from ONE descending running scan over the small union of tick watermarks,
-crossings and probe values (bounded by ticks + distinct window ends, not by
-rows); no range join, no grid over step numbers or window-end slots, no driver
-round-trip.  Counts are a running sum over per-tick pre-aggregated counts, so a
-hot (id, window) contributes at most one row per tick to the analytic window.
+``j`` of every window end comes from one ascending running scan over the union of
+the tick watermarks and the distinct window ends (bounded by those two, not by
+rows); no range join, no grid over steps or window slots, no driver round-trip.
+Counts are a running sum over per-tick pre-aggregated counts, so a hot (key, window)
+contributes at most one row per tick to the analytic window.  The whole is one lazy
+plan: nothing is written or counted when it is built.
 """
 
 from __future__ import annotations
@@ -38,9 +36,21 @@ from thermoflux.operators.replay import TICKS_PER_SCAN_CHUNK
 from thermoflux.operators.scan import Measure, running_scan
 from thermoflux.operators.windows import Assigner
 
-# Probe value standing for a watermark of −∞ (below any epoch-ms watermark, and
-# negatable without overflow).
+# Stands for a watermark of −∞ (below any epoch-ms watermark, negatable without overflow).
 _MINUS_INFINITY = -(1 << 62)
+# The tick of a window's final firing: after all data.
+_AT_END = (1 << 62)
+
+
+def numbered_crossings(ticks: DataFrame, step_ms: int) -> DataFrame:
+    """``tick, wm, wm_next, crosses, x``: whether the watermark crosses a whole step at the
+    tick, and the crossings up to it."""
+    # The tick after j crosses iff the watermark's step changes over j: counted exclusively.
+    leaves = F.col("wm").isNull() | (floor_div("wm_next", step_ms) > floor_div("wm", step_ms))
+    return running_scan(ticks.select("tick", "wm", "wm_next", leaves.cast("long").alias("leaves")), [], ["tick"],
+                        [Measure("x", "sum", F.col("leaves")), Measure("crosses", "last", F.col("leaves"))],
+                        chunk=floor_div("tick", TICKS_PER_SCAN_CHUNK), exclusive=True) \
+        .select("tick", "wm", "wm_next", F.coalesce("x", F.lit(0)).alias("x"), (F.col("crosses") == 1).alias("crosses"))
 
 
 def early_firing_counts(rows: DataFrame, ticks: DataFrame, window: int | Assigner, step_ms: int, key: str = "id") -> DataFrame:
@@ -48,53 +58,34 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, window: int | Assigne
     :func:`thermoflux.operators.replay.tick_watermarks`; ``window``: a size in ms or an
     assigner.  → ``key, window_end, eval_time, cnt``."""
     per_tick = on_time_counts_per_tick(rows, ticks, window, key)
-    windows = per_tick.groupBy(key, "window_end").agg(F.min("tick").alias("f"), F.sum("n").alias("total"))
-
-    # --- one descending scan over values.  Roles: 0 tick watermark, 1 crossing,
-    # 2 window-end probe, 3 tick probe a_f.  At equal values marks precede probes.
-    timed = ticks.filter(F.col("wm").isNotNull())
-    marks = timed.select(F.col("wm").alias("v"), F.lit(0).alias("role"), F.lit(None).cast("long").alias("ref"))
-    runs = timed.groupBy(floor_div("wm", step_ms)).agg(F.min("wm").alias("v"), F.min("tick").alias("ref")) \
-        .select("v", F.lit(1).alias("role"), "ref")
-    end_probes = windows.select(F.col("window_end").alias("v")).distinct() \
-        .select("v", F.lit(2).alias("role"), F.lit(None).cast("long").alias("ref"))
-    # The first tick has no watermark yet (−∞): every crossing comes after it.
-    a_f = F.coalesce((floor_div("wm", step_ms) + F.lit(1)) * F.lit(step_ms), F.lit(_MINUS_INFINITY))
-    tick_probes = ticks.select(a_f.alias("v"), F.lit(3).alias("role"), F.col("tick").alias("ref"))
-    values = marks.unionByName(runs).unionByName(end_probes).unionByName(tick_probes) \
-        .withColumn("neg_v", -F.col("v")).withColumn("is_probe", (F.col("role") >= 2).cast("int"))
-    scanned = running_scan(
-        values, [], ["neg_v", "is_probe"],
-        [Measure("least_wm", "min", F.when(F.col("role") == 0, F.col("v"))),
-         Measure("x_ge", "sum", (F.col("role") == 1).cast("long"))],
-        chunk_rows=TICKS_PER_SCAN_CHUNK)
-
-    crossings = (scanned.filter(F.col("role") == 1).select(
-        (F.col("x_ge") - F.lit(1)).alias("ci"), F.col("ref").alias("k"), F.col("v").alias("wm_k")))
-    end_info = (scanned.filter(F.col("role") == 2).select(
-        F.col("v").alias("window_end"), F.col("least_wm").alias("final_wm"),
-        F.coalesce("x_ge", F.lit(0)).alias("lo")))
-    tick_info = (scanned.filter(F.col("role") == 3).select(
-        F.col("ref").alias("f"), (F.coalesce("x_ge", F.lit(0)) - F.lit(1)).alias("hi")))
-    opened = windows.join(end_info, on="window_end").join(tick_info, on="f")
+    windows = per_tick.groupBy(key, "window_end").agg(F.min("tick").alias("f"))
+    numbered = numbered_crossings(ticks, step_ms)
 
-    # --- early firings: exactly one generated row per firing.
-    early = (opened.filter(F.col("lo") <= F.col("hi"))
-                   .select(key, "window_end", F.explode(F.sequence("lo", "hi")).alias("ci"))
-                   .join(crossings, on="ci")
-                   .select(key, "window_end", F.col("k").alias("tick"), F.col("wm_k").alias("eval_time"),
-                           F.lit(0).alias("rank"), F.lit(None).cast("long").alias("n")))
+    # The last tick below each window end; at equal values the probe comes first.
+    marks = numbered.select(F.coalesce("wm", F.lit(_MINUS_INFINITY)).alias("v"), F.lit(1).alias("mark"), "tick", "x", "wm_next")
+    nothing = [F.lit(None).cast("long").alias(c) for c in ("tick", "x", "wm_next")]
+    probes = windows.select(F.col("window_end").alias("v")).distinct().select("v", F.lit(0).alias("mark"), *nothing)
+    below = F.when(F.col("mark") == 1, F.struct("tick", "x", "wm_next"))
+    scanned = running_scan(marks.unionByName(probes), [], ["v", "mark", "tick"], [Measure("j", "max", below)],
+                           position=F.when(F.col("v") > _MINUS_INFINITY, F.col("v")), chunk_rows=TICKS_PER_SCAN_CHUNK)
+    ends = scanned.filter(F.col("mark") == 0).select(
+        F.col("v").alias("window_end"), F.col("j.tick").alias("j"), F.col("j.x").alias("hi"), F.col("j.wm_next").alias("final_wm"))
+    opened = windows.join(ends, "window_end").join(numbered.select(F.col("tick").alias("f"), (F.col("x") + 1).alias("lo")), "f")
 
-    # cnt of an early firing at tick k = on-time rows of the window with tick < k.
-    data = per_tick.select(key, "window_end", "tick", F.lit(None).cast("long").alias("eval_time"),
-                           F.lit(1).alias("rank"), F.col("n"))
-    w = Window.partitionBy(key, "window_end").orderBy("tick", "rank") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted_rows = early.unionByName(data).withColumn("cnt", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    early_out = counted_rows.filter(F.col("rank") == 0) \
-        .select(key, "window_end", "eval_time", F.col("cnt").cast("long"))
+    # One generated row per firing: the crossings, and number 0 for the final one.
+    numbers = F.concat(F.when(F.col("lo") <= F.col("hi"), F.sequence("lo", "hi")).otherwise(F.array().cast("array<long>")),
+                       F.array(F.lit(0).cast("long")))
+    crossings = numbered.filter("crosses").select(F.col("x").alias("number"), F.col("tick").alias("at"), F.col("wm").alias("wm_at"))
+    last = ticks.agg(F.max("tick")).scalar()
+    closed = F.when(F.col("j") < last, F.col("final_wm")).otherwise(F.col("window_end"))
+    firings = (opened.select(key, "window_end", closed.alias("closed"), F.explode(numbers).alias("number"))
+               .join(crossings, "number", "left")
+               .select(key, "window_end", F.coalesce("at", F.lit(_AT_END)).alias("tick"),
+                       F.when(F.col("number") == 0, F.col("closed")).otherwise(F.col("wm_at")).alias("eval_time"),
+                       F.lit(0).alias("rank"), F.lit(None).cast("long").alias("n")))
 
-    # --- final firing (or end of replay: eval_time = e).
-    finals = opened.select(key, "window_end", F.coalesce("final_wm", "window_end").alias("eval_time"),
-                           F.col("total").cast("long").alias("cnt"))
-    return early_out.unionByName(finals)
+    # cnt of a firing at tick k = on-time rows of the window with tick < k.
+    data = per_tick.select(key, "window_end", "tick", F.lit(None).cast("long").alias("eval_time"), F.lit(1).alias("rank"), "n")
+    w = Window.partitionBy(key, "window_end").orderBy("tick", "rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = firings.unionByName(data).withColumn("cnt", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    return counted.filter(F.col("rank") == 0).select(key, "window_end", "eval_time", F.col("cnt").cast("long"))
