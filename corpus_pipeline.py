@@ -42,11 +42,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: that of the smallest ``doc_id``, and of
-    rows that repeat it one."""
+    """One document of each SimHash component stays: that of the smallest ``doc_id``."""
     common.reachable(spark)
-    kept = simhash.near_duplicates(docs, shingle=3, bits=3).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return simhash.one_of_each(docs, shingle=3, bits=3)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

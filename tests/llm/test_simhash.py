@@ -103,3 +103,17 @@ def test_odd_rows(spark, odd, none):
 
 def test_table(spark, documents):
     check(spark, documents)
+
+
+def test_one_row_of_each_component_stays(spark, odd, none):
+    rows = odd.select("doc_id", "text").collect()
+    groups = classes([plain_fingerprint(r.text) for r in rows])
+    kept = simhash.one_of_each(odd)
+    assert kept.columns == odd.columns and simhash.one_of_each(none).count() == 0
+    got = kept.select("doc_id", "text").collect()
+    assert len(got) == len(set(groups))
+    of = {(r.doc_id, r.text): g for r, g in zip(rows, groups, strict=True)}
+    assert {of[tuple(r)] for r in got} == set(groups)
+    for r in got:
+        ids = [x.doc_id for x, g in zip(rows, groups, strict=True) if g == of[tuple(r)] and x.doc_id is not None]
+        assert r.doc_id == min(ids, default=None)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from thermoflux.llm.common import map_texts, written
+from thermoflux.llm.common import as_text, map_texts, written
 
 #: Nodes in a bucket above which it is dealt again; children of a node of the index; nodes
 #: that a task gathers before it searches.
@@ -63,11 +63,12 @@ def signed(x: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp long)."""
+    """(doc_id, text_hash, fp); the hash is that of Spark's ``xxhash64`` of the text."""
     def work(keys: list, texts: list[str]) -> dict:
-        return {"doc_id": keys, "fp": [signed(fingerprint(t, shingle, seed)) for t in texts]}
+        return {"doc_id": keys, "text_hash": [signed(xxh64_intdigest(t.encode(), 42)) for t in texts],
+                "fp": [signed(fingerprint(t, shingle, seed)) for t in texts]}
 
-    return map_texts(docs, work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    return map_texts(docs, work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash bigint, fp bigint")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -260,14 +261,29 @@ def open_stars(e: DataFrame) -> bool:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of ``docs``."""
+    """(doc_id, text_hash, fp, root, component_id) for each row of ``docs``; ``root`` tells
+    components apart even where they have no or the same smallest id."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     found = components(links(nodes, bits, bucket_rows))
     rooted = nodes.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    class_of = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(class_of, "fp").select("doc_id", "fp", "component_id")
+    class_of = rooted.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(class_of, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
+    """The row of the smallest (doc_id, text hash) of each component, null ids last; all
+    columns of ``docs``."""
+    near = near_duplicates(docs, shingle, bits)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    first = near.groupBy("root").agg(F.min(order).alias("r")).select(F.col("r.doc_id").alias("i"), F.col("r.text_hash").alias("h")).distinct()
+    text_hash = "text_hash"
+    while text_hash in docs.columns:
+        text_hash += "_"
+    keyed = docs.withColumn(text_hash, F.xxhash64(as_text(docs)))
+    chosen = keyed.join(first, keyed["doc_id"].eqNullSafe(F.col("i")) & (keyed[text_hash] == F.col("h")), "left_semi")
+    return chosen.dropDuplicates(["doc_id", text_hash]).select(*docs.columns)
 
 
 def fingerprint_text(fp: F.Column) -> F.Column:
