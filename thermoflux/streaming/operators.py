@@ -120,8 +120,8 @@ def stream_late_reading_split(readings: DataFrame, delay_ms: int, shards: int |
     are spread by their own hash over ``shards`` groups (default: the session's shuffle
     partitions) and a hot sensor is no hot task."""
     s = with_event_time(readings.select("event_id", "id", "timestamp", "temperature"), delay_ms).drop(EVENT_TIME)
-    shard = F.pmod(F.xxhash64("event_id"), F.lit(shards or session_shards(readings))).alias("shard")
-    return (s.groupBy(shard)
+    shard = F.pmod(F.xxhash64("event_id"), F.lit(shards or session_shards(readings)))
+    return (s.withColumn("shard", shard).groupBy("shard")
              .transformWithStateInPandas(LateReadingSplit(), LateReadingSplit.OUTPUT, "append", "EventTime"))
 
 
