@@ -46,8 +46,10 @@ def stream_rolling_sum(triples: DataFrame, ttl_ms: int | None = None) -> DataFra
 def stream_rolling_max(readings: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """``(event_id, id, timestamp, temperature)`` → the arg-max record so far per input row."""
     mode = "ProcessingTime" if ttl_ms else "None"
-    return (readings.select("event_id", "id", "timestamp", "temperature").groupBy("id")
-                    .transformWithStateInPandas(RollingMax(ttl_ms), RollingMax.OUTPUT, "append", mode))
+    out = (readings.select("event_id", "id", "timestamp", "temperature").groupBy("id")
+                   .transformWithStateInPandas(RollingMax(ttl_ms), RollingMax.OUTPUT, "append", mode))
+    # A reading always has a temperature: what pandas hands back as null was NaN.
+    return out.withColumn("temperature", F.coalesce("temperature", F.lit(float("nan"))))
 
 
 def stream_forward_switch_wall_clock(readings: DataFrame, switches: DataFrame) -> DataFrame:

@@ -98,6 +98,7 @@ class RollingMax(StatefulProcessor):
         seeded = self.best.exists()
         if seeded:
             t0, ts0 = self.best.get()
+            t0 = np.nan if t0 is None else t0
             t, ts = np.concatenate([[t0], t]), np.concatenate([[ts0], ts])
         idx = np.arange(len(t))
         # Each NaN stands alone and the search begins anew behind it.
