@@ -26,9 +26,12 @@ def _like(out: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble scores 0.7 or more; labels of held-out rows are unused."""
+    """Documents that the rule ensemble scores 0.7 or more; labels of held-out rows are unused.
+    With no labels, or of one class only, no rule is learned and every document stays."""
     common.reachable(spark)
     model = rule_ensemble.fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    if not model.rules:
+        return docs
     score = "quality_score"
     while score in docs.columns:
         score += "_"
