@@ -32,6 +32,13 @@ def test_stages(spark, documents):
     assert sorted(map(str, corpus_pipeline.run(spark, SF).collect())) == sorted(map(str, packed.collect()))
 
 
+def test_no_labels_no_verdict(spark, documents, monkeypatch):
+    """Where nothing can be learned, no document is rejected."""
+    read = corpus_pipeline.read_table
+    monkeypatch.setattr(corpus_pipeline, "read_table", lambda s, d, n: read(s, d, n).where("false"))
+    assert corpus_pipeline.quality(spark, documents, SF).count() == documents.count()
+
+
 def test_odd_and_empty_tables(spark, odd, none):
     for name, stage in corpus_pipeline.STAGES:
         for docs in (odd, none):

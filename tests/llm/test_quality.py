@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import SF, odd_texts
+from tests.llm.conftest import odd_texts
 from thermoflux.llm import decision_list, rule_ensemble
 from thermoflux.llm.textstats import FEATURES, feature_columns, counts_of, labelled_sample, text_counts
 
@@ -82,6 +82,8 @@ def test_scores_of_odd_rows(spark, odd, none, labels):
     assert rule_ensemble.quality_scores(none, labels).count() == 0
     blank = rule_ensemble.quality_scores(odd, labels.where("false")).collect()
     assert {r.score for r in blank} == {0.5}
+    only = rule_ensemble.quality_scores(odd, labels.withColumn("quality", F.lit(1))).collect()
+    assert len({r.score for r in only}) == 1 and 0.7 < only[0].score < 1
     nulls = spark.createDataFrame([(None, 1, 1), (3, None, 0), (5, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int")
     assert rule_ensemble.quality_scores(odd, nulls).count() == odd.count()
 

@@ -10,17 +10,17 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tests.llm.conftest import odd_texts
 from thermoflux.llm import pair_index, token_count, wavelet
 from thermoflux.llm.common import scratch_table, tokenizer_path
 from thermoflux.llm.pretokens import pieces, split_texts, vocabulary
 
 PATH = tokenizer_path()
+LIBRARY = Tokenizer.from_file(PATH)
 
 
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(PATH)
+    return LIBRARY
 
 
 def ids_of(library, text):
@@ -56,10 +56,8 @@ def test_random_texts(library):
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text(text):
-    library = Tokenizer.from_file(PATH) if not hasattr(test_any_text, "library") else test_any_text.library
-    test_any_text.library = library
     ids = pair_index.encode_all([text], PATH)[0]
-    assert ids.tolist() == ids_of(library, text)
+    assert ids.tolist() == ids_of(LIBRARY, text)
     assert pair_index.decode_ids(ids, pair_index.tables(PATH)).decode() == text
 
 

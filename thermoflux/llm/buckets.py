@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from thermoflux.llm.common import as_text, written
 
 EXACT_CELLS, OCTAVE_CELLS = 1024, 256
-SPACES = "\\u0020\\u0009\\u000A\\u000B\\u000C\\u000D"
 
 
 def word_length(docs: DataFrame, text: str = "text") -> Column:
