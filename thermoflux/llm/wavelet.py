@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -174,7 +175,7 @@ def _library(path: str):
     quiet_tokenizers()
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), WordCache()
+    return Tokenizer.from_file(path), WordCache(room=400_000)
 
 
 def encode_texts(texts: list[str], path: str) -> Iterator[tuple[int, np.ndarray]]:
@@ -184,9 +185,9 @@ def encode_texts(texts: list[str], path: str) -> Iterator[tuple[int, np.ndarray]
     for parts in parts_of(texts):
         words = split_texts([p for _, p in parts], tuple(vocabulary(path).added))
         values, missing = cache.known(words.distinct)
-        made = library.encode_batch([words.distinct[k].decode() for k in missing], add_special_tokens=False)
+        made = library.encode_batch_fast([words.distinct[k].decode() for k in missing], add_special_tokens=False)
         for k, e in zip(missing, made, strict=True):
-            values[k] = np.array(e.ids, "<u4").tobytes()
+            values[k] = array("I", e.ids).tobytes()
             cache.keep(words.distinct[k], values[k])
         ids, bounds = gather(values, words)
         for (k, _), a, b in zip(parts, bounds[:-1], bounds[1:], strict=True):
