@@ -6,8 +6,12 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from tests.llm.conftest import SF
 from thermoflux.llm import buckets
+from thermoflux.llm.common import tokenizer_path
+from thermoflux.llm.queries import QUERIES
 
 
 def words(text):
@@ -67,3 +71,19 @@ def test_cells_hold_every_length(spark):
     r = n.agg(F.countDistinct("cell").alias("cells"), F.min(F.col("n") - F.col("cell")).alias("least"),
               F.max((F.col("n") - F.col("cell")) / F.greatest(F.col("n"), F.lit(1))).alias("wide")).first()
     assert r.cells < 4000 and r.least >= 0 and r.wide < 1 / 200
+
+
+def test_query_packs_by_tokens(spark, documents, odd, none):
+    """The registered query fills its budget with tokens of the vocabulary, not words."""
+    library = Tokenizer.from_file(tokenizer_path())
+    tokens = lambda text: len(library.encode(text or "", add_special_tokens=False).ids)
+    for docs, got in ((documents, QUERIES["op7_length_buckets"](spark, SF)), (odd, buckets.pack_tokens(odd))):
+        got = got.collect()
+        assert sorted(((r.doc_id, r.n_tokens) for r in got), key=str) == sorted(((r.doc_id, tokens(r.text)) for r in docs.collect()), key=str)
+        filled = {}
+        for r in got:
+            filled.setdefault((r.bucket, r.batch), []).append(r)
+        assert all(len(rows) == 1 or sum(r.n_tokens + r.padding for r in rows) <= 8192 for rows in filled.values())
+    assert buckets.pack_tokens(none).count() == 0
+    unspaced = spark.createDataFrame([(1, "中文" * 900), (2, "a b")], "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in buckets.pack_tokens(unspaced).collect()}[1] == tokens("中文" * 900) > 900

@@ -23,7 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermoflux.llm.common import as_text, written
+from thermoflux.llm.common import as_text, map_texts, tokenizer_path, written
+from thermoflux.llm.token_count import count_texts
 
 EXACT_CELLS, OCTAVE_CELLS = 1024, 256
 
@@ -77,9 +78,27 @@ def boundaries(cells: list[tuple[int, int]], buckets: int) -> list[int]:
 
 
 def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192, length: Column | None = None) -> DataFrame:
-    """(doc_id, n_tokens, bucket, bucket_length, batch, slot, padding) for each row of ``docs``."""
+    """(doc_id, n_tokens, bucket, bucket_length, batch, slot, padding) for each row of ``docs``;
+    lengths are words unless ``length`` is given.  ``pack_tokens`` packs by tokens."""
     n = length if length is not None else word_length(docs)
-    rows = written(docs.select("doc_id", F.xxhash64("text").alias("h"), n.alias("n"), F.monotonically_increasing_id().alias("place")), "lengths")
+    return _packed(docs.select("doc_id", F.xxhash64("text").alias("h"), n.alias("n"), F.monotonically_increasing_id().alias("place")), buckets, budget)
+
+
+def pack_tokens(docs: DataFrame, buckets: int = 16, budget: int = 8192, path: str | None = None) -> DataFrame:
+    """As ``pack``, with the tokens of the vocabulary at ``path`` as lengths; they are counted
+    in the pass that writes the lengths."""
+    path = path or tokenizer_path()
+
+    def work(keys: list, texts: list[str]) -> dict:
+        return {"n": count_texts(texts, path)} | {c: [k[c] for k in keys] for c in ("doc_id", "h", "place")}
+
+    key = F.struct("doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("place"))
+    keyed = docs.select(key.alias("key"), as_text(docs).alias("text"))
+    return _packed(map_texts(keyed, work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, n bigint, place bigint", key="key"), buckets, budget)
+
+
+def _packed(lengths: DataFrame, buckets: int, budget: int) -> DataFrame:
+    rows = written(lengths, "lengths")
     tops = boundaries(histogram(rows), buckets)
     bucket, top = F.lit(len(tops) - 1), F.lit(tops[-1] if tops else 0)
     for k in range(len(tops) - 2, -1, -1):

@@ -47,7 +47,7 @@ def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return buckets.pack(_documents(spark, sf_dir))
+    return buckets.pack_tokens(_documents(spark, sf_dir))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
