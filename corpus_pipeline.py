@@ -39,9 +39,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line, within one word, are taken out."""
+    """Lines that repeat an earlier line, within one word edit in five, are taken out."""
     common.reachable(spark)
-    return _like(line_dedup.dedup_lines(docs, least=1), docs)
+    return _like(line_dedup.dedup_lines(docs, least=1, growing=True), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"), count="n_removed", least=1)
+    return line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"), count="n_removed", least=1, growing=True)
 
 
 def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
