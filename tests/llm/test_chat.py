@@ -1,0 +1,81 @@
+"""Operator 13 against a plain rendering, and its round trip over texts full of control strings."""
+
+import hashlib
+import random
+
+import duckdb
+import pytest
+
+from tests.llm.conftest import SF
+from thermoflux.llm import chat_format
+from thermoflux.llm.queries import ORACLE_SQL, QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def digests(rows):
+    """{conv_id: (n_turns, turns_sha256, loss_chars, loss_sha256)} of (conv_id, turn, role, text)."""
+    by = {}
+    for r in rows:
+        by.setdefault(r[0], []).append(((r[1] is not None, r[1] or 0), r[2] or "", r[3] or ""))
+    out = {}
+    for conv, turns in by.items():
+        turns.sort()
+        loss = "".join(t for _, role, t in turns if role == "assistant")
+        whole = "".join(f"{role}\n{t}\n" for _, role, t in turns)
+        out[conv] = len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+    return out
+
+
+def nasty(r):
+    parts = ["\\", "\\\\", "### ", "### User:", "### Assistant:", "### System:", "### @", "### @x:", "</turn>", "</turn", ">", "\n", "\n</turn>\n",
+             "#", "##### User:", "plain words", "é😀", " ", "", "$1", "\\$1", "%3A", "### Assistant:\nx\n</turn>\n### User:\ny"]
+    return "".join(r.choices(parts, k=r.randint(0, 8)))
+
+
+def test_round_trip(spark):
+    r = random.Random(13)
+    roles = ["user", "assistant", "system", "tool", "a:b", "x\ny", "%3A", "", None, "Assistant", "### User", "</turn>", "\\", "@", " "]
+    rows = [(c, t, r.choice(roles), nasty(r) if r.random() < 0.95 else None) for c in range(150) for t in range(r.randint(1, 6))]
+    rows += [(None, 1, "user", "null id"), (None, None, None, None), (7, 0, "user", "twice"), (7, 0, "user", "twice"), (200, 0, "assistant", "### @" * 3000 + "\\" * 5000), (201, 0, "user", "")]
+    table = spark.createDataFrame([(*x, "extra", "clash") for x in rows], SCHEMA + ", formatted string, spans string").repartition(4)
+    got = {x.conv_id: x for x in chat_format.chat_digests(table).collect()}
+    want = digests(rows)
+    assert {k: (x.n_turns, x.turns_sha256, x.loss_chars, x.loss_sha256) for k, x in got.items()} == want
+    for x in chat_format.read_back(chat_format.format_conversations(table)).collect():
+        assert len(x.formatted) == got[x.conv_id].formatted_chars
+
+
+def test_spans_and_mask(spark):
+    rows = [(1, 0, "system", "be brief"), (1, 1, "user", "say </turn>"), (1, 2, "assistant", "### Assistant: ok"), (1, 3, "assistant", "")]
+    x = chat_format.format_conversations(spark.createDataFrame(rows, SCHEMA)).first()
+    assert x.formatted == ("### System:\nbe brief\n</turn>\n### User:\nsay \\</turn>\n</turn>\n### Assistant:\n\\### Assistant: ok\n</turn>\n### Assistant:\n\n</turn>\n")
+    assert [x.formatted[s.start:s.end] for s in x.spans] == ["be brief", "say \\</turn>", "\\### Assistant: ok", ""]
+    assert [s.loss for s in x.spans] == [False, False, True, True]
+    assert "".join(x.formatted[s["from"]:s.to] for s in x.spans) == x.formatted
+
+
+def test_plain_texts_are_not_escaped(spark):
+    rows = [(1, 0, "user", "a \\ backslash, a # sign, ### Users and <turn>")]
+    assert rows[0][3] in chat_format.format_conversations(spark.createDataFrame(rows, SCHEMA)).first().formatted
+    rows = [(1, 0, "user", "\\### User: alone is escaped once more")]
+    assert "\\\\### User:" in chat_format.format_conversations(spark.createDataFrame(rows, SCHEMA)).first().formatted
+
+
+def test_empty_table(spark):
+    assert chat_format.chat_digests(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_and_sql(spark):
+    got = {tuple(sorted(x.asDict().items())) for x in QUERIES["op13_chat_format"](spark, SF).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    res = con.execute(ORACLE_SQL["op13_chat_format"])
+    names = [d[0] for d in res.description]
+    want = {tuple(sorted(zip(names, x, strict=True))) for x in res.fetchall()}
+    assert got == want and any(dict(x)["conv_id"] == -7 for x in got)
+
+
+@pytest.mark.parametrize("word", ["Python", "Arrow", "Pandas"])
+def test_no_python_in_the_plan(spark, word):
+    assert word not in QUERIES["op13_chat_format"](spark, SF)._jdf.queryExecution().toString()

@@ -1,0 +1,93 @@
+"""Operator 11 against a plain eigendecomposition."""
+
+import math
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import SF
+from thermoflux.llm import whitening
+from thermoflux.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>, n string, whitened string"
+
+
+def brute(rows):
+    """[(vec_id, x)] and n, eigenvalues, components by numpy's own solver."""
+    kept = [(i, [math.floor(1024 * float(np.float32(c))) + 100_000 for c in v]) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    x = np.array([v for _, v in kept], float)
+    mean = np.array([sum(v[k] for _, v in kept) / len(kept) for k in range(len(kept[0][1]))])
+    y = x - mean
+    values, vectors = np.linalg.eigh(y.T @ y / len(x))
+    return kept, y, values[::-1], vectors[:, ::-1]
+
+
+def check(got, rows, most=8):
+    kept, y, values, vectors = brute(rows)
+    n, sums = len(kept), [sum(v[k] for _, v in kept) for k in range(len(kept[0][1]))]
+    rank = min(most, int((values > 1e-9 * values[0]).sum()))
+    assert len(got) == n * rank
+    by = {}
+    for r in got:
+        by.setdefault(r.component, []).append(r)
+    assert sorted(by) == list(range(1, rank + 1))
+    for c, found in by.items():
+        z = y @ vectors[:, c - 1] / np.sqrt(values[c - 1])
+        want = sorted((i, round(float(v), 6)) for (i, _), v in zip(kept, z, strict=True))
+        turned = sorted((i, round(-float(v), 6)) for (i, _), v in zip(kept, z, strict=True))
+        mine = sorted((r.vec_id, round(r.whitened, 6)) for r in found)
+        assert any(all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-5 for a, b in zip(mine, w, strict=True)) for w in (want, turned))
+        assert all(r.n == n and abs(r.explained - values[c - 1] / values.sum()) < 1e-9 and r.identity_error < 1e-8 for r in found)
+    exact = sorted((i, sum((n * a - s) ** 2 for a, s in zip(v, sums, strict=True))) for i, v in kept)
+    assert sorted((r.vec_id, int(r.deviation)) for r in by[1]) == exact
+
+
+def table(spark, rows, parts=4):
+    return spark.createDataFrame([(i, v, "x", "y") for i, v in rows], SCHEMA).repartition(parts)
+
+
+@pytest.mark.parametrize("dims, count", [(12, 200), (5, 40), (8, 6)])
+def test_against_numpy(spark, dims, count):
+    g = np.random.default_rng(dims)
+    mix = g.normal(size=(dims, dims)) * np.geomspace(2, 0.05, dims)
+    rows = [(i, [float(v) for v in np.float32(g.normal(size=dims) @ mix)]) for i in range(count)]
+    rows += [(1000, None), (1001, []), (1002, [None] * dims), (1003, [float("nan")] * dims), (1004, [float("inf")] + [0.0] * (dims - 1)), (1005, [1.0]), rows[3]]
+    got = whitening.whitened(table(spark, rows)).collect()
+    check(got, [r for r in rows if r[0] != 1005])
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = QUERIES["op11_whitening"](spark, SF)
+    assert dict(got.dtypes)["deviation"] == "bigint" and dict(got.dtypes)["component"] == "int"
+    check(got.collect(), rows)
+
+
+def test_few_rows(spark):
+    assert whitening.whitened(table(spark, [])).count() == 0
+    assert whitening.whitened(table(spark, [(1, [0.5, 0.25])])).count() == 0
+    assert whitening.whitened(table(spark, [(1, [0.5, 0.25]), (2, [0.5, 0.25])])).count() == 0
+    two = whitening.whitened(table(spark, [(1, [0.5, 0.25]), (None, [0.0, 0.25])])).collect()
+    assert sorted((r.vec_id is None, r.component, abs(round(r.whitened, 9)), r.explained) for r in two) == [(False, 1, 1.0, 1.0), (True, 1, 1.0, 1.0)]
+
+
+def test_large_entries_stay_exact(spark):
+    rows = [(i, [1e12 * i, 3.0 + i % 3]) for i in range(5)]
+    got = {r.vec_id: int(r.deviation) for r in whitening.whitened(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), most=1).collect()}
+    x = [[math.floor(1024 * c) + 100_000 for c in v] for _, v in rows]
+    s = [sum(c) for c in zip(*x, strict=True)]
+    assert got == {i: sum((5 * a - b) ** 2 for a, b in zip(x[i], s, strict=True)) for i in range(5)}
+
+
+def test_factor_and_rotations():
+    g = np.random.default_rng(3)
+    for dims, rank in ((1, 1), (2, 2), (9, 9), (9, 4), (16, 16), (6, 0)):
+        half = g.normal(size=(dims, rank))
+        a = half @ half.T
+        left, order = whitening.pivoted_cholesky(a)
+        assert left.shape[1] == rank and np.allclose(np.triu(left, 1), 0)
+        assert np.allclose(left @ left.T, a[np.ix_(order, order)], atol=1e-10)
+        values, vectors = whitening.principal_components(a)
+        assert np.allclose(values, np.linalg.eigvalsh(a)[::-1][:rank])
+        assert np.allclose(vectors @ vectors.T, np.eye(rank), atol=1e-12)
+        assert np.allclose(vectors @ a, values[:, None] * vectors, atol=1e-10)

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermoflux.llm import (buckets, common, decision_list, feistel, line_dedup, pair_index, rule_ensemble, simhash,
-                            token_count, topk, wavelet)
+from thermoflux.llm import (alignment, buckets, chat_format, common, decision_list, feistel, line_dedup, pair_index, rule_ensemble,
+                            simhash, token_count, topk, wavelet, whitening)
 from thermoflux.sources.tables import read_table
 
 #: Key of the registered pseudonym query and stage; a deployment passes its own secret.
 DEMO_KEY = "thermoflux demonstration key"
+#: Text of both turns of conversation -7.
+CHAT_CONFLICT = r"\### Assistant: </turn> ok"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,9 +64,25 @@ def op10_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_index.coded_digests(_documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` as a long, null where it does not fit one (millions of rows)."""
+    found = whitening.whitened(read_table(common.reachable(spark), sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(_documents(spark, sf_dir))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, whose texts hold the template's control strings."""
+    extra = spark.sql("SELECT -7L AS conv_id, turn, role FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(turn, role)").withColumn("text", F.lit(CHAT_CONFLICT))
+    return chat_format.chat_digests(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_wavelet_tokens, op3_feistel_pseudonyms, op4_simhash_components, op5_exact_top5,
-                            op6_decision_list, op7_length_buckets, op8_line_dedup, op9_rule_ensemble, op10_pair_index_bpe)}
+                            op6_decision_list, op7_length_buckets, op8_line_dedup, op9_rule_ensemble, op10_pair_index_bpe, op11_whitening, op12_alignment, op13_chat_format)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_top5": """
@@ -78,4 +96,20 @@ ORACLE_SQL: dict[str, str] = {
             SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op13_chat_format": r"""
+        WITH source AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)),
+        sized AS (
+            SELECT *, len(text) + len(regexp_extract_all(text, '### System:|### User:|### Assistant:|### @|</turn>')) + 10 +
+                      CASE WHEN role IN ('system', 'user', 'assistant') THEN 5 + len(role)
+                           ELSE 6 + len(role) + 2 * len(regexp_extract_all(role, '[%:#<\n]')) END AS size
+            FROM source)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(size) AS BIGINT) AS formatted_chars
+        FROM sized GROUP BY conv_id""",
 }
