@@ -8,6 +8,9 @@ fallback - have spans that overlap or are empty; inside such a stretch the lengt
 decoded bytes give the borders.  Byte offsets where tokens of both end cut them into groups;
 every A token of a group is linked to every B token of it.
 
+(The installed ``sentencepiece`` has withdrawn ``immutable_proto``; ``offset_mapping`` gives the
+spans of the same proto.)
+
 1. Both tokenizers' borders fall before each space that follows a non-space (checked against
    the two vocabularies; else a text is one stretch), so a text is cut there and each distinct
    stretch of a shard is aligned once.  A shard is a bounded run of a task's documents; it
@@ -41,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermoflux.llm.common import as_text, quiet_tokenizers, text_chunks, tokenizer_path, written
+from thermoflux.llm.common import CHUNK_CHARS, as_text, quiet_tokenizers, text_chunks, tokenizer_path, written
 
 #: Characters in a shard, about: its stretches and links are in one task's memory.
 SHARD_CHARS = 4 << 20
@@ -81,67 +84,82 @@ class Pair:
                      and not before.get("add_prefix_space") and not any(SPACE in p.lstrip(SPACE) or " " in p for p in pieces)
                      and b"".join(self.bytes_b[i] for i in self.b.encode("a  b ")) == b" a  b ")
 
-    def ends_a(self, text: str) -> tuple[list[int], list[int], bool]:
-        """(ids, byte offset where each token ends, whether the bytes are the text's)."""
-        done = self.a.encode(text, add_special_tokens=False)
-        ids, spans = done.ids, done.offsets
-        data = text.encode()
-        if len(data) == len(text):
-            at = None
-        else:
-            at = [0, *accumulate(len(c.encode()) for c in text)]
+    def ends_a(self, text: str, ids: list[int], spans: list[tuple[int, int]]) -> list[int]:
+        """The byte offset where each token of ``text`` ends."""
+        if text.isascii():  # a character is a byte: every span is a cut as it stands
+            return [end for _, end in spans]
+        at = [0, *accumulate(len(c.encode()) for c in text)]
         ends, place = [], 0
         for k, (i, (_, end)) in enumerate(zip(ids, spans, strict=True)):
             place += self.lengths_a[i]
             if k + 1 == len(spans) or spans[k + 1][0] == end:  # spans meet: a character border
-                place = end if at is None else at[end]
+                place = at[end]
             ends.append(place)
-        return ids, ends, b"".join([self.bytes_a[i] for i in ids]) == data
+        return ends
 
-    def ends_b(self, text: str) -> tuple[list[int], list[int], bool]:
-        """The same for B over space + text."""
-        pieces = list(self.b.encode(text, return_type="proto").pieces)  # the immutable spans, in bytes of ``text``
-        ids = [p.id for p in pieces]
-        spans = [(p.begin, p.end) for p in pieces]
+    def ends_b(self, text: str, ids: list[int], spans: list[tuple[int, int]]) -> list[int]:
+        """The same for B over space + ``text``; its spans are in bytes of ``text``."""
+        if text.isascii():
+            return [end + 1 for _, end in spans]
         ends, place = [], 0
         for k, (i, (begin, end)) in enumerate(zip(ids, spans, strict=True)):
             place += len(self.bytes_b[i])
             if begin < end and (k + 1 == len(spans) or spans[k + 1][0] == end):  # of a character's bytes only the last has a span
                 place = end + 1  # one space stands before the text
             ends.append(place)
-        return ids, ends, b"".join([self.bytes_b[i] for i in ids]) == b" " + text.encode()
+        return ends
 
     def stretches(self, text: str) -> list[str]:
         """Space + text, cut where both tokenizers always end a token."""
         # A lone space at the end stays with what is before it: B gives an empty text no space.
         return re.split(r"(?<=\S)(?= (?s:.))", " " + text) if self.cuts else [" " + text]
 
-    def aligned(self, stretch: str) -> tuple | None:
-        """(n_a, n_b, groups, links, group text, pairs, times); None if bytes differ."""
-        a, ends_a, good_a = self.ends_a(stretch)
-        b, ends_b, good_b = self.ends_b(stretch[1:])
-        if not (good_a and good_b):
-            return None
-        groups, i, j = [], 0, 0
-        pairs: dict[tuple[int, int], int] = {}
-        links = 0
-        common = set(ends_a) & set(ends_b)
-        for end in sorted(common):
-            p, q = i, j
-            while i < len(a) and ends_a[i] <= end:
-                i += 1
-            while j < len(b) and ends_b[j] <= end:
-                j += 1
-            if p == i and q == j:
+    def aligned(self, stretches: list[str]) -> list[tuple | None]:
+        """Of each stretch (n_a, n_b, groups, links, group text, pairs as a << 32 | b, times);
+        None where the decoded tokens differ from it."""
+        texts = [s[1:] for s in stretches]
+        of_a = self.a.encode_batch(stretches, add_special_tokens=False)
+        of_b = self.b.encode(texts, return_type="offset_mapping", return_bytes=True, num_threads=1)  # the proto's spans
+        out: list[tuple | None] = []
+        for stretch, text, a, b in zip(stretches, texts, of_a, of_b, strict=True):
+            ids_a, ids_b, data = a.ids, b["ids"], stretch.encode()
+            if b"".join([self.bytes_a[i] for i in ids_a]) != data or b"".join([self.bytes_b[i] for i in ids_b]) != data:
+                out.append(None)
                 continue
-            left, right = a[p:i], b[q:j]
+            out.append(linked(ids_a, self.ends_a(stretch, ids_a, a.offsets), ids_b, self.ends_b(text, ids_b, b["offsets"])))
+        return out
+
+
+def linked(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]) -> tuple:
+    """Groups between common ends, and the links inside them."""
+    groups: list[str] = []
+    pairs: dict[int, int] = {}
+    i = j = p = q = links = 0
+    n, m = len(ids_a), len(ids_b)
+    while i < n and j < m:
+        x, y = ends_a[i], ends_b[j]
+        if x < y:
+            i += 1
+            continue
+        j += 1
+        if x > y:
+            continue
+        i += 1
+        if i == p + 1 and j == q + 1:  # one token each
+            a, b = ids_a[p], ids_b[q]
+            groups.append(f"{a}|{b}")
+            pairs[a << 32 | b] = pairs.get(a << 32 | b, 0) + 1
+            links += 1
+        else:
+            left, right = ids_a[p:i], ids_b[q:j]
             groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
             links += len(left) * len(right)
-            count_l, count_r = counted(left), counted(right)
-            for x, m in count_l.items():
-                for y, n in count_r.items():
-                    pairs[x, y] = pairs.get((x, y), 0) + m * n
-        return len(a), len(b), len(groups), links, ";".join(groups), list(pairs), list(pairs.values())
+            others = counted(right)
+            for a, k in counted(left).items():
+                for b, l in others.items():
+                    pairs[a << 32 | b] = pairs.get(a << 32 | b, 0) + k * l
+        p, q = i, j
+    return n, m, len(groups), links, ";".join(groups), list(pairs), list(pairs.values())
 
 
 def counted(ids: list[int]) -> dict[int, int]:
@@ -151,6 +169,27 @@ def counted(ids: list[int]) -> dict[int, int]:
     return out
 
 
+class Kept:
+    """Facts of short stretches that were met before, in two generations: when the young one
+    is full the old one goes, so the frequent ones stay."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
+
+    def get(self, stretch: str) -> tuple | None | int:
+        fact = self.young.get(stretch, 0)
+        if fact == 0 and (fact := self.old.get(stretch, 0)) != 0:
+            self.put(stretch, fact)
+        return fact
+
+    def put(self, stretch: str, fact: tuple | None) -> None:
+        if len(stretch) <= CACHED_CHARS:
+            if len(self.young) >= CACHED:
+                self.old, self.young = self.young, {}
+            self.young[stretch] = fact
+
+
 @lru_cache(maxsize=2)
 def tokenizer_pair(byte_path: str, piece_path: str) -> Pair:
     return Pair(byte_path, piece_path)
@@ -159,46 +198,48 @@ def tokenizer_pair(byte_path: str, piece_path: str) -> Pair:
 class Shard:
     """Documents of a bounded run of rows, their stretches and the pairs these link."""
 
-    def __init__(self, pair: Pair, kept: dict[str, tuple | None]) -> None:
+    def __init__(self, pair: Pair, kept: Kept) -> None:
         self.pair, self.kept, self.chars = pair, kept, 0
         self.number: dict[str, int] = {}
         self.facts: list[tuple | None] = []
         self.docs: list[tuple] = []
 
-    def add(self, key, text: str) -> None:
-        self.chars += len(text) + 32  # rows of empty texts count, too
-        zero = (key, 0, 0, 0, 0, "", b"", b"")
-        if not text:
-            self.docs.append(zero)
-            return
-        at = []
-        for s in self.pair.stretches(text):
-            i = self.number.get(s)
-            if i is None:
-                i = self.number[s] = len(self.facts)
-                fact = self.kept.get(s, 0)
-                if fact == 0:
-                    fact = self.pair.aligned(s)
-                    if len(s) <= CACHED_CHARS:
-                        if len(self.kept) >= CACHED:
-                            self.kept.clear()
-                        self.kept[s] = fact
-                self.facts.append(fact)
-            at.append(i)
-        facts = [self.facts[i] for i in at]
-        if None in facts:
-            self.docs.append(zero)
-            return
-        digest = hashlib.sha256(";".join([f[4] for f in facts if f[2]]).encode()).hexdigest()
-        which, times = np.unique(np.array(at, np.int32), return_counts=True)
-        self.docs.append((key, *(sum(f[k] for f in facts) for k in range(4)), digest, which.tobytes(), times.astype(np.int32).tobytes()))
+    def add(self, keys: list, texts: list[str]) -> None:
+        cut, new = [], []
+        for text in texts:
+            self.chars += len(text) + 32  # rows of empty texts count, too
+            at = []
+            for s in self.pair.stretches(text) if text else ():
+                i = self.number.get(s)
+                if i is None:
+                    i = self.number[s] = len(self.facts)
+                    fact = self.kept.get(s)
+                    self.facts.append(fact)
+                    if fact == 0:
+                        new.append(s)
+                at.append(i)
+            cut.append(at)
+        for p in range(0, len(new), 4096):
+            part = new[p:p + 4096]
+            for s, fact in zip(part, self.pair.aligned(part), strict=True):
+                self.facts[self.number[s]] = fact
+                self.kept.put(s, fact)
+        for key, at in zip(keys, cut, strict=True):
+            facts = [self.facts[i] for i in at]
+            if not at or None in facts:
+                self.docs.append((key, 0, 0, 0, 0, "", b"", b""))
+                continue
+            n_a, n_b, groups, links, text, _, _ = zip(*facts, strict=True)
+            digest = hashlib.sha256(";".join(text).encode()).hexdigest()
+            which, times = np.unique(np.array(at, np.int32), return_counts=True)
+            self.docs.append((key, sum(n_a), sum(n_b), sum(groups), sum(links), digest, which.tobytes(), times.astype(np.int32).tobytes()))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(distinct pairs as a << 32 | b, documents with each, and the stretches' links in
         rows: first link of each stretch, pair number, times)."""
         rows = [f or (0, 0, 0, 0, "", [], []) for f in self.facts]
         first = np.array([0, *accumulate(len(f[5]) for f in rows)], np.int64)
-        keys = np.array([x << 32 | y for f in rows for x, y in f[5]], np.int64)
+        keys = np.array([k for f in rows for k in f[5]], np.int64)
         times = np.array([t for f in rows for t in f[6]], np.int64)
         distinct, number = np.unique(keys, return_inverse=True)
         docs = np.zeros(len(distinct), np.int64)
@@ -230,16 +271,15 @@ def shards_of(docs: DataFrame, byte_path: str, piece_path: str, chars: int = SHA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizer_pair(byte_path, piece_path)
-        kept: dict[str, tuple | None] = {}
+        kept = Kept()
         number = TaskContext.get().partitionId() << 32
         shard = Shard(pair, kept)
         for batch in batches:
-            for a, b, texts in text_chunks(batch, "t"):
-                for key, text in zip(batch.column("k").slice(a, b - a).to_pylist(), texts, strict=True):
-                    if shard.docs and shard.chars + len(text) > chars:
-                        yield rows_of(shard, number)
-                        shard, number = Shard(pair, kept), number + 1
-                    shard.add(key, text)
+            for a, b, texts in text_chunks(batch, "t", min(chars, CHUNK_CHARS)):
+                shard.add(batch.column("k").slice(a, b - a).to_pylist(), texts)
+                if shard.chars > chars:
+                    yield rows_of(shard, number)
+                    shard, number = Shard(pair, kept), number + 1
         if shard.docs:
             yield rows_of(shard, number)
 
