@@ -117,3 +117,14 @@ def test_spans_give_the_same_ends_as_bytes():
                 at += len(table[i])
                 want.append(at)
             assert ends == want and b"".join(table[i] for i in ids) == text.encode()
+
+
+def test_texts_are_cut_the_same_with_and_without_runs_of_blanks():
+    pair = alignment.tokenizer_pair(tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    r = random.Random(6)
+    for _ in range(2000):
+        text = "".join(r.choices(["a", "é.", " ", "\n", "  ", "b"], k=r.randint(1, 9)))
+        assert "".join(" " + s for s in pair.stretches(text)) == " " + text
+        ids = [i for s in pair.stretches(text) for i in pair.a.encode(" " + s, add_special_tokens=False).ids]
+        assert ids == pair.a.encode(" " + text, add_special_tokens=False).ids
+        assert [i for s in pair.stretches(text) for i in pair.b.encode(s)] == pair.b.encode(text)

@@ -30,9 +30,11 @@ is kept; an empty table gives no rows; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -47,10 +49,11 @@ from pyspark.sql import functions as F
 from thermoflux.llm.common import CHUNK_CHARS, as_text, quiet_tokenizers, text_chunks, tokenizer_path, written
 
 #: Characters in a shard, about: its stretches and links are in one task's memory.
-SHARD_CHARS = 4 << 20
+SHARD_CHARS = 8 << 20
 #: Stretches kept between shards of a task, and the longest of them.
 CACHED, CACHED_CHARS = 200_000, 64
 SPACE = "▁"
+SPACES = re.compile(r"\s ")
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -110,18 +113,24 @@ class Pair:
         return ends
 
     def stretches(self, text: str) -> list[str]:
-        """Space + text, cut where both tokenizers always end a token."""
-        # A lone space at the end stays with what is before it: B gives an empty text no space.
-        return re.split(r"(?<=\S)(?= (?s:.))", " " + text) if self.cuts else [" " + text]
+        """Space + text, cut where both tokenizers always end a token; each stretch without
+        the space that it begins with."""
+        if not self.cuts:
+            return [text]
+        if text[0] != " " and text[-1] != " " and not SPACES.search(text):
+            return text.split(" ")
+        # A run of blanks stays whole, and a lone space at the end stays with what is before
+        # it: B gives an empty text no space.
+        return [s[1:] for s in re.split(r"(?<=\S)(?= (?s:.))", " " + text)]
 
     def aligned(self, stretches: list[str]) -> list[tuple | None]:
-        """Of each stretch (n_a, n_b, groups, links, group text, pairs as a << 32 | b, times);
-        None where the decoded tokens differ from it."""
-        texts = [s[1:] for s in stretches]
-        of_a = self.a.encode_batch(stretches, add_special_tokens=False)
-        of_b = self.b.encode(texts, return_type="offset_mapping", return_bytes=True, num_threads=1)  # the proto's spans
+        """Of each stretch (n_a, n_b, groups, links, group text, pairs as a << 32 | b, times), the
+        last two as packed integers; None where the decoded tokens differ from it."""
+        spaced = [" " + s for s in stretches]
+        of_a = self.a.encode_batch(spaced, add_special_tokens=False)
+        of_b = self.b.encode(stretches, return_type="offset_mapping", return_bytes=True, num_threads=1)  # the proto's spans
         out: list[tuple | None] = []
-        for stretch, text, a, b in zip(stretches, texts, of_a, of_b, strict=True):
+        for stretch, text, a, b in zip(spaced, stretches, of_a, of_b, strict=True):
             ids_a, ids_b, data = a.ids, b["ids"], stretch.encode()
             if b"".join([self.bytes_a[i] for i in ids_a]) != data or b"".join([self.bytes_b[i] for i in ids_b]) != data:
                 out.append(None)
@@ -159,7 +168,7 @@ def linked(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[i
                 for b, l in others.items():
                     pairs[a << 32 | b] = pairs.get(a << 32 | b, 0) + k * l
         p, q = i, j
-    return n, m, len(groups), links, ";".join(groups), list(pairs), list(pairs.values())
+    return n, m, len(groups), links, ";".join(groups), array("q", pairs).tobytes(), array("q", pairs.values()).tobytes()
 
 
 def counted(ids: list[int]) -> dict[int, int]:
@@ -208,47 +217,51 @@ class Shard:
         cut, new = [], []
         for text in texts:
             self.chars += len(text) + 32  # rows of empty texts count, too
-            at = []
-            for s in self.pair.stretches(text) if text else ():
-                i = self.number.get(s)
-                if i is None:
-                    i = self.number[s] = len(self.facts)
-                    fact = self.kept.get(s)
-                    self.facts.append(fact)
-                    if fact == 0:
-                        new.append(s)
-                at.append(i)
+            parts = self.pair.stretches(text) if text else []
+            at = list(map(self.number.get, parts))
+            if None in at:
+                for k, s in enumerate(parts):
+                    if at[k] is None:
+                        if (i := self.number.get(s)) is None:
+                            i = self.number[s] = len(self.facts)
+                            fact = self.kept.get(s)
+                            self.facts.append(fact)
+                            if fact == 0:
+                                new.append(s)
+                        at[k] = i
             cut.append(at)
         for p in range(0, len(new), 4096):
             part = new[p:p + 4096]
             for s, fact in zip(part, self.pair.aligned(part), strict=True):
                 self.facts[self.number[s]] = fact
                 self.kept.put(s, fact)
-        for key, at in zip(keys, cut, strict=True):
-            facts = [self.facts[i] for i in at]
-            if not at or None in facts:
-                self.docs.append((key, 0, 0, 0, 0, "", b"", b""))
+        self.docs += zip(keys, [np.array(at, np.int32) for at in cut], strict=True)
+
+    def rows(self, number: int) -> list[tuple]:
+        """A row for each document and one for the shard, in the order of ``SHARDS``."""
+        nothing = (0, 0, 0, 0, "", b"", b"")
+        facts = [f or nothing for f in self.facts]
+        refused = np.array([f is None for f in self.facts], bool)
+        sizes = np.array([f[:4] for f in facts], np.int64).reshape(-1, 4)
+        texts = [f[4] for f in facts]
+        first = np.array([0, *accumulate(len(f[5]) // 8 for f in facts)], np.int64)  # of each stretch's links
+        keys = np.frombuffer(b"".join([f[5] for f in facts]), np.int64)
+        times = np.frombuffer(b"".join([f[6] for f in facts]), np.int64)
+        distinct, pair = np.unique(keys, return_inverse=True)
+        held = np.zeros(len(distinct), np.int64)  # documents with each pair
+        out = []
+        for key, at in self.docs:
+            which, often = np.unique(at, return_counts=True)
+            if not len(which) or refused[which].any():
+                out.append((number, key, False, 0, 0, 0, 0, "", b"", b"", None, None, None))
                 continue
-            n_a, n_b, groups, links, text, _, _ = zip(*facts, strict=True)
-            digest = hashlib.sha256(";".join(text).encode()).hexdigest()
-            which, times = np.unique(np.array(at, np.int32), return_counts=True)
-            self.docs.append((key, sum(n_a), sum(n_b), sum(groups), sum(links), digest, which.tobytes(), times.astype(np.int32).tobytes()))
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(distinct pairs as a << 32 | b, documents with each, and the stretches' links in
-        rows: first link of each stretch, pair number, times)."""
-        rows = [f or (0, 0, 0, 0, "", [], []) for f in self.facts]
-        first = np.array([0, *accumulate(len(f[5]) for f in rows)], np.int64)
-        keys = np.array([k for f in rows for k in f[5]], np.int64)
-        times = np.array([t for f in rows for t in f[6]], np.int64)
-        distinct, number = np.unique(keys, return_inverse=True)
-        docs = np.zeros(len(distinct), np.int64)
-        for d in self.docs:
-            which = np.frombuffer(d[6], np.int32)
-            if len(which):
-                mine = [number[first[i]:first[i + 1]] for i in which.tolist()]
-                docs[np.unique(np.concatenate(mine))] += 1
-        return distinct, docs, first, number.astype(np.int32), times
+            digest = hashlib.sha256(";".join([texts[i] for i in at.tolist()]).encode()).hexdigest()
+            lo, size = first[which], first[which + 1] - first[which]
+            mine = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+            held[np.unique(pair[mine])] += 1
+            out.append((number, key, False, *(often @ sizes[which]).tolist(), digest, which.tobytes(), often.astype(np.int32).tobytes(), None, None, None))
+        out.append((number, None, True, 0, 0, 0, 0, None, pair.astype(np.int32).tobytes(), times.tobytes(), distinct.tobytes(), held.tobytes(), first.tobytes()))
+        return out
 
 
 SHARDS = ("shard bigint, doc_id {id}, whole boolean, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
@@ -264,12 +277,16 @@ def shards_of(docs: DataFrame, byte_path: str, piece_path: str, chars: int = SHA
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def rows_of(shard: Shard, number: int) -> pa.RecordBatch:
-        distinct, held, first, pair, times = shard.pairs()
-        rows = [(number, d[0], False, *d[1:6], d[6], d[7], None, None, None) for d in shard.docs]
-        rows.append((number, None, True, 0, 0, 0, 0, None, pair.tobytes(), times.tobytes(), distinct.tobytes(), held.tobytes(), first.tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*shard.rows(number), strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of small tuples without cycles: collections cost a third of the time
+        try:
+            yield from shards(batches)
+        finally:
+            gc.enable()
+
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizer_pair(byte_path, piece_path)
         kept = Kept()
         number = TaskContext.get().partitionId() << 32
