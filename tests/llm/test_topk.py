@@ -12,9 +12,11 @@ from thermoflux.llm.queries import ORACLE_SQL, QUERIES
 
 
 def brute(rows, asked, k):
+    """Every row of ``asked`` (numbers of rows) against every other row."""
     out = []
-    for q, v in sorted({(q, tuple(v)) for q, v in asked if q is not None}):
-        near = sorted(((-sum(a * b for a, b in zip(v, w, strict=True)), math.inf if i is None else i) for i, w in rows if i != q and len(w) == len(v)))[:k]
+    for n in asked:
+        q, v = rows[n]
+        near = sorted(((-sum(a * b for a, b in zip(v, w, strict=True)), math.inf if i is None else i) for m, (i, w) in enumerate(rows) if m != n and len(w) == len(v)))[:k]
         out += [(q, rank, None if i == math.inf else i, -s) for rank, (s, i) in enumerate(near, 1)]
     return sorted(out, key=str)
 
@@ -22,23 +24,23 @@ def brute(rows, asked, k):
 def test_odd_vectors_groups_and_blocks(spark):
     r = random.Random(4)
     rows = [(i, [r.choice([-1.0, -0.5, 0.25, 0.5, 1.0, r.random()]) for _ in range(20)]) for i in range(300)]
-    rows += [(300, None), (301, [None] * 20), (302, [float("nan")] * 20), (303, [float("inf")] + [0.0] * 19), (50, rows[50][1]), (None, rows[0][1]),
+    rows += [(300, None), (301, [None] * 20), (302, [float("nan")] * 20), (303, [float("inf")] + [0.0] * 19), (50, rows[50][1]), (50, rows[51][1]), (None, rows[0][1]),
              (304, [1.0, 2.0]), (305, []), (400, [0.0] * 20)]
     rows += [(500 + i, rows[0][1]) for i in range(40)]  # ties and copies
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, score string")
     good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    want = brute(good, [(i, v) for i, v in good if i is not None and i % 50 == 0], 5)
+    want = brute(good, [n for n, (i, _) in enumerate(good) if i is not None and i % 50 == 0], 5)
     vectors = topk.quantised(df)
     for group, block in ((16_384, 1024), (37, 3)):
-        got = topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5, group, block)
+        got = topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5, group, block)
         assert sorted((tuple(x) for x in got.select("query_id", "rank", "vec_id", "score").collect()), key=str) == want
     empty = topk.quantised(df.where("false"))
-    assert topk.top_k(empty, empty).count() == 0
+    assert topk.top_k(empty, F.lit(True)).count() == 0
 
 
 def test_fewer_than_k(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, v array<double>").select("vec_id", F.col("v").cast("array<long>").alias("v"))
-    assert topk.top_k(df, df.where("vec_id = 0")).collect() == [(0, 1, 1, 2)]
+    assert topk.top_k(df, F.col("vec_id") == 0).collect() == [(0, 1, 1, 2)]
 
 
 def test_sql(spark):
@@ -48,3 +50,15 @@ def test_sql(spark):
     got = QUERIES["op5_exact_top5"](spark, SF)
     assert [d[0] for d in rel.description] == got.columns
     assert sorted(map(tuple, got.collect())) == sorted(rel.fetchall())
+
+
+def test_two_vectors_under_one_id(spark):
+    """Each row is asked by itself, and the other row of its id is a candidate; SQL as well."""
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [0.5, 0.25]), (2, [0.25, 0.5]), (50, [0.0, 1.0]), (3, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.top_k(topk.quantised(df), F.col("vec_id") % 50 == 0).collect())
+    assert got == sorted(brute([(i, [math.floor(256 * x) for x in v]) for i, v in rows], [0, 1, 4], 5)) and len(got) == 15
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert sorted(con.execute(ORACLE_SQL["op5_exact_top5"]).fetchall()) == got

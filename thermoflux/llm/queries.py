@@ -40,7 +40,7 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_exact_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(read_table(common.reachable(spark), sf_dir, "embeddings"))
-    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
 def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"), count="n_removed", least=1, growing=True)
+    return line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"), count="n_removed", least=1, growing=True, keys=line_dedup.KEYS)
 
 
 def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,13 +87,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_top5": """
         WITH good AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
             WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-            FROM good q JOIN good c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+            SELECT q.own, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM good q JOIN good c ON c.own <> q.own AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0),
         ranked AS (
-            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score
             FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op13_chat_format": r"""
