@@ -35,6 +35,7 @@ import hashlib
 import json
 import re
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -42,6 +43,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,9 +51,9 @@ from pyspark.sql import functions as F
 from thermoflux.llm.common import CHUNK_CHARS, as_text, quiet_tokenizers, text_chunks, tokenizer_path, written
 
 #: Characters in a shard, about: its stretches and links are in one task's memory.
-SHARD_CHARS = 8 << 20
+SHARD_CHARS = 6 << 20
 #: Stretches kept between shards of a task, and the longest of them.
-CACHED, CACHED_CHARS = 200_000, 64
+CACHED, CACHED_CHARS = 150_000, 64
 SPACE = "▁"
 SPACES = re.compile(r"\s ")
 
@@ -81,6 +83,7 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.lengths_a = {i: len(x) for i, x in self.bytes_a.items()}
+        self.lengths_b = [len(x) for x in self.bytes_b]
         made = json.loads(self.a.to_str())
         before = made["pre_tokenizer"] or {}
         self.cuts = (made["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
@@ -102,16 +105,26 @@ class Pair:
 
     def ends_b(self, text: str, ids: list[int], spans: list[tuple[int, int]]) -> list[int]:
         """The same for B over space + ``text``; its spans are in bytes of ``text``."""
-        if text.isascii():
-            return [end + 1 for _, end in spans]
         ends, place = [], 0
         for k, (i, (begin, end)) in enumerate(zip(ids, spans, strict=True)):
-            place += len(self.bytes_b[i])
+            place += self.lengths_b[i]
             if begin < end and (k + 1 == len(spans) or spans[k + 1][0] == end):  # of a character's bytes only the last has a span
                 place = end + 1  # one space stands before the text
             ends.append(place)
         return ends
 
+    def encoded_a(self, spaced: list[str]) -> list[tuple[list[int], list[int]]]:
+        """(ids, ends in characters) of each stretch by A: stretches of ASCII text run together
+        to one text, as they end where A ends a token anyhow; the spans part them again."""
+        done = self.a.encode("".join(spaced), add_special_tokens=False)
+        ids, ends = done.ids, [end for _, end in done.offsets]
+        out, at, edge = [], 0, 0
+        for s in spaced:
+            own = bisect_left(ends, edge + len(s), at) + 1
+            out.append((ids[at:own], [e - edge for e in ends[at:own]] if edge else ends[:own]))
+            at, edge = own, edge + len(s)
+        return out
+
     def stretches(self, text: str) -> list[str]:
         """Space + text, cut where both tokenizers always end a token; each stretch without
         the space that it begins with."""
@@ -126,16 +139,26 @@ class Pair:
     def aligned(self, stretches: list[str]) -> list[tuple | None]:
         """Of each stretch (n_a, n_b, groups, links, group text, pairs as a << 32 | b, times), the
         last two as packed integers; None where the decoded tokens differ from it."""
-        spaced = [" " + s for s in stretches]
-        of_a = self.a.encode_batch(spaced, add_special_tokens=False)
-        of_b = self.b.encode(stretches, return_type="offset_mapping", return_bytes=True, num_threads=1)  # the proto's spans
-        out: list[tuple | None] = []
-        for stretch, text, a, b in zip(spaced, stretches, of_a, of_b, strict=True):
-            ids_a, ids_b, data = a.ids, b["ids"], stretch.encode()
-            if b"".join([self.bytes_a[i] for i in ids_a]) != data or b"".join([self.bytes_b[i] for i in ids_b]) != data:
-                out.append(None)
-                continue
-            out.append(linked(ids_a, self.ends_a(stretch, ids_a, a.offsets), ids_b, self.ends_b(text, ids_b, b["offsets"])))
+        out: list[tuple | None] = [None] * len(stretches)
+        plain = [k for k, s in enumerate(stretches) if s.isascii()] if self.cuts else []
+        spaced = [" " + stretches[k] for k in plain]
+        # A character is a byte there, so A's spans are the cuts, and for B, whose pieces then
+        # tile the text, the decoded bytes alone are.
+        ids = self.b.encode([stretches[k] for k in plain], num_threads=1)
+        part_a, part_b, lengths_b = self.bytes_a, self.bytes_b, self.lengths_b
+        for lo in range(0, len(plain), 64):
+            for k, text, (ids_a, ends_a), ids_b in zip(plain[lo:lo + 64], spaced[lo:lo + 64], self.encoded_a(spaced[lo:lo + 64]), ids[lo:lo + 64], strict=True):
+                data = text.encode()
+                if b"".join([part_a[i] for i in ids_a]) == data == b"".join([part_b[i] for i in ids_b]):
+                    out[k] = linked(ids_a, ends_a, ids_b, list(accumulate([lengths_b[i] for i in ids_b])))
+        known = set(plain)
+        other = [k for k in range(len(stretches)) if k not in known]
+        of_a = self.a.encode_batch([" " + stretches[k] for k in other], add_special_tokens=False)
+        of_b = self.b.encode([stretches[k] for k in other], return_type="offset_mapping", return_bytes=True, num_threads=1)  # the proto's spans
+        for k, a, b in zip(other, of_a, of_b, strict=True):
+            text, ids_a, ids_b = " " + stretches[k], a.ids, b["ids"]
+            if b"".join([part_a[i] for i in ids_a]) == text.encode() == b"".join([part_b[i] for i in ids_b]):
+                out[k] = linked(ids_a, self.ends_a(text, ids_a, a.offsets), ids_b, self.ends_b(stretches[k], ids_b, b["offsets"]))
         return out
 
 
@@ -259,11 +282,22 @@ class Shard:
             lo, size = first[which], first[which + 1] - first[which]
             mine = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
             held[np.unique(pair[mine])] += 1
-            out.append((number, key, False, *(often @ sizes[which]).tolist(), digest, which.tobytes(), often.astype(np.int32).tobytes(), None, None, None))
+            out.append((number, key, False, *(often @ sizes[which]).tolist(), digest, packed(np.diff(which, prepend=0)), packed(often), None, None, None))
         out.append((number, None, True, 0, 0, 0, 0, None, pair.astype(np.int32).tobytes(), times.tobytes(), distinct.tobytes(), held.tobytes(), first.tobytes()))
         return out
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers that are mostly small: 16 bits each, or 32 after a mark, compressed."""
+    small = len(values) == 0 or values.max() < 1 << 16
+    return zstandard.compress((b"\0" if small else b"\1") + values.astype(np.uint16 if small else np.uint32).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    raw = zstandard.decompress(data)
+    return np.frombuffer(raw, np.uint32 if raw[0] else np.uint16, offset=1).astype(np.int64)
+
+
 SHARDS = ("shard bigint, doc_id {id}, whole boolean, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
           "which binary, times binary, pairs binary, docs binary, first binary")
 
@@ -344,7 +378,7 @@ def aligned_documents(docs: DataFrame, byte_path: str | None = None, piece_path:
         own = rows.filter(pa.compute.invert(rows["whole"]))
         sums = [[], []]
         for which, m in zip(own["which"], own["times"], strict=True):
-            i, m = np.frombuffer(which.as_py(), np.int32), np.frombuffer(m.as_py(), np.int32)
+            i, m = (np.cumsum(unpacked(which.as_py())), unpacked(m.as_py())) if which.as_py() else (np.zeros(0, np.int64),) * 2
             for out, e in zip(sums, each, strict=True):
                 out.append(int((e[i] * m).sum()))
         return pa.table({**{c: own[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}, "n_best": pa.array(sums[0], pa.int64()),
