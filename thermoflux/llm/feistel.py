@@ -10,9 +10,10 @@ permutation E is used as ``E^-1(E(x) + 1 mod size)``.
 
 Kinds: e-mail (letters and digits of the local part, each within its class), payment card
 (all digits but the first six and the check digit, Luhn), IBAN (the digits after the check
-digits, mod 97), US social security number, telephone number (all digits after the country
-code), IPv4 address, date (ISO or day first with dots, day or month first with slashes,
-1900-2099).
+digits, mod 97), US social security number, telephone number (the national number; all printed
+forms of one number link, one without a country code counts as of code 1), IPv4 address, date
+(year first, day first with dots, day or month first with slashes, 1900-2099; all printed forms
+of one day link).  Known forms only: IPv6 addresses, for one, stay.
 
 Defined cases: a null text stays null and an empty one empty; repeated rows give repeated rows;
 an empty table gives no rows; extra columns are kept; a value in a domain of one element stays.
@@ -141,12 +142,33 @@ def ssn(m: re.Match, key: bytes, step: int) -> str | None:
     return put_digits(m[0], f"{area + 1 + (area >= 665):03d}{group + 1:02d}{serial + 1:04d}")
 
 
+#: Country calling codes of two digits; 1 and 7 have one, all others three.
+TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+                            "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def country_code(digits: str) -> str:
+    return digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
+
+
+def ten_digit_number(d: str) -> bool:
+    """Whether area and exchange are ones that the plan of country code 1 gives out."""
+    return len(d) == 10 and d[0] > "1" and d[3] > "1"
+
+
 def phone(m: re.Match, key: bytes, step: int) -> str | None:
-    code, rest = m["code"] or "", m["rest"] or m["local"]
-    d = digits_of(rest)
-    if not 7 <= len(d) <= 14:
+    """The national number is permuted as a whole under its country code (1 if none is given),
+    whatever stands between its digits, so all printed forms of a number stay linked."""
+    d = digits_of(m[0])
+    code = country_code(d) if m[0][0] == "+" else ""
+    own = d[len(code):]
+    if not 7 <= len(d) <= 15 or len(own) < 4 or (m["plain"] and not ten_digit_number(own)):
         return None
-    return code + put_digits(rest, move_number(d, key, "phone" + digits_of(code), step))
+    new = own
+    while True:  # a number that can be told without a mark stays one
+        new = move_number(new, key, "phone" + (code or "1"), step)
+        if ten_digit_number(new) == ten_digit_number(own):
+            return put_digits(m[0], code + new)
 
 
 def ip(m: re.Match, key: bytes, step: int) -> str | None:
@@ -160,35 +182,36 @@ def ip(m: re.Match, key: bytes, step: int) -> str | None:
     return ".".join(str(x >> s & 255) for s in (24, 16, 8, 0))
 
 
+def day_class(t: datetime.date) -> tuple[bool, bool, bool]:
+    """What a printed form shows of a date besides its digits: whether the day can be read as
+    a month, and whether day and month have two digits.  Kept, so every form fits again."""
+    return t.day > 12, t.day > 9, t.month > 9
+
+
 def date(m: re.Match, key: bytes, step: int) -> str | None:
-    a, b, c = (int(x) for x in re.split(r"[-./]", m[0]))
-    sign = re.search(r"[-./]", m[0])[0]
-    year_first = m[0][4:5] == sign
-    orders = [(a, b, c)] if year_first else [(c, b, a)] + [(c, a, b)] * (sign == "/")
-    for k, parts in enumerate(orders):
+    """The calendar day is permuted, within its ``day_class``; how it is written stays."""
+    parts = re.split(r"[-./]", m[0])
+    a, b, c = (int(x) for x in parts)
+    year_first = len(parts[0]) == 4
+    orders = [(a, b, c)] if year_first else [(c, b, a)] + [(c, a, b)] * ("/" in m[0])  # day first; month first if only that is a date
+    for k, order in enumerate(orders):
         try:
-            day = datetime.date(*parts).toordinal()
+            old = datetime.date(*order)
         except ValueError:
             continue
-        if not FIRST_DAY <= day <= LAST_DAY:
+        if not FIRST_DAY <= old.toordinal() <= LAST_DAY:
             return None
-        # The month-first reading is for slashed dates only, of days 13 to 31, and moves among them.
-        new, many = day, permutation(key, f"date{k}", LAST_DAY - FIRST_DAY + 1)
+        many, new = permutation(key, "date", LAST_DAY - FIRST_DAY + 1), old
         while True:
-            new = FIRST_DAY + many.moved(new - FIRST_DAY, step)
-            t = datetime.date.fromordinal(new)
-            if sign != "/" or year_first or (t.day > 12) == (day_of(day) > 12):
+            new = datetime.date.fromordinal(FIRST_DAY + many.moved(new.toordinal() - FIRST_DAY, step))
+            if day_class(new) == day_class(old):
                 break
-        if year_first:
-            return f"{t.year:04d}{sign}{t.month:02d}{sign}{t.day:02d}"
-        return f"{t.day:02d}{sign}{t.month:02d}{sign}{t.year:04d}" if k == 0 else f"{t.month:02d}{sign}{t.day:02d}{sign}{t.year:04d}"
+        made = [new.year, new.month, new.day] if year_first else [new.day, new.month, new.year] if k == 0 else [new.month, new.day, new.year]
+        sign = m[0][len(parts[0])]
+        return sign.join(f"{v:0{len(p)}d}" for v, p in zip(made, parts, strict=True))
     return None
 
 
-def day_of(ordinal: int) -> int:
-    return datetime.date.fromordinal(ordinal).day
-
-
 def email(m: re.Match, key: bytes, step: int) -> str | None:
     local, host = m["local"], m["host"]
     part, rest = local, "@" + host
@@ -213,10 +236,10 @@ KINDS: list[tuple[str, str, Callable[[re.Match, bytes, int], str | None]]] = [
     ("email", r"(?P<local>[^\W_](?:[\w.+%-]{0,62}[\w+%-])?)@(?P<host>(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.)+[A-Za-z][A-Za-z0-9-]{1,30})", email),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("card", r"(?<![\d.+-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-])", card),
-    ("phone", r"(?<![\w.+])(?:(?P<code>\+\d{1,3}[ .-]?)(?P<rest>\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{7,13}|\d{1,4}(?:[ .-]\d{2,8}){1,4})|(?P<local>\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4}))(?![\w-])", phone),
-    ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", ssn),
+    ("phone", r"(?<![\w.+])(?:(?P<code>\+\d{1,3}[ .-]?)(?P<rest>\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{7,13}|\d{1,4}(?:[ .-]\d{2,8}){1,4})|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4}|(?P<plain>\d{3}(?P<space>[ .])\d{3}(?P=space)\d{4}))(?!\.?\w|-)", phone),
+    ("ssn", r"(?<![\w-])(?:\d{3}-\d{2}-\d{4}|(?<!\d )\d{3} \d{2} \d{4}(?! \d))(?![\w-])", ssn),
     ("ip", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)", ip),
-    ("date", r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-])", date),
+    ("date", r"(?<![\w./-])(?:\d{4}(?P<sign>[-/])\d{2}(?P=sign)\d{2}|\d{2}\.\d{2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?=T\d\d|(?![\w/-]))", date),
 ]
 PATTERNS = [(name, re.compile(pattern, 0 if name == "email" else re.ASCII), make) for name, pattern, make in KINDS]
 #: Most texts hold neither, and are done after one pass.
