@@ -78,6 +78,20 @@ def test_components_are_those_of_all_pairs(spark, bucket_rows):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+@pytest.mark.parametrize("bucket_rows", [200, 20])
+def test_dense_buckets_are_dealt_until_they_are_small(spark, bucket_rows):
+    """A cluster that is dense in a few bits: no task gets it whole, and no link is lost."""
+    bits = [1 << k for k in (0, 1, 2, 17, 18, 33, 34, 35, 60, 63)]
+    codes = [sum(b for k, b in enumerate(bits) if i >> k & 1) ^ 0x0123456789ABCDEF for i in range(1 << len(bits))]
+    df = spark.createDataFrame([(simhash.signed(c),) for c in codes], "fp long")
+    buckets = {}
+    for r in simhash.dealt(df, 3, bucket_rows).collect():
+        buckets.setdefault((r.mask, r.value), set()).add(r.fp & simhash.FULL)
+    assert max(map(len, buckets.values())) <= max(bucket_rows, 8) and sum(map(len, buckets.values())) < 64 * len(codes)
+    met = {(a, b) for own in buckets.values() if len(own) < 400 for a in own for b in own if (a ^ b).bit_count() <= 3}
+    assert met == {(a, b) for a in codes for b in codes if (a ^ b).bit_count() <= 3}
+
+
 def test_long_chain_of_edges(spark):
     n = 200
     order = list(range(n))

@@ -3,10 +3,9 @@
 Each document gets a 64-bit fingerprint (map-only).  Equal fingerprints are folded first, so a
 group of copies of any size is one node from then on.  Two fingerprints that differ in at most
 ``bits`` bits agree in one of ``bits + 1`` blocks of bits, so nodes are dealt by (block mask,
-value).  Buckets above ``BUCKET_ROWS`` nodes are dealt once more: the bits that are still free
-are cut into ``bits + 1`` blocks and the same argument holds inside the bucket.  What is still
-large then, a dense cluster, goes to as many tasks as it has blocks of ``BUCKET_ROWS`` nodes:
-each holds the bucket's index and searches it with its own block.  Nothing is capped.
+value).  Buckets above ``BUCKET_ROWS`` nodes are dealt again: the bits that vary in one are cut
+into ``bits + 1`` blocks and the same argument holds inside the bucket; so it goes on until no
+bucket is larger.  A task holds no more than a bucket and ``GATHER_ROWS`` nodes; nothing is capped.
 
 In a bucket the nodes are sorted by Gray rank, so neighbours share long bit patterns.  Runs of
 ``FAN`` nodes get a parent that holds the bits on which all of them agree, runs of parents get
@@ -117,13 +116,11 @@ class GrayIndex:
         return q, self.order[node]
 
 
-def local_links(codes: np.ndarray, bits: int, labels: np.ndarray, asking: np.ndarray | None = None, block: int = 256) -> None:
-    """Unite the labels (indices of roots) of codes of one bucket within ``bits`` bits of
-    those at ``asking`` (default: all)."""
-    asking = np.arange(len(codes)) if asking is None else asking
+def local_links(codes: np.ndarray, bits: int, labels: np.ndarray, block: int = 256) -> None:
+    """Unite the labels (indices of roots) of codes of one bucket within ``bits`` bits."""
     index = GrayIndex(codes)
-    for at in range(0, len(asking), block):
-        own = asking[at:at + block]
+    for at in range(0, len(codes), block):
+        own = np.arange(at, min(at + block, len(codes)))
         q, c = index.search(codes[own], bits)
         unite(labels, own[q], c)
 
@@ -152,78 +149,92 @@ def split_mask(free: int, parts: int) -> list[int]:
     return [sum(1 << i for i in bits[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def large_buckets(rows: DataFrame, bucket_rows: int) -> DataFrame:
-    return rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
+def large_buckets(rows: DataFrame, bits: int, bucket_rows: int) -> DataFrame:
+    """(mask, value, finer): buckets above ``bucket_rows`` nodes that can be dealt again, and
+    the masks to do so: all bits that agree in the bucket, and a block of those that vary."""
+    schema = pa.schema([("mask", pa.int64()), ("value", pa.int64()), ("finer", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            finer = [[signed(FULL & ~v | c) for c in split_mask(v, bits + 1)] for v in batch.column("varying").cast(pa.int64()).to_numpy().view(np.uint64).tolist()]
+            yield pa.RecordBatch.from_arrays([batch.column("mask"), batch.column("value"), pa.array(finer, schema.field("finer").type)], schema=schema)
+
+    varying = F.bit_or("fp").bitwiseXOR(F.bit_and("fp"))
+    sizes = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"), varying.alias("varying"))
+    return (sizes.where((F.col("n") > bucket_rows) & (F.bit_count("varying") > bits)).select("mask", "value", "varying")
+            .mapInArrow(run, "mask bigint, value bigint, finer array<bigint>"))
+
+
+def dealt(nodes: DataFrame, bits: int, bucket_rows: int) -> DataFrame:
+    """(mask, value, fp): nodes in buckets such that every two within ``bits`` bits share one.
+
+    ``bits`` + 1 blocks of bits deal them at first.  A bucket above ``bucket_rows`` is dealt
+    again by as many blocks of the bits that vary in it, and again while one is too large: each
+    time fewer bits vary, and n nodes vary in log2(n) bits at least, so this ends."""
+    def by(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
+
+    rows = by(nodes.select("fp", F.explode(F.array(*[F.lit(signed(m)) for m in split_mask(FULL, bits + 1) if m])).alias("mask")))
+    done = []
+    while True:
+        hot = written(large_buckets(rows, bits, bucket_rows), "buckets")
+        if hot.isEmpty():
+            break
+        done.append(rows.join(hot, ["mask", "value"], "left_anti").select("mask", "value", "fp"))
+        again = rows.join(hot, ["mask", "value"]).select("fp", F.explode("finer").alias("mask"))
+        rows = written(by(again.distinct()), "finer")
+    for cold in done:
+        rows = rows.select("mask", "value", "fp").unionByName(cold)
+    return rows
 
 
 def links(nodes: DataFrame, bits: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Edges (a, b), b < a, over distinct fingerprints ``fp``: their connected components are
     those of all pairs within ``bits`` bits."""
-    masks = [m for m in split_mask(FULL, bits + 1) if m]
-    rows = nodes.select("fp", F.explode(F.array(*[F.lit(signed(m)) for m in masks])).alias("mask"))
-    rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
-    finer = {m: [m | c for c in split_mask(FULL & ~m, bits + 1) if c] for m in masks}
-    choice = F.create_map(*[x for m, cs in finer.items() for x in (F.lit(signed(m)), F.array(*[F.lit(signed(c)) for c in cs]))])
-    hot = written(large_buckets(rows, bucket_rows), "buckets")
-    alone = F.lit(1).cast("long").alias("parts")
-    if hot.isEmpty():
-        done = rows.select("mask", "value", "fp", alone)
-    else:
-        cold = rows.join(hot, ["mask", "value"], "left_anti").select("mask", "value", "fp", alone)
-        again = rows.join(hot, ["mask", "value"], "left_semi").select("fp", F.explode(choice[F.col("mask")]).alias("mask"))
-        again = written(again.withColumn("value", F.col("fp").bitwiseAND(F.col("mask"))), "finer")
-        dense = written(large_buckets(again, bucket_rows), "dense")
-        parts = F.coalesce(F.ceil(F.col("n") / F.lit(bucket_rows)), F.lit(1)).cast("long").alias("parts")
-        done = cold.unionByName(again.join(dense, ["mask", "value"], "left").select("mask", "value", "fp", parts))
-    # A row goes to every part of its bucket, and is a query in one of them.
-    done = done.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    done = done.withColumn("asks", F.pmod(F.xxhash64("fp"), F.col("parts")) == F.col("part"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A partition holds whole buckets, sorted; they are searched some at a time."""
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def bounds(mask: np.ndarray, value: np.ndarray, part: np.ndarray) -> np.ndarray:
-            return np.flatnonzero((mask[1:] != mask[:-1]) | (value[1:] != value[:-1]) | (part[1:] != part[:-1])) + 1
+        def bounds(mask: np.ndarray, value: np.ndarray) -> np.ndarray:
+            return np.flatnonzero((mask[1:] != mask[:-1]) | (value[1:] != value[:-1])) + 1
 
-        def edges(mask: np.ndarray, value: np.ndarray, part: np.ndarray, fp: np.ndarray, asks: np.ndarray) -> pa.RecordBatch:
+        def edges(mask: np.ndarray, value: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             codes, number = np.unique(fp.view(np.uint64), return_inverse=True)
             labels = np.arange(len(codes))
-            cut = bounds(mask, value, part)
+            cut = bounds(mask, value)
             small = np.diff(np.concatenate([[0], cut, [len(fp)]]))
             bucket = np.repeat(np.arange(len(small)), small)
             # Buckets of up to FAN nodes: compare at each distance in the sorted array at once.
             for d in range(1, min(FAN, int(small.max(initial=0)))):
-                a = np.flatnonzero((bucket[d:] == bucket[:-d]) & (small[bucket[d:]] <= FAN) & (asks[d:] | asks[:-d]))
+                a = np.flatnonzero((bucket[d:] == bucket[:-d]) & (small[bucket[d:]] <= FAN))
                 near = np.bitwise_count(codes[number[a]] ^ codes[number[a + d]]) <= bits
                 unite(labels, number[a[near]], number[a[near] + d])
             for k in np.flatnonzero(small > FAN):
                 a = 0 if k == 0 else int(cut[k - 1])
                 own = number[a:a + int(small[k])]
                 inner = np.arange(len(own))
-                local_links(codes[own], bits, inner, np.flatnonzero(asks[a:a + len(own)]))
+                local_links(codes[own], bits, inner)
                 unite(labels, own, own[inner])
             child = np.flatnonzero(labels != np.arange(len(labels)))
             ids = codes.view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(ids[child]), pa.array(ids[labels[child]])], names=["a", "b"])
 
         for batch in batches:
-            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)))
+            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)))
             size += batch.num_rows
             if size >= GATHER_ROWS:
                 columns = tuple(np.concatenate(c) for c in zip(*held, strict=True))
-                cut = bounds(*columns[:3])
-                if len(cut):  # the last bucket may go on
+                cut = bounds(*columns[:2])
+                if len(cut):  # the last bucket may go on; it is bounded
                     yield edges(*(c[:cut[-1]] for c in columns))
                     columns = tuple(c[cut[-1]:] for c in columns)
                 held, size = [columns], len(columns[0])
         if size:
             yield edges(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
-    key = ["mask", "value", "part"]
-    dealt = done.select(*key, "fp", "asks").repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    key = ["mask", "value"]
+    return dealt(nodes, bits, bucket_rows).select(*key, "fp").repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
