@@ -35,7 +35,7 @@ def test_boundaries_are_optimal(seed):
 
 def check(docs, k=4, budget=300):
     rows = docs.select("doc_id", "text").collect()
-    got = buckets.pack(docs, k, budget).collect()
+    got = buckets.pack_words(docs, k, budget).withColumnRenamed("n_words", "n_tokens").collect()
     assert sorted(((r.doc_id, r.n_tokens) for r in got), key=str) == sorted(((r.doc_id, words(r.text)) for r in rows), key=str)
     lengths = sorted({r.n_tokens for r in got})
     cells = [(n, sum(r.n_tokens == n for r in got)) for n in lengths]
@@ -56,7 +56,7 @@ def check(docs, k=4, budget=300):
 def test_rows(spark, odd, none, documents):
     check(odd)
     check(documents, 6, 2000)
-    assert buckets.pack(none).count() == 0
+    assert buckets.pack_words(none).count() == 0
 
 
 def test_one_bucket_over_many_partitions(spark):
@@ -73,6 +73,18 @@ def test_cells_hold_every_length(spark):
     assert r.cells < 4000 and r.least >= 0 and r.wide < 1 / 200
 
 
+def test_long_texts_are_padded_nearly_as_little_as_can_be(spark):
+    """Above ``EXACT_CELLS`` lengths share cells: padded length within 0.4 % of the exact optimum."""
+    r = random.Random(11)
+    lengths = [int(1.3 ** r.uniform(22, 42)) for _ in range(1500)]
+    assert min(lengths) < buckets.EXACT_CELLS < 4 * buckets.EXACT_CELLS < max(lengths)
+    docs = spark.createDataFrame([(i, "x", n) for i, n in enumerate(lengths)], "doc_id long, text string, n long")
+    got = buckets.pack_words(docs, 8, 8192, F.col("n")).collect()
+    tops = buckets.boundaries(sorted((n, lengths.count(n)) for n in set(lengths)), 8)
+    least = sum(min(t for t in tops if t >= n) for n in lengths)
+    assert least <= sum(x.bucket_length for x in got) <= 1.004 * least
+
+
 def test_query_packs_by_tokens(spark, documents, odd, none):
     """The registered query fills its budget with tokens of the vocabulary, not words."""
     library = Tokenizer.from_file(tokenizer_path())

@@ -7,7 +7,8 @@ hold as many documents as the token budget allows at the boundary (one at least)
 
 The histogram has a cell for each length up to ``EXACT_CELLS`` and ``OCTAVE_CELLS`` cells for
 each doubling beyond, each with its true greatest length, so the driver gets a few thousand
-rows at most whatever the data are; boundaries are optimal among the cells' greatest lengths.
+rows at most whatever the data are.  Boundaries are optimal among the cells' greatest lengths:
+the exact optimum up to ``EXACT_CELLS``, within 1 / ``OCTAVE_CELLS`` (0.4 %) of the padded length beyond.
 Numbering needs no task per bucket: rows are range-partitioned by (bucket, doc_id), numbered
 inside the partition, and moved on by the counts of the partitions before.
 
@@ -77,16 +78,17 @@ def boundaries(cells: list[tuple[int, int]], buckets: int) -> list[int]:
     return out[::-1]
 
 
-def pack(docs: DataFrame, buckets: int = 16, budget: int = 8192, length: Column | None = None) -> DataFrame:
-    """(doc_id, n_tokens, bucket, bucket_length, batch, slot, padding) for each row of ``docs``;
-    lengths are words unless ``length`` is given.  ``pack_tokens`` packs by tokens."""
+def pack_words(docs: DataFrame, buckets: int = 16, budget: int = 8192, length: Column | None = None) -> DataFrame:
+    """(doc_id, n_words, bucket, bucket_length, batch, slot, padding) for each row of ``docs``:
+    lengths are words, or ``length``.  No tokenizer is needed; the budget is then one of words."""
     n = length if length is not None else word_length(docs)
-    return _packed(docs.select("doc_id", F.xxhash64("text").alias("h"), n.alias("n"), F.monotonically_increasing_id().alias("place")), buckets, budget)
+    packed = _packed(docs.select("doc_id", F.xxhash64("text").alias("h"), n.alias("n"), F.monotonically_increasing_id().alias("place")), buckets, budget)
+    return packed.withColumnRenamed("n_tokens", "n_words")
 
 
 def pack_tokens(docs: DataFrame, buckets: int = 16, budget: int = 8192, path: str | None = None) -> DataFrame:
-    """As ``pack``, with the tokens of the vocabulary at ``path`` as lengths; they are counted
-    in the pass that writes the lengths."""
+    """(doc_id, n_tokens, bucket, bucket_length, batch, slot, padding) for each row of ``docs``:
+    lengths are tokens of the vocabulary at ``path``, counted in the pass that writes them."""
     path = path or tokenizer_path()
 
     def work(keys: list, texts: list[str]) -> dict:
