@@ -35,7 +35,6 @@ import hashlib
 import json
 import re
 from array import array
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -54,6 +53,8 @@ from thermoflux.llm.common import CHUNK_CHARS, as_text, quiet_tokenizers, text_c
 SHARD_CHARS = 6 << 20
 #: Stretches kept between shards of a task, and the longest of them.
 CACHED, CACHED_CHARS = 150_000, 64
+#: Short stretches that A encodes as one text.
+RUN = 64
 SPACE = "▁"
 SPACES = re.compile(r"\s ")
 
@@ -78,12 +79,16 @@ class Pair:
         self.a.no_truncation()
         self.a.no_padding()
         letters = byte_of_letter()
-        self.bytes_a = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
+        vocab = sorted((i, t) for t, i in self.a.get_vocab().items())
+        tokens = dict(vocab)
+        self.bytes_a = [bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in (tokens.get(i, "") for i in range(vocab[-1][0] + 1))]
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.lengths_a = {i: len(x) for i, x in self.bytes_a.items()}
-        self.lengths_b = [len(x) for x in self.bytes_b]
+        self.lengths_a, self.lengths_b = ([len(x) for x in y] for y in (self.bytes_a, self.bytes_b))
+        self.sizes_a, self.sizes_b = np.array(self.lengths_a, np.int64), np.array(self.lengths_b, np.int64)
+        # Ids in the groups' text: "," within a side, "|" after A's, ";" after a group, LF after a stretch.
+        self.written = [f"{i}{c}" for c in ",|" for i in range(len(self.bytes_a))] + [f"{i}{c}" for c in ",;\n" for i in range(len(self.bytes_b))]
         made = json.loads(self.a.to_str())
         before = made["pre_tokenizer"] or {}
         self.cuts = (made["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
@@ -113,17 +118,70 @@ class Pair:
             ends.append(place)
         return ends
 
-    def encoded_a(self, spaced: list[str]) -> list[tuple[list[int], list[int]]]:
-        """(ids, ends in characters) of each stretch by A: stretches of ASCII text run together
-        to one text, as they end where A ends a token anyhow; the spans part them again."""
-        done = self.a.encode("".join(spaced), add_special_tokens=False)
-        ids, ends = done.ids, [end for _, end in done.offsets]
-        out, at, edge = [], 0, 0
-        for s in spaced:
-            own = bisect_left(ends, edge + len(s), at) + 1
-            out.append((ids[at:own], [e - edge for e in ends[at:own]] if edge else ends[:own]))
-            at, edge = own, edge + len(s)
-        return out
+    def aligned_many(self, stretches: list[str], ascii_only: bool) -> list[tuple] | None:
+        """``aligned`` for short stretches, all at once; None if one of them is refused.
+
+        Stretches end where both tokenizers end a token, so A encodes runs of them as one text.
+        In ASCII text a character is a byte and B's pieces tile it by their decoded bytes; its
+        spans are asked for where there are other characters."""
+        spaced = [" " + s for s in stretches]
+        ids, spans, base = [], [], 0
+        for lo in range(0, len(spaced), RUN):
+            run = "".join(spaced[lo:lo + RUN])
+            done = self.a.encode(run, add_special_tokens=False)
+            ids += done.ids
+            spans += [(base + start, base + end) for start, end in done.offsets] if base else done.offsets
+            base += len(run)
+        data = "".join(spaced).encode()
+        edge = np.cumsum([len(s.encode()) for s in spaced])
+        if ascii_only:
+            flat = [i for x in self.b.encode(stretches, num_threads=1) for i in x]
+        else:
+            of_b = self.b.encode(stretches, return_type="offset_mapping", return_bytes=True, num_threads=1)  # the proto's spans
+            flat = [i for x in of_b for i in x["ids"]]
+        if not b"".join([self.bytes_a[i] for i in ids]) == data == b"".join([self.bytes_b[i] for i in flat]):
+            return None
+        a, b, cuts = np.array(ids, np.int64), np.array(flat, np.int64), np.array(spans, np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])  # by decoded bytes
+        # A span's end is a cut on a character border where the next span begins with it.
+        char = np.append(np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80), len(data))
+        ends_a = np.where(np.append(cuts[1:, 0], cuts[-1, 1]) == cuts[:, 1], char[cuts[:, 1]], ends_a)
+        if not ascii_only:
+            own = np.array([x for o in of_b for x in o["offsets"]], np.int64) + np.repeat(edge - [len(s.encode()) for s in stretches], [len(o["ids"]) for o in of_b])[:, None]
+            meets = (np.append(own[1:, 0], -1) == own[:, 1]) & (own[:, 0] < own[:, 1])  # of a character's bytes only the last has a span
+            ends_b = np.where(meets, own[:, 1], ends_b)
+        common = np.intersect1d(ends_a, ends_b)
+        if len(common) == 0 or not np.isin(edge, common).all():
+            return None
+        of_a, of_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)  # group of each token
+        n_a, n_b = (np.bincount(g, minlength=len(common)) for g in (of_a, of_b))
+        if (n_a * n_b).sum() > 1 << 22:
+            return None
+        stretch = np.searchsorted(edge, common)  # of each group
+        # The groups' text: each token with what stands behind it, A's of a group before B's.
+        behind_a, behind_b = np.cumsum(n_a), np.cumsum(n_b)
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[behind_a[n_a > 0] - 1] = 1
+        last_b[behind_b[n_b > 0] - 1] = 1
+        last_b[np.searchsorted(ends_b, edge)] = 2
+        code = np.empty(len(a) + len(b), np.int64)
+        code[np.arange(len(a)) + (behind_b - n_b)[of_a]] = a + last_a * len(self.bytes_a)
+        code[np.arange(len(b)) + behind_a[of_b]] = b + last_b * len(self.bytes_b) + 2 * len(self.bytes_a)
+        texts = "".join([self.written[c] for c in code.tolist()]).split("\n")
+        # Links: every A token of a group with every B token of it.
+        many = n_b[of_a]
+        inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        keys = np.repeat(a << 32, many) | b[np.repeat((behind_b - n_b)[of_a], many) + inside]
+        at = np.repeat(stretch[of_a], many)
+        order = np.lexsort((keys, at))
+        keys, at = keys[order], at[order]
+        new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])]))
+        times = np.diff(np.append(new, len(keys)))
+        count = len(stretches)
+        first = np.searchsorted(at[new], np.arange(count + 1)).tolist()
+        sizes = [np.bincount(x, minlength=count).tolist() for x in (stretch[of_a], stretch[of_b], stretch, at)]
+        keys, times = keys[new], times.astype(np.int64)
+        return [(*size, text, keys[lo:hi].tobytes(), times[lo:hi].tobytes()) for size, text, lo, hi in zip(zip(*sizes, strict=True), texts, first, first[1:], strict=False)]
 
     def stretches(self, text: str) -> list[str]:
         """Space + text, cut where both tokenizers always end a token; each stretch without
@@ -140,24 +198,21 @@ class Pair:
         """Of each stretch (n_a, n_b, groups, links, group text, pairs as a << 32 | b, times), the
         last two as packed integers; None where the decoded tokens differ from it."""
         out: list[tuple | None] = [None] * len(stretches)
-        plain = [k for k, s in enumerate(stretches) if s.isascii()] if self.cuts else []
-        spaced = [" " + stretches[k] for k in plain]
-        # A character is a byte there, so A's spans are the cuts, and for B, whose pieces then
-        # tile the text, the decoded bytes alone are.
-        ids = self.b.encode([stretches[k] for k in plain], num_threads=1)
-        part_a, part_b, lengths_b = self.bytes_a, self.bytes_b, self.lengths_b
-        for lo in range(0, len(plain), 64):
-            for k, text, (ids_a, ends_a), ids_b in zip(plain[lo:lo + 64], spaced[lo:lo + 64], self.encoded_a(spaced[lo:lo + 64]), ids[lo:lo + 64], strict=True):
-                data = text.encode()
-                if b"".join([part_a[i] for i in ids_a]) == data == b"".join([part_b[i] for i in ids_b]):
-                    out[k] = linked(ids_a, ends_a, ids_b, list(accumulate([lengths_b[i] for i in ids_b])))
-        known = set(plain)
+        short = [k for k, s in enumerate(stretches) if len(s) <= CACHED_CHARS and SPACE not in s] if self.cuts else []
+        known = {k for k, s in enumerate(stretches) if SPACE in s}  # B reads a space there: refused
+        for ascii_only in (True, False):
+            own = [k for k in short if stretches[k].isascii() == ascii_only]
+            found = self.aligned_many([stretches[k] for k in own], ascii_only) if own else None
+            if found is not None:
+                known.update(own)
+                for k, fact in zip(own, found, strict=True):
+                    out[k] = fact
         other = [k for k in range(len(stretches)) if k not in known]
         of_a = self.a.encode_batch([" " + stretches[k] for k in other], add_special_tokens=False)
         of_b = self.b.encode([stretches[k] for k in other], return_type="offset_mapping", return_bytes=True, num_threads=1)  # the proto's spans
         for k, a, b in zip(other, of_a, of_b, strict=True):
             text, ids_a, ids_b = " " + stretches[k], a.ids, b["ids"]
-            if b"".join([part_a[i] for i in ids_a]) == text.encode() == b"".join([part_b[i] for i in ids_b]):
+            if b"".join([self.bytes_a[i] for i in ids_a]) == text.encode() == b"".join([self.bytes_b[i] for i in ids_b]):
                 out[k] = linked(ids_a, self.ends_a(text, ids_a, a.offsets), ids_b, self.ends_b(stretches[k], ids_b, b["offsets"]))
         return out
 
