@@ -87,7 +87,7 @@ def test_dense_buckets_are_dealt_until_they_are_small(spark, bucket_rows):
     buckets = {}
     for r in simhash.dealt(df, 3, bucket_rows).collect():
         buckets.setdefault((r.mask, r.value), set()).add(r.fp & simhash.FULL)
-    assert max(map(len, buckets.values())) <= max(bucket_rows, 8) and sum(map(len, buckets.values())) < 64 * len(codes)
+    assert max(map(len, buckets.values())) <= max(bucket_rows, 8) and sum(map(len, buckets.values())) < 128 * len(codes)
     met = {(a, b) for own in buckets.values() if len(own) < 400 for a in own for b in own if (a ^ b).bit_count() <= 3}
     assert met == {(a, b) for a in codes for b in codes if (a ^ b).bit_count() <= 3}
 

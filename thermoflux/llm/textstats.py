@@ -91,7 +91,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, u
     if usable is not None:
         good = good.where(usable)
     one = good.groupBy("doc_id").agg(F.min(label).alias("label"))
-    few = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    # Hashes are even over their range: a range that holds the least ``rows`` with room to
+    # spare goes first, so no more than about twice as many reach the task that sorts them.
+    hashed, share = F.xxhash64("doc_id"), (1.5 * rows + 1000) / max(1, one.count())
+    if share < 1:
+        one = one.where(hashed < int(-(1 << 63) + share * (1 << 64)))
+    few = one.orderBy(hashed, "doc_id").limit(rows)
     docs = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").withColumn("c", counts_of(F.col("text")))
     wide = docs.select("doc_id", "label", *[c.alias(n) for n, c in feature_columns(F.col("c")).items()])
     # Documents that repeat an id fold to one row before anything reaches the driver.
