@@ -41,7 +41,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier line, within one word edit in five, are taken out."""
     common.reachable(spark)
-    return _like(line_dedup.dedup_lines(docs, least=1, growing=True), docs)
+    return _like(line_dedup.dedup_lines(docs, least=1, growing=True, keys=line_dedup.KEYS), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,9 +57,9 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's length bucket, batch and slot."""
+    """Every document's length bucket, batch and slot; lengths are tokens."""
     common.reachable(spark)
-    return buckets.pack(docs)
+    return buckets.pack_tokens(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
