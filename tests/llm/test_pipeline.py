@@ -1,10 +1,11 @@
 """The pipeline's stages against plain checks of what each must do."""
 
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from tests.llm.conftest import SF
-from tests.llm.test_packing import words
 from tests.llm.test_simhash import classes, plain_fingerprint
-from thermoflux.llm.common import written
+from thermoflux.llm.common import tokenizer_path, written
 from thermoflux.llm.feistel import pseudonymise
 from thermoflux.llm.queries import DEMO_KEY
 
@@ -28,7 +29,12 @@ def test_stages(spark, documents):
     hidden = written(stage["pii"](spark, single, SF), "t")
     assert {r.doc_id: r.text for r in hidden.collect()} == {r.doc_id: pseudonymise(r.text, DEMO_KEY.encode())[0] for r in single.collect()}
     packed = stage["packing"](spark, hidden, SF)
-    assert sorted((r.doc_id, r.n_tokens) for r in packed.collect()) == sorted((r.doc_id, words(r.text)) for r in hidden.collect())
+    library = Tokenizer.from_file(tokenizer_path())
+    assert sorted((r.doc_id, r.n_tokens) for r in packed.collect()) == sorted((r.doc_id, len(library.encode(r.text, add_special_tokens=False).ids)) for r in hidden.collect())
+    filled = {}
+    for r in packed.collect():
+        filled.setdefault((r.bucket, r.batch), []).append(r.n_tokens + r.padding)
+    assert all(len(x) == 1 or sum(x) <= 8192 for x in filled.values())
     assert sorted(map(str, corpus_pipeline.run(spark, SF).collect())) == sorted(map(str, packed.collect()))
 
 
