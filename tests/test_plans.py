@@ -67,3 +67,9 @@ def test_answers_without_broadcast(spark, name):
     finally:
         spark.conf.unset(key)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_updating_counts_read_the_events_three_times(spark):
+    """Once for the counts, and twice for the tick table: no row is read for its firing."""
+    plan = QUERIES["updating_count"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 3

@@ -15,6 +15,8 @@ control row applies first.  Comparisons with NaN are false, as in Java.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,31 +46,32 @@ def smoke_high_intervals(smoke: DataFrame, chunk_rows: int = CHUNK_ROWS) -> Data
                .select(F.col("timestamp").alias("start"), F.col("next_ts").alias("end")))
 
 
-def merged_switch_intervals(switches: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Per sensor, the union of the switches' ``[ts, ts + d)`` as disjoint intervals."""
-    s = switches.select("id", "event_id", F.col("timestamp").alias("start"),
-                        (F.col("timestamp") + F.col("duration_ms")).alias("end")) \
-        .filter(F.col("end") > F.col("start"))
-    prev = running_scan(s, ["id"], ["start", "event_id"], [Measure("prev_end", "max", F.col("end"))],
-                        chunk_rows=chunk_rows, exclusive=True)
-    flagged = prev.withColumn("opens", F.when(F.col("prev_end").isNull() | (F.col("start") > F.col("prev_end")), 1)
-                              .otherwise(0))
-    grouped = running_scan(flagged, ["id"], ["start", "event_id"], [Measure("grp", "sum", F.col("opens"))],
-                           chunk_rows=chunk_rows)
-    return grouped.groupBy("id", "grp").agg(F.min("start").alias("start"), F.max("end").alias("end")) \
-        .select("id", "start", "end")
+def switch_intervals(switches: DataFrame, keys: Sequence[str] = ("id",), chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Per key, the union of the switches' ``[ts, ts + d)`` as disjoint intervals.
+
+    From one switch to the next, forwarding lasts until the greatest end so far: each row of
+    one exclusive scan closes the piece that the rows before it left open, and the last piece
+    of a key comes from its greatest start and end."""
+    keys = list(keys)
+    s = switches.select(*keys, "event_id", F.col("timestamp").alias("at"), (F.col("timestamp") + F.col("duration_ms")).alias("until")) \
+        .filter(F.col("until") > F.col("at"))
+    before = running_scan(s, keys, ["at", "event_id"], [Measure("start", "max", F.col("at")), Measure("open_until", "max", F.col("until"))],
+                          chunk_rows=chunk_rows, exclusive=True)
+    pieces = before.select(*keys, "start", F.least("at", "open_until").alias("end"))
+    last = s.groupBy(*keys).agg(F.max("at").alias("start"), F.max("until").alias("end"))
+    return pieces.unionByName(last).filter(F.col("end") > F.col("start"))
 
 
-def in_intervals(rows: DataFrame, intervals: DataFrame, keys: list[str], bucket_ms: int | None = None,
+def in_intervals(rows: DataFrame, intervals: DataFrame, keys: list[str], bucket_ms: int | Column | None = None,
                  ts_col: str = "timestamp") -> DataFrame:
     """Rows whose ``ts_col`` lies in one of their key's disjoint ``[start, end)`` intervals.
 
-    ``bucket_ms`` overrides the mean interval length as bucket width."""
+    ``bucket_ms`` (a number or a scalar column) overrides the mean interval length as bucket width."""
     if bucket_ms is None:
         mean = F.ceil(F.avg(F.col("end") - F.col("start"))).cast("long")
         width: Column = F.coalesce(intervals.agg(F.greatest(mean, F.lit(1).cast("long")).alias("w")).scalar(), F.lit(1).cast("long"))
     else:
-        width = F.lit(int(bucket_ms)).cast("long")
+        width = bucket_ms if isinstance(bucket_ms, Column) else F.lit(int(bucket_ms)).cast("long")
     slots = intervals.select(*keys, "start", "end", F.explode(F.sequence(
         floor_div("start", width), floor_div(F.col("end") - F.lit(1), width))).alias("_bucket"))
     probe = rows.withColumn("_bucket", floor_div(ts_col, width))
@@ -95,12 +98,23 @@ def fire_alerts(readings: DataFrame, smoke: DataFrame, threshold: float = FIRE_A
     return inside.select("event_id", alert_message().alias("message"), "timestamp", "temperature")
 
 
+def _mean_piece(switches: DataFrame, keys: Sequence[str]) -> Column:
+    """Mean length of the switches' disjoint pieces, nearly: what they span, or their own
+    lengths if that is less, over their number.  One aggregate of the switches alone."""
+    end = F.col("timestamp") + F.col("duration_ms")
+    per_key = switches.filter(F.col("duration_ms") > 0).groupBy(*keys).agg(
+        F.least(F.max(end) - F.min("timestamp"), F.sum("duration_ms")).cast("double").alias("covered"), F.count(F.lit(1)).alias("n"))
+    mean = F.ceil(F.sum("covered") / F.sum("n")).cast("long")
+    return F.coalesce(per_key.agg(F.greatest(mean, F.lit(1).cast("long")).alias("w")).scalar(), F.lit(1).cast("long"))
+
+
 def forward_switch(readings: DataFrame, switches: DataFrame, bucket_ms: int | None = None,
-                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                   chunk_rows: int = CHUNK_ROWS, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Forward a reading only while its sensor's switch is open.
 
-    A switch ``(id, ts, d)`` opens forwarding for ``[ts, ts + d)``; a later-expiring
+    A switch ``(keys, ts, d)`` opens forwarding for ``[ts, ts + d)``; a later-expiring
     switch extends it, an earlier-expiring one is ignored, and at expiry all state
     clears: the union of the sensor's switch intervals.  → the reading columns.
     """
-    return in_intervals(readings, merged_switch_intervals(switches, chunk_rows), ["id"], bucket_ms)
+    width = _mean_piece(switches, keys) if bucket_ms is None else bucket_ms
+    return in_intervals(readings, switch_intervals(switches, keys, chunk_rows), list(keys), width)

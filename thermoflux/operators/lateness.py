@@ -13,11 +13,10 @@ At the end of a replay every open window closes (watermark → +∞).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thermoflux.operators.replay import with_watermark
-from thermoflux.operators.scan import CHUNK_ROWS, Measure, running_scan
 from thermoflux.operators.windows import Assigner, tumbling
 
 ON_TIME, ALLOWED_LATE, DROPPED = "on_time", "allowed_late", "dropped"
@@ -68,25 +67,36 @@ def late_reading_split(rows: DataFrame, ticks: DataFrame) -> tuple[DataFrame, Da
     return rows.filter(~late).select(*_payload(rows)), rows.filter(late).select(*_payload(rows))
 
 
+#: Firings of one (key, window, tick) that are made at a time.
+FIRINGS = 1 << 16
+
+
 def updating_window_counts(rows: DataFrame, ticks: DataFrame, window: int | Assigner, lateness_ms: int,
-                           key: str = "id", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                           key: str = "id", chunk_rows: int = FIRINGS) -> DataFrame:
     """Allowed lateness with updating results → ``key, window_end, cnt, kind``.
 
     The first firing emits ``(key, e, n0, 'first')`` with ``n0`` on-time rows (if any);
     each allowed-late row, in arrival order, re-fires with the cumulative count,
     ``'first'`` if it is the window's very first firing, else ``'update'``.  Repeated
     rows (an at-least-once source) each count and fire.
-    """
-    assigned = tumbling(window)(rows, "timestamp")
-    on_time = (on_time_counts_per_tick(rows, ticks, window, key).groupBy(key, "window_end").agg(F.sum("n").alias("n"))
-               .select(key, "window_end", F.lit(None).cast("long").alias("arrival"), F.lit(None).cast("long").alias("event_id"), "n"))
-    status = window_status(F.col("window_end"), F.col("wm"), lateness_ms)
-    late = (with_watermark(assigned.select(key, "window_end", "arrival", "event_id", "tick"), ticks)
-            .filter(status == F.lit(ALLOWED_LATE)).select(key, "window_end", "arrival", "event_id", F.lit(1).cast("long").alias("n")))
-    # The on-time total (null arrival) stands before every late row.
-    both = on_time.unionByName(late).withColumn("rank", F.col("arrival").isNotNull().cast("int"))
-    counted = running_scan(both, [key, "window_end"], ["rank", "arrival", "event_id"],
-                           [Measure("cnt", "sum", F.col("n"))], position=F.col("arrival"), chunk_rows=chunk_rows)
-    kind = F.when((F.col("rank") == 0) | (F.col("cnt") == 1), F.lit("first")).otherwise(F.lit("update"))
-    return counted.select(key, "window_end", F.col("cnt").cast("long").alias("cnt"), kind.alias("kind"))
 
+    Rows are counted per (key, window, tick) first.  A firing shows nothing of its row but
+    the count, so the firings of a tick are the numbers after the rows of the ticks before:
+    one row per (key, window, tick) goes through one window, and firings are exploded,
+    ``chunk_rows`` at a time.
+    """
+    counted = tumbling(window)(rows, "timestamp").groupBy(key, "window_end", "tick").agg(F.count(F.lit(1)).alias("n"))
+    judged = with_watermark(counted, ticks).withColumn("status", window_status(F.col("window_end"), F.col("wm"), lateness_ms)) \
+        .filter(F.col("status") != F.lit(DROPPED))
+    # A window's on-time ticks stand before its late ones, as the watermark never falls.
+    on_time, late = F.col("status") == F.lit(ON_TIME), F.col("status") == F.lit(ALLOWED_LATE)
+    order = Window.partitionBy(key, "window_end").orderBy("tick")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last_on_time = on_time & F.coalesce(F.lead("status").over(order) == F.lit(ALLOWED_LATE), F.lit(True))
+    placed = judged.select(key, "window_end", "n", before.alias("before"), last_on_time.alias("closes"), late.alias("late"))
+    total, step = F.col("before") + F.col("n"), F.lit(int(chunk_rows)).cast("long")
+    blocks = F.when(F.col("late"), F.sequence(F.col("before") + 1, total, step)).otherwise(F.array(total))
+    fired = placed.filter(F.col("late") | F.col("closes")).select(key, "window_end", "late", total.alias("total"), F.explode(blocks).alias("from"))
+    fired = fired.select(key, "window_end", "late", F.explode(F.sequence("from", F.least(F.col("from") + step - 1, "total"))).alias("cnt"))
+    kind = F.when(~F.col("late") | (F.col("cnt") == 1), F.lit("first")).otherwise(F.lit("update"))
+    return fired.select(key, "window_end", F.col("cnt").cast("long").alias("cnt"), kind.alias("kind"))

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from thermoflux.operators.contents import Reduce, arrow_schema
 from thermoflux.operators.scan import _CHUNK, _SIDE, CHUNK_ROWS, Measure, chunked, running_scan
 
 
@@ -67,3 +69,47 @@ def rolling_reduce(df: DataFrame, key: str, by: str, seq: str = "event_id", carr
 def rolling_max(df: DataFrame, key: str = "id", seq: str = "event_id", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The hottest reading so far of each sensor, as a whole record."""
     return rolling_reduce(df, key, "temperature", seq, ["timestamp", "temperature"], chunk_rows)
+
+
+def rolling_fold(df: DataFrame, content: Reduce, key: str, seq: str = "event_id", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """A user's rolling reduce: per input row, in the order of ``seq``, the record reduced so
+    far → ``seq``, ``key`` and the content's columns.
+
+    The function must be associative.  A hot key's chunks are reduced side by side; the records
+    reduced before each chunk - one row for each chunk of a key - are handed to it, and the
+    chunks are run through again, each on its own."""
+    fields = {f.name: f.dataType.simpleString() for f in df.schema}
+    own = list(content.columns)
+    rows = chunked(df.select(*dict.fromkeys([seq, key, *own])), [key], F.col(seq), chunk_rows).withColumn(_CHUNK, F.coalesce(_CHUNK, F.lit(-1)))
+    ends_ddl = f"`{key}` {fields[key]}, {_CHUNK} long, {content.STATE}"
+    out_ddl = f"`{seq}` {fields[seq]}, `{key}` {fields[key]}, {content.OUTPUT}"
+    ends, out = arrow_schema(ends_ddl), arrow_schema(out_ddl)
+
+    def table(columns: list, schema: pa.Schema) -> pa.Table:
+        return pa.table([pa.array(list(c), f.type, from_pandas=False) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    def states(rows: pa.Table, state: tuple) -> list[tuple]:
+        made = []
+        for row in zip(*(rows.sort_by(seq)[c].to_pylist() for c in own), strict=True):
+            state = content.merge(state, row)
+            made.append(state)
+        return made
+
+    def end(rows: pa.Table) -> pa.Table:
+        return table([[rows[key][0].as_py()], [rows[_CHUNK][0].as_py()], *([v] for v in states(rows, content.create())[-1])], ends)
+
+    def before(rows: pa.Table) -> pa.Table:
+        rows, state, made = rows.sort_by(_CHUNK), content.create(), []
+        for row in zip(*(rows[c].to_pylist() for c in ends.names), strict=True):
+            made.append((*row[:2], *state))
+            state = content.merge(state, row[2:])
+        return table(list(zip(*made, strict=True)), ends)
+
+    def run(rows: pa.Table, held: pa.Table) -> pa.Table:
+        start = tuple(held[c][0].as_py() for c in ends.names[2:]) if len(held) else content.create()
+        made = states(rows, start)
+        return table([rows.sort_by(seq)[seq].to_pylist(), rows[key].to_pylist(), *zip(*made, strict=True)], out) if made else out.empty_table()
+
+    carried = (rows.filter(F.col(_CHUNK) >= 0).groupBy(key, _CHUNK).applyInArrow(end, ends_ddl)
+               .groupBy(key).applyInArrow(before, ends_ddl))
+    return rows.groupBy(key, _CHUNK).cogroup(carried.groupBy(key, _CHUNK)).applyInArrow(run, out_ddl)

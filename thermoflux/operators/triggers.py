@@ -34,7 +34,7 @@ from thermoflux.functions.temporal import floor_div
 from thermoflux.operators.lateness import on_time_counts_per_tick
 from thermoflux.operators.replay import TICKS_PER_SCAN_CHUNK
 from thermoflux.operators.scan import Measure, running_scan
-from thermoflux.operators.windows import Assigner
+from thermoflux.operators.windows import Assigner, tumbling
 
 # Stands for a watermark of −∞ (below any epoch-ms watermark, negatable without overflow).
 _MINUS_INFINITY = -(1 << 62)
@@ -61,13 +61,15 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, window: int | Assigne
     windows = per_tick.groupBy(key, "window_end").agg(F.min("tick").alias("f"))
     numbered = numbered_crossings(ticks, step_ms)
 
-    # The last tick below each window end; at equal values the probe comes first.
-    marks = numbered.select(F.coalesce("wm", F.lit(_MINUS_INFINITY)).alias("v"), F.lit(1).alias("mark"), "tick", "x", "wm_next")
-    nothing = [F.lit(None).cast("long").alias(c) for c in ("tick", "x", "wm_next")]
-    probes = windows.select(F.col("window_end").alias("v")).distinct().select("v", F.lit(0).alias("mark"), *nothing)
-    below = F.when(F.col("mark") == 1, F.struct("tick", "x", "wm_next"))
-    scanned = running_scan(marks.unionByName(probes), [], ["v", "mark", "tick"], [Measure("j", "max", below)],
-                           position=F.when(F.col("v") > _MINUS_INFINITY, F.col("v")), chunk_rows=TICKS_PER_SCAN_CHUNK)
+    # The last tick below each window end; at equal values the probe comes first.  Of ticks with
+    # one watermark the last stands for all, so a stalled watermark is a single row; ends of
+    # windows without on-time rows do no harm.
+    marks = (numbered.groupBy(F.coalesce("wm", F.lit(_MINUS_INFINITY)).alias("v")).agg(F.max(F.struct("tick", "x", "wm_next")).alias("below"))
+             .select("v", F.lit(1).alias("mark"), "below"))
+    probes = (tumbling(window)(rows, "timestamp").select(F.col("window_end").alias("v")).distinct()
+              .select("v", F.lit(0).alias("mark"), F.lit(None).cast(marks.schema["below"].dataType).alias("below")))
+    scanned = running_scan(marks.unionByName(probes), [], ["v", "mark"], [Measure("j", "max", F.col("below"))],
+                           chunk=floor_div("v", step_ms * TICKS_PER_SCAN_CHUNK))
     ends = scanned.filter(F.col("mark") == 0).select(
         F.col("v").alias("window_end"), F.col("j.tick").alias("j"), F.col("j.x").alias("hi"), F.col("j.wm_next").alias("final_wm"))
     opened = windows.join(ends, "window_end").join(numbered.select(F.col("tick").alias("f"), (F.col("x") + 1).alias("lo")), "f")
@@ -76,7 +78,7 @@ def early_firing_counts(rows: DataFrame, ticks: DataFrame, window: int | Assigne
     numbers = F.concat(F.when(F.col("lo") <= F.col("hi"), F.sequence("lo", "hi")).otherwise(F.array().cast("array<long>")),
                        F.array(F.lit(0).cast("long")))
     crossings = numbered.filter("crosses").select(F.col("x").alias("number"), F.col("tick").alias("at"), F.col("wm").alias("wm_at"))
-    last = ticks.agg(F.max("tick")).scalar()
+    last = rows.agg(F.max("tick")).scalar()
     closed = F.when(F.col("j") < last, F.col("final_wm")).otherwise(F.col("window_end"))
     firings = (opened.select(key, "window_end", closed.alias("closed"), F.explode(numbers).alias("number"))
                .join(crossings, "number", "left")

@@ -18,6 +18,7 @@ Conventions shared with the batch forms:
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from thermoflux.operators.contents import Reduce, arrow_schema
 from thermoflux.schema import SMOKE_HIGH, SMOKE_LOW
 
 
@@ -40,12 +42,9 @@ def _watermark(timer_values) -> int | None:
     return wm if wm is not None and wm > 0 else None
 
 
-def _window_end(ts: np.ndarray, size_ms: int) -> np.ndarray:
-    return ts - np.mod(ts, size_ms) + size_ms
-
-
 class RollingSum(StatefulProcessor):
-    """``keyBy(k).sum(v)``: running sum of ``v``; ``c`` keeps the key's first value.
+    """``keyBy(k).sum(v)``: running sum of ``v``; ``c`` keeps the key's first value.  Rows come
+    as ``(event_id, k, v, c)``, whatever their columns are called outside.
 
     ``ttl_ms`` optionally expires idle keys' state (the reference keeps it forever)."""
 
@@ -76,6 +75,37 @@ class RollingSum(StatefulProcessor):
         pass
 
 
+class RollingReduce(StatefulProcessor):
+    """A user's rolling reduce (:class:`~thermoflux.operators.contents.Reduce`): for each row, in
+    the order of ``seq``, the record reduced so far.  The function runs once for each row."""
+
+    def __init__(self, content: Reduce, key_types: dict[str, str], seq: str, seq_type: str, ttl_ms: int | None = None) -> None:
+        self.content, self.keys, self.seq, self.ttl_ms = content, list(key_types), seq, ttl_ms
+        self.output = ", ".join([f"`{seq}` {seq_type}", *(f"`{k}` {t}" for k, t in key_types.items()), content.OUTPUT])
+        self.schema = arrow_schema(self.output)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", self.content.STATE, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _concat(rows)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(self.seq, kind="stable")
+        state = tuple(self.held.get()) if self.held.exists() else self.content.create()
+        made = []
+        for n in range(len(pdf)):
+            state = self.content.add(state, pdf.iloc[n:n + 1])
+            made.append(state)
+        self.held.update(state)
+        columns = [pdf[self.seq].tolist(), *([k] * len(pdf) for k in key), *zip(*made, strict=True)]
+        yield pa.table([pa.array(list(c), f.type, from_pandas=False) for c, f in zip(columns, self.schema, strict=True)],
+                       schema=self.schema).to_pandas(types_mapper=pd.ArrowDtype)
+
+    def close(self) -> None:
+        pass
+
+
 class RollingMax(StatefulProcessor):
     """Rolling ``reduce`` keeping the hottest reading so far (a tie takes the newer one; a NaN
     always replaces the held reading and is replaced by the next, as comparisons with it fail)."""
@@ -179,34 +209,129 @@ class _WatermarkBuffer(StatefulProcessor):
         late = rows["timestamp"].to_numpy(dtype=np.int64) < wm if wm is not None else np.zeros(len(rows), dtype=bool)
         if not late.all():
             self._append(rows[~late], index)
-        needed = min((t for _, t in index.values()), default=None)
-        if needed != timer or (timer is not None and wm is not None and timer < wm):
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            if needed is not None:
-                self.handle.registerTimer(needed + 1)
+        self.oldest = min((t for _, t in index.values()), default=None)
+        self.moved = self.oldest != timer or (timer is not None and wm is not None and timer < wm)
         return rows[late].sort_values(self.ORDER, kind="stable")
 
-    def _apply(self, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
+    def _sync(self, own: set[int]) -> None:
+        """One Spark timer behind the oldest pending row, and the subclass's own."""
+        if not self.moved and not own and not self.owned:
+            return
+        wanted = own | ({self.oldest + 1} if self.oldest is not None else set())
+        standing = set(self.handle.listTimers())
+        for t in standing - wanted:
+            self.handle.deleteTimer(t)
+        for t in wanted - standing:
+            self.handle.registerTimer(t)
+
+    def _more_timers(self) -> set[int]:
+        return set()
+
+    def _load(self) -> None:
+        pass
+
+    def _apply(self, key: tuple, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
         raise NotImplementedError
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        wm = _watermark(timerValues)
-        out = self._apply(self._due(_concat(rows), wm), wm)
+    def _handle(self, key: tuple, new: pd.DataFrame | None, wm: int | None) -> Iterator[pd.DataFrame]:
+        self._load()
+        self.owned = bool(self._more_timers())
+        out = self._apply(key, self._due(new, wm), wm)
+        self._sync(self._more_timers())
         if len(out):
             yield out
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._handle(key, _concat(rows), _watermark(timerValues))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm = _watermark(timerValues)
-        out = self._apply(self._due(None, wm), wm)
-        if len(out):
-            yield out
+        yield from self._handle(key, None, _watermark(timerValues))
 
     def close(self) -> None:
         pass
 
 
-class ReadingFilter(_WatermarkBuffer):
+class ConnectedProcessor(_WatermarkBuffer):
+    """Two connected streams with shared keyed state and timers, open to user code.
+
+    Rows of both sides are buffered until the watermark passes them and handed over in
+    ``(timestamp, src_rank, event_id)`` order, ``src_rank`` 0 being the control (left) side.
+    A subclass sets ``OUTPUT`` and, in ``STATE``, its value states (name → DDL); and overrides
+    either :meth:`on_rows`, which gets a whole block, or :meth:`on_row` and :meth:`on_timer`,
+    which are called one by one in event-time order, a timer before the rows of its time.
+
+    ``self.states`` holds the value states of the current key; ``set_timer`` registers an
+    event-time timer that comes due in order with the rows.  See
+    :func:`thermoflux.streaming.operators.stream_connected` for building the input.
+    """
+
+    OUTPUT = ""
+    STATE: dict[str, str] = {}
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._init_buffer(handle)
+        self.states = {name: handle.getValueState(name, ddl) for name, ddl in self.STATE.items()}
+        self.due_times = handle.getMapState("due_times", "at long", "set boolean")
+
+    def set_timer(self, at: int) -> None:
+        if int(at) not in self._times:
+            self._times.add(int(at))
+            heapq.heappush(self._heap, int(at))
+            self.due_times.updateValue((int(at),), (True,))
+
+    def delete_timer(self, at: int) -> None:
+        if int(at) in self._times:
+            self._times.discard(int(at))
+            self.due_times.removeKey((int(at),))
+
+    def _next_timer(self, watermark: int | None) -> int | None:
+        while self._heap and self._heap[0] not in self._times:   # deleted since
+            heapq.heappop(self._heap)
+        return self._heap[0] if self._heap and watermark is not None and self._heap[0] <= watermark else None
+
+    def on_rows(self, key: tuple, rows: pd.DataFrame, watermark: int | None) -> pd.DataFrame | list[tuple]:
+        """The key's due rows of both sides, in order.  By default :meth:`on_row` and
+        :meth:`on_timer` are called for each, in order of time."""
+        out: list[tuple] = []
+        todo = rows.itertuples(index=False)
+        row = next(todo, None)
+        while True:
+            timer = self._next_timer(watermark)
+            if timer is not None and (row is None or timer <= row.timestamp):
+                self.delete_timer(timer)
+                out.extend(self.on_timer(key, timer, watermark))
+            elif row is not None:
+                out.extend(self.on_row(key, row, watermark))
+                row = next(todo, None)
+            else:
+                return out
+
+    @property
+    def uses_timers(self) -> bool:
+        return type(self).on_timer is not ConnectedProcessor.on_timer
+
+    def on_row(self, key: tuple, row, watermark: int | None) -> list[tuple]:
+        return []
+
+    def on_timer(self, key: tuple, time: int, watermark: int | None) -> list[tuple]:
+        return []
+
+    def _more_timers(self) -> set[int]:
+        return set(self._times)
+
+    def _load(self) -> None:
+        self._times = {int(t) for (t,) in self.due_times.keys()} if self.uses_timers else set()
+        self._heap = sorted(self._times)
+
+    def _apply(self, key: tuple, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
+        made = self.on_rows(key, due, wm)
+        if isinstance(made, list):
+            names = [c.split()[0].strip("`") for c in self.OUTPUT.split(", ")]
+            made = pd.DataFrame(made, columns=names)
+        return made
+
+
+class ReadingFilter(ConnectedProcessor):
     """Forwarding switch per sensor.
 
     Input: readings (``src_rank`` 1) and switches (``src_rank`` 0, ``expiry`` =
@@ -215,31 +340,28 @@ class ReadingFilter(_WatermarkBuffer):
     """
 
     OUTPUT = "event_id long, id string, timestamp long, temperature double"
+    STATE = {"open_until": "ms long"}
     ARROW = pa.schema([("event_id", pa.int64()), ("id", pa.string()), ("timestamp", pa.int64()),
                        ("temperature", pa.float64()), ("expiry", pa.int64()), ("src_rank", pa.int32())])
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._init_buffer(handle)
-        self.open_until = handle.getValueState("open_until", "ms long")
-
-    def _apply(self, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
-        old = self.open_until.get()[0] if self.open_until.exists() else None
-        out = due.iloc[0:0]
-        if len(due):
-            expiry = pd.to_numeric(due["expiry"], errors="coerce").to_numpy(dtype=float)
+    def on_rows(self, key: tuple, rows: pd.DataFrame, watermark: int | None) -> pd.DataFrame:
+        held = self.states["open_until"]
+        old = held.get()[0] if held.exists() else None
+        out = rows.iloc[0:0]
+        if len(rows):
+            expiry = pd.to_numeric(rows["expiry"], errors="coerce").to_numpy(dtype=float)
             seed = np.nan if old is None else float(old)
             running = np.fmax.accumulate(np.concatenate([[seed], expiry]))[1:]
-            keep = (due["src_rank"].to_numpy() == 1) & (running > due["timestamp"].to_numpy(dtype=np.int64))
-            out = due.loc[keep]
+            out = rows.loc[(rows["src_rank"].to_numpy() == 1) & (running > rows["timestamp"].to_numpy(dtype=np.int64))]
             if not np.isnan(running[-1]):
                 old = int(running[-1])
-                self.open_until.update((old,))
-        if old is not None and wm is not None and old <= wm:
-            self.open_until.clear()
+                held.update((old,))
+        if old is not None and watermark is not None and old <= watermark:
+            held.clear()
         return out[["event_id", "id", "timestamp", "temperature"]]
 
 
-class SmokeAlert(_WatermarkBuffer):
+class SmokeAlert(ConnectedProcessor):
     """Latest smoke level per shard; readings above the threshold alert while it is HIGH.
 
     Input per shard: the shard's readings (``src_rank`` 1) and every smoke row
@@ -247,184 +369,20 @@ class SmokeAlert(_WatermarkBuffer):
     """
 
     OUTPUT = "event_id long, id string, timestamp long, temperature double"
+    STATE = {"level": "level string"}
     ARROW = pa.schema([("event_id", pa.int64()), ("id", pa.string()), ("timestamp", pa.int64()),
                        ("temperature", pa.float64()), ("level", pa.string()), ("src_rank", pa.int32())])
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._init_buffer(handle)
-        self.level = handle.getValueState("level", "level string")
-
-    def _apply(self, due: pd.DataFrame, wm: int | None) -> pd.DataFrame:
-        if not len(due):
-            return due[["event_id", "id", "timestamp", "temperature"]]
-        seed = self.level.get()[0] if self.level.exists() else SMOKE_LOW
-        levels = pd.concat([pd.Series([seed], dtype=object), due["level"].reset_index(drop=True).astype(object)],
+    def on_rows(self, key: tuple, rows: pd.DataFrame, watermark: int | None) -> pd.DataFrame:
+        if not len(rows):
+            return rows[["event_id", "id", "timestamp", "temperature"]]
+        held = self.states["level"]
+        seed = held.get()[0] if held.exists() else SMOKE_LOW
+        levels = pd.concat([pd.Series([seed], dtype=object), rows["level"].reset_index(drop=True).astype(object)],
                            ignore_index=True).ffill()
-        current = levels.iloc[1:].to_numpy()
-        self.level.update((str(levels.iloc[-1]),))
-        alert = (due["src_rank"].to_numpy() == 1) & (current == SMOKE_HIGH)
-        return due.loc[alert, ["event_id", "id", "timestamp", "temperature"]]
-
-
-class LateWindowCount(StatefulProcessor):
-    """Tumbling count with allowed lateness, updating results and a late side output.
-
-    Emits ``tag='count'`` rows ``(id, window_end, cnt, kind)`` — ``'first'`` when
-    the watermark passes the window end (or on the first allowed-late row of a
-    window without on-time rows), ``'update'`` for each later allowed-late row — and
-    ``tag='late'`` rows carrying readings whose window is past its lateness.
-    The input must not contain the watermarked column (late rows must reach it).
-    """
-
-    OUTPUT = ("tag string, id string, window_end long, cnt long, kind string, "
-              "event_id long, timestamp long, temperature double")
-
-    def __init__(self, size_ms: int, lateness_ms: int) -> None:
-        self.size_ms = int(size_ms)
-        self.lateness_ms = int(lateness_ms)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.windows = handle.getMapState("windows", "e long", "cnt long, fired boolean")
-
-    def _flush(self, id_: str, wm: int | None) -> list[tuple]:
-        out: list[tuple] = []
-        if wm is None:
-            return out
-        for (e,), (cnt, fired) in list(self.windows.iterator()):
-            if e <= wm and not fired:
-                out.append(("count", id_, e, cnt, "first", None, None, None))
-                self.windows.updateValue((e,), (cnt, True))
-            if e + self.lateness_ms <= wm:
-                self.windows.removeKey((e,))
-        return out
-
-    def _frame(self, out: list[tuple]) -> pd.DataFrame:
-        cols = ["tag", "id", "window_end", "cnt", "kind", "event_id", "timestamp", "temperature"]
-        return pd.DataFrame(out, columns=cols).astype(
-            {"window_end": "Int64", "cnt": "Int64", "event_id": "Int64", "timestamp": "Int64", "temperature": float})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        id_ = key[0]
-        wm = _watermark(timerValues)
-        out = self._flush(id_, wm)
-        frames = [self._frame(out)] if out else []
-        pdf = _concat(rows)
-        if not pdf.empty:
-            # One watermark per batch: all rows of a window share its status, so state
-            # is read and written once per window, not once per row.
-            pdf = pdf.sort_values(["arrival", "event_id"], kind="stable")
-            pdf = pdf.assign(window_end=_window_end(pdf["timestamp"].to_numpy(dtype=np.int64), self.size_ms))
-            for e, grp in pdf.groupby("window_end", sort=True):
-                e, n = int(e), len(grp)
-                if wm is not None and e + self.lateness_ms <= wm:
-                    frames.append(pd.DataFrame({
-                        "tag": "late", "id": id_, "window_end": pd.array([None] * n, dtype="Int64"),
-                        "cnt": pd.array([None] * n, dtype="Int64"), "kind": None,
-                        "event_id": grp["event_id"].to_numpy(), "timestamp": grp["timestamp"].to_numpy(),
-                        "temperature": grp["temperature"].to_numpy(dtype=float)}))
-                    continue
-                cur = self.windows.getValue((e,))
-                cnt, fired = (int(cur[0]), bool(cur[1])) if cur is not None else (0, False)
-                if cur is None:
-                    self.handle.registerTimer(e)
-                    self.handle.registerTimer(e + self.lateness_ms)
-                if wm is not None and e <= wm:          # allowed-late: re-fire once per row
-                    counts = cnt + np.arange(1, n + 1, dtype=np.int64)
-                    kinds = np.full(n, "update", dtype=object)
-                    if not fired:
-                        kinds[0] = "first"
-                    frames.append(pd.DataFrame({
-                        "tag": "count", "id": id_, "window_end": pd.array([e] * n, dtype="Int64"),
-                        "cnt": pd.array(counts, dtype="Int64"), "kind": kinds,
-                        "event_id": pd.array([None] * n, dtype="Int64"),
-                        "timestamp": pd.array([None] * n, dtype="Int64"), "temperature": np.nan}))
-                    fired = True
-                self.windows.updateValue((e,), (cnt + n, fired))
-        if frames:
-            yield pd.concat(frames, ignore_index=True)[
-                ["tag", "id", "window_end", "cnt", "kind", "event_id", "timestamp", "temperature"]]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = self._flush(key[0], _watermark(timerValues))
-        if out:
-            yield self._frame(out)
-
-    def close(self) -> None:
-        pass
-
-
-class EarlyFiringCount(StatefulProcessor):
-    """Tumbling count with an early-firing trigger: fires each time the watermark
-    crosses a whole ``step`` while the window is open, and fires-and-purges at its end.
-    Emits ``(id, window_end, eval_time = watermark, cnt)``.
-    The input must not contain the watermarked column; late rows are dropped here."""
-
-    OUTPUT = "id string, window_end long, eval_time long, cnt long"
-    FIRST_WATERMARK = 1   # a timer here fires on the first finite watermark
-
-    def __init__(self, size_ms: int, step_ms: int) -> None:
-        self.size_ms = int(size_ms)
-        self.step_ms = int(step_ms)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.windows = handle.getMapState("windows", "e long", "cnt long, next_fire long")
-
-    def _next_fire(self, wm: int | None, e: int) -> int:
-        if wm is None:
-            return self.FIRST_WATERMARK
-        return min((wm // self.step_ms + 1) * self.step_ms, e)
-
-    def _fire_due(self, id_: str, wm: int | None) -> list[tuple]:
-        out: list[tuple] = []
-        if wm is None:
-            return out
-        for (e,), (cnt, nxt) in list(self.windows.iterator()):
-            if nxt <= wm:
-                out.append((id_, e, wm, cnt))
-                if wm >= e:
-                    self.windows.removeKey((e,))
-                else:
-                    self.windows.updateValue((e,), (cnt, self._next_fire(wm, e)))
-        return out
-
-    def _sync_timers(self) -> None:
-        needed = {nxt for _, (_, nxt) in self.windows.iterator()}
-        existing = set(self.handle.listTimers())
-        for t in existing - needed:
-            self.handle.deleteTimer(t)
-        for t in needed - existing:
-            self.handle.registerTimer(t)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        id_ = key[0]
-        wm = _watermark(timerValues)
-        out = self._fire_due(id_, wm)
-        pdf = _concat(rows)
-        if not pdf.empty:
-            ends = _window_end(pdf["timestamp"].to_numpy(dtype=np.int64), self.size_ms)
-            if wm is not None:
-                ends = ends[ends > wm]              # late for their window: dropped
-            for e, n in zip(*np.unique(ends, return_counts=True)):
-                e, n = int(e), int(n)
-                cur = self.windows.getValue((e,))
-                if cur is None:
-                    self.windows.updateValue((e,), (n, self._next_fire(wm, e)))
-                else:
-                    self.windows.updateValue((e,), (cur[0] + n, cur[1]))
-        self._sync_timers()
-        if out:
-            yield pd.DataFrame(out, columns=["id", "window_end", "eval_time", "cnt"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = self._fire_due(key[0], _watermark(timerValues))
-        self._sync_timers()
-        if out:
-            yield pd.DataFrame(out, columns=["id", "window_end", "eval_time", "cnt"])
-
-    def close(self) -> None:
-        pass
+        held.update((str(levels.iloc[-1]),))
+        alert = (rows["src_rank"].to_numpy() == 1) & (levels.iloc[1:].to_numpy() == SMOKE_HIGH)
+        return rows.loc[alert, ["event_id", "id", "timestamp", "temperature"]]
 
 
 class LateReadingSplit(StatefulProcessor):
