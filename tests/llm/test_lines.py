@@ -301,3 +301,52 @@ def test_words_and_signatures():
             by.setdefault(tuple(x.encode().split()), set()).add(s)
         assert all(len(v) == 1 for v in by.values()) and len({next(iter(v)) for v in by.values()}) == len(by)
     assert len(line_dedup.Words([""]).n) == 1
+
+
+def edited_at_the_whole_bound():
+    """(doc_id, text): every odd document is the one before it with each fifth word another."""
+    r = random.Random(41)
+    rows = []
+    for i in range(150):
+        line = [f"w{r.randrange(10**6)}" for _ in range(r.choice([25, 60, 120]))]
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(f"other{i}x{k}" if k % 5 == 4 else w for k, w in enumerate(line)))]
+    return rows
+
+
+def test_query_loses_no_line_at_the_whole_bound(spark, tmp_path):
+    rows = edited_at_the_whole_bound()
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x.doc_id: x.n_removed for x in QUERIES["op8_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {i: i % 2 for i, _ in rows}
+
+
+def test_packed_keys_come_back():
+    """Rows of ``packed``: each distinct (key, id) once; of a key that is large within the run a
+    few go to its part, the others to parts of their own."""
+    r = np.random.default_rng(5)
+    keys = line_dedup.canonical(np.concatenate([r.integers(0, 1 << 63, 5000, dtype=np.uint64), np.repeat(r.integers(0, 1 << 63, 3, dtype=np.uint64), 20_000)]), 7)
+    ids = r.integers(0, 1 << 48, len(keys))
+    keys, ids = np.append(keys, keys[:10]), np.append(ids, ids[:10])
+    got, known = [], 0
+    for row in line_dedup.packed(keys, ids, 7).to_pylist():
+        own = line_dedup.unpack(row["ids"], row["n"], 5, 6)
+        k = line_dedup.unpack(row["keys"], row["n"], 0, 8) if row["known"] else np.cumsum(line_dedup.unpack(row["keys"], row["n"], 2, 5)) | row["part"] << line_dedup.KEY_BITS
+        assert row["known"] or row["part"] < 7 and row["n"] <= 5000
+        known += row["n"] * row["known"]
+        got += zip(k.tolist(), own.tolist(), strict=True)
+    assert sorted(got) == sorted(set(zip(keys.tolist(), ids.tolist(), strict=True))) and known == 3 * (20_000 - line_dedup.SMALL - 1)
+    assert line_dedup.packed(keys[:0], ids[:0], 7).num_rows == 0
+
+
+def test_pairs_that_a_partner_lacks():
+    r = random.Random(6)
+    for _ in range(4000):
+        per = r.choice([None, 4, 5, 8])
+        a = [f"{i}" for i in range(r.randint(5, 45))]
+        b = list(a)
+        for k in range(max(1, len(a) // 4)):
+            at = r.randrange(len(b))
+            b[at:at + 1] = r.choice([[], [f"x{k}"], [b[at], f"x{k}"], [b[at], f"x{k}"]])
+            if len(b) >= 5 and distance(a, b) <= (max(1, max(len(a), len(b)) // per) if per else 1):
+                lost = set(zip(a, a[1:], strict=False)) - set(zip(b, b[1:], strict=False))
+                assert len(lost) <= line_dedup.spoiled_pairs(len(a), per)
