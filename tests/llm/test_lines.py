@@ -350,3 +350,11 @@ def test_pairs_that_a_partner_lacks():
             if len(b) >= 5 and distance(a, b) <= (max(1, max(len(a), len(b)) // per) if per else 1):
                 lost = set(zip(a, a[1:], strict=False)) - set(zip(b, b[1:], strict=False))
                 assert len(lost) <= line_dedup.spoiled_pairs(len(a), per)
+
+
+def test_stage_loses_no_line_at_the_whole_bound(spark):
+    import corpus_pipeline
+
+    rows = edited_at_the_whole_bound()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {x.doc_id: x.text for x in corpus_pipeline.lines(spark, docs, SF).collect()} == {i: "" if i % 2 else t for i, t in rows}
