@@ -1,12 +1,14 @@
 """Operator 8 against all pairs of lines."""
 
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
-from thermoflux.llm import line_dedup
+from thermoflux.llm import common, line_dedup
 from thermoflux.llm.queries import QUERIES
 
 
@@ -358,3 +360,29 @@ def test_stage_loses_no_line_at_the_whole_bound(spark):
     rows = edited_at_the_whole_bound()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {x.doc_id: x.text for x in corpus_pipeline.lines(spark, docs, SF).collect()} == {i: "" if i % 2 else t for i, t in rows}
+
+
+def test_many_pairs_are_compared_as_single_ones_are():
+    r = random.Random(12)
+    texts = [" ".join(r.choices(["a", "b", "ç", "d" * 9], k=r.randint(0, 12))) for _ in range(4000)]
+    for per in (None, 5, 8):
+        got = line_dedup.are_within_bound(texts[::2], texts[1::2], per).tolist()
+        assert got == [line_dedup.within_bound(a, b, per) for a, b in zip(texts[::2], texts[1::2], strict=True)] and 0 < sum(got) < len(got)
+    assert line_dedup.are_within_bound([""], [""], 5).tolist() == [True] and len(line_dedup.are_within_bound([], [], 5)) == 0
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """The shuffle files of a step that is written go as it ends, and the session's setting stays
+    what it was."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {x.getName() for x in (lambda found: [found.apply(i) for i in range(found.size())])(disk.getAllFiles()) if x.getName().startswith("shuffle_")}
+
+    was, before = spark.conf.get(common.SHUFFLE_CLEANUP, "false"), files()
+    back = common.written(spark.range(50_000).repartition(7).groupBy((F.col("id") % 999).alias("k")).count(), "step")
+    until = time.time() + 20
+    while (left := files() - before) and time.time() < until:
+        time.sleep(0.5)
+    assert not left and spark.conf.get(common.SHUFFLE_CLEANUP, "false") == was
+    assert back.count() == 999 and back.agg(F.sum("count")).first()[0] == 50_000
