@@ -386,3 +386,19 @@ def test_a_written_step_leaves_no_shuffle_files(spark):
         time.sleep(0.5)
     assert not left and spark.conf.get(common.SHUFFLE_CLEANUP, "false") == was
     assert back.count() == 999 and back.agg(F.sum("count")).first()[0] == 50_000
+
+
+def test_parities_rule_out_no_pair_within_the_bound():
+    r = random.Random(17)
+    pairs = []
+    for _ in range(800):
+        words = [f"{i}" for i in range(r.choice([2, 30, 5000]))]
+        line = r.choices(words, k=r.choice([1, 5, 12, 60, 300]))
+        pairs.append((line, edited(r, line, words, max(1, len(line) // 5))))
+    pairs += [(r.choices(range(5000), k=60), r.choices(range(5000), k=60)) for _ in range(50)]
+    x, y = (line_dedup.Words([" ".join(map(str, p[k])) for p in pairs]) for k in (0, 1))
+    at = np.arange(len(pairs))
+    turned = np.bitwise_count((line_dedup.parities(x, at) ^ line_dedup.parities(y, at)).view(np.uint64)).sum(axis=0, dtype=int)
+    assert all(t <= 2 * line_dedup.distance(a, b) for t, (a, b) in zip(turned.tolist(), pairs, strict=True))
+    assert (turned[800:] > 24).all()  # unlike lines: no text is fetched
+    assert (line_dedup.parities(x, at[3:90:7]) == line_dedup.parities(x, at)[:, 3:90:7]).all()
