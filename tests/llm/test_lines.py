@@ -402,3 +402,31 @@ def test_parities_rule_out_no_pair_within_the_bound():
     assert all(t <= 2 * line_dedup.distance(a, b) for t, (a, b) in zip(turned.tolist(), pairs, strict=True))
     assert (turned[800:] > 24).all()  # unlike lines: no text is fetched
     assert (line_dedup.parities(x, at[3:90:7]) == line_dedup.parities(x, at)[:, 3:90:7]).all()
+
+
+def test_pairs_of_every_document_are_counted(spark, monkeypatch):
+    """Lines of a phrase that 20 lines have, beside words of their own, over more documents than a
+    sample would take: the phrase's pairs are known as frequent, so no line has a large key."""
+    monkeypatch.setattr(line_dedup, "SAMPLE_DOCS", 500, raising=False)
+    phrases = [[f"p{i}x{k}" for k in range(8)] for i in range(200)]
+    rows = [(i, " ".join([*(f"own{i}x{k}" for k in range(12)), *phrases[i % 200]])) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("row_key", F.xxhash64("doc_id"))
+    times = line_dedup.pair_times(docs)
+    found = line_dedup.shared_keys(line_dedup.keyed_lines(docs, times, 5))
+    assert found.where("b IS NULL").count() == 0
+    words = line_dedup.Words([t for _, t in rows])
+    frequent = np.tile(np.arange(19) >= 12, len(rows))
+    rank = line_dedup.ranked_pairs(words, times)[2]
+    assert rank[frequent].min() > np.quantile(rank[~frequent], 0.99)
+
+
+def test_no_order_of_pairs_changes_what_goes(spark, monkeypatch):
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    lines = [r.choices(words, k=r.choice([5, 9, 10, 16, 30, 70])) for _ in range(30)]
+    rows = [(doc, " ".join(edited(r, line, words, len(line) // 4 + 1))) for doc in range(120) for line in [r.choice(lines)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_growing(rows, 5)
+    for times in (np.zeros(1, np.int32), np.random.default_rng(3).integers(0, 9, 64).astype(np.int32)):
+        monkeypatch.setattr(line_dedup, "pair_times", lambda *_, t=times: t)
+        assert {x.doc_id: x.n for x in line_dedup.dedup_lines(docs, "n", least=1, growing=True).collect()} == want
