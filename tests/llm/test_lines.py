@@ -430,3 +430,15 @@ def test_no_order_of_pairs_changes_what_goes(spark, monkeypatch):
     for times in (np.zeros(1, np.int32), np.random.default_rng(3).integers(0, 9, 64).astype(np.int32)):
         monkeypatch.setattr(line_dedup, "pair_times", lambda *_, t=times: t)
         assert {x.doc_id: x.n for x in line_dedup.dedup_lines(docs, "n", least=1, growing=True).collect()} == want
+
+
+def test_a_pair_meets_at_its_least_common_keys_alone(spark):
+    r = random.Random(23)
+    base = [r.sample(range(10**6), 60) for _ in range(3)]
+    lines = {i: sorted(r.sample(base[i % 3], r.choice([2, 3, 20, 50]))) for i in range(60)}
+    rows = [(k, i, *(own + [None] * 3)[:3]) for i, own in lines.items() for k in own]
+    wide = spark.createDataFrame(rows, f"key long, id long, {', '.join(f'{c} long' for c in line_dedup.LEAST)}")
+    other = wide.select("key", F.col("id").alias("b"), *[F.col(c).alias(f"o_{c}") for c in line_dedup.LEAST])
+    met = wide.join(other, "key").where(F.col("id") < F.col("b"))
+    got = [(x.id, x.b) for x in met.where(~line_dedup._met_before()).collect()]
+    assert set(got) == {(i, j) for i in lines for j in lines if i < j and set(lines[i]) & set(lines[j])} and len(got) < met.count() / 2
